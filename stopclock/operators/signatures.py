@@ -13,10 +13,11 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stopclock.functions.text import sha256
 
-_TOKEN = re.compile(r"`((?:[^`]|``)*)`|([^\s<>:,`]+)|([<>:,])")
+_TOKEN = re.compile(r"`((?:[^`]|``)*)`|([^\s<>:,`(]+(?:\([^)]*\))?)|([<>:,])")
 
 
 def field_paths(shape: str | None) -> list[str]:
@@ -55,10 +56,6 @@ def field_paths(shape: str | None) -> list[str]:
                         at += 1
                 at += 1
             return True
-        if opened:  # a type with arguments of its own, like DECIMAL
-            while tokens[at][1] != ">":
-                at += 1
-            at += 1
         return kind != "VOID"
 
     if tokens:
@@ -66,7 +63,7 @@ def field_paths(shape: str | None) -> list[str]:
     return sorted(paths)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _paths(shapes: pd.Series) -> pd.Series:
     return shapes.map(field_paths)
 

@@ -282,4 +282,3 @@ FEED_DDL = (
     f"entity array<struct<id:string, vehicle:{_VEHICLE}, trip_update:{_TRIP_UPDATE}, "
     f"alert:{_ALERT}>>"
 )
-FEED_SCHEMA = T.StructType.fromDDL(FEED_DDL)

@@ -21,12 +21,20 @@ REPORT_DDL = (
     "stop_sequence int, route_id string, stop_id string, scheduled_at timestamp, "
     "arrival_at timestamp, delay_s int, current_status int"
 )
-_VISIT_STATE = T.StructType.fromDDL(
-    "route_id string, stop_id string, scheduled_us bigint, arrival_us bigint, delay_s int, "
-    "status string, updated_us bigint"
+# The workers that use these have no session to read type text with.
+_STOP_KEY = T.StructType().add("stop_sequence", T.IntegerType())
+_VISIT_STATE = (
+    T.StructType()
+    .add("route_id", T.StringType())
+    .add("stop_id", T.StringType())
+    .add("scheduled_us", T.LongType())
+    .add("arrival_us", T.LongType())
+    .add("delay_s", T.IntegerType())
+    .add("status", T.StringType())
+    .add("updated_us", T.LongType())
 )
-_SEEN_STATE = T.StructType.fromDDL("seen_us bigint, stopped_us bigint")
-_HEARD_STATE = T.StructType.fromDDL("heard_us bigint")
+_SEEN_STATE = T.StructType().add("seen_us", T.LongType()).add("stopped_us", T.LongType())
+_HEARD_STATE = T.StructType().add("heard_us", T.LongType())
 
 
 def delay_reports(
@@ -82,10 +90,9 @@ class DelayState(StatefulProcessor):
         self.sweep_us = int(sweep_minutes * 60_000_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        stop = T.StructType.fromDDL("stop_sequence int")
         self.handle = handle
-        self.visits = handle.getMapState("visits", stop, _VISIT_STATE)
-        self.seen = handle.getMapState("seen", stop, _SEEN_STATE)
+        self.visits = handle.getMapState("visits", _STOP_KEY, _VISIT_STATE)
+        self.seen = handle.getMapState("seen", _STOP_KEY, _SEEN_STATE)
         self.heard = handle.getValueState("heard", _HEARD_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
