@@ -766,9 +766,12 @@ _CLOCK = """line AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey % 30
 )
 def _(spark, d):
     line = V.table(spark, d, "lineitem")
-    clock = F.format_string(
-        "%02d:%02d:%02d", F.col("l_partkey") % 30, F.col("l_suppkey") % 60, F.col("l_partkey") % 60
-    )
+
+    def two(c):
+        return F.lpad(c.cast("string"), 2, "0")
+
+    parts = [F.col("l_partkey") % 30, F.col("l_suppkey") % 60, F.col("l_partkey") % 60]
+    clock = F.concat_ws(":", *[two(c) for c in parts])
     raw = line.select(
         F.concat(F.lit(" "), "l_orderkey").alias("trip_id"),
         F.concat(F.lit(" "), "l_linenumber", F.lit(" ")).alias("stop_sequence"),

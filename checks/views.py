@@ -39,7 +39,10 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def vehicle_positions(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events")
+    return vehicle_positions_of(table(spark, d, "events"))
+
+
+def vehicle_positions_of(e: DataFrame) -> DataFrame:
     u = F.col("user_id")
     return e.select(
         ts("ts").alias("received_at"),
@@ -78,7 +81,10 @@ VP = """vp AS (
 
 
 def trip_updates(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events")
+    return trip_updates_of(table(spark, d, "events"))
+
+
+def trip_updates_of(e: DataFrame) -> DataFrame:
     u, i = F.col("user_id"), F.col("event_id")
     return e.select(
         ts("ts").alias("received_at"),

@@ -58,12 +58,12 @@ def compact_date(c: Column) -> Column:
 
 def gtfs_seconds(c: Column) -> Column:
     """``HH:MM:SS`` to seconds; hours may pass 24."""
-    part = F.split(strip(c), ":")
-
-    def at(i: int) -> Column:
-        return F.get(part, F.lit(i)).try_cast("int")
-
-    return F.when(F.size(part) == 3, at(0) * 3600 + at(1) * 60 + at(2))
+    text = strip(c)
+    colons = F.length(text) - F.length(F.translate(text, ":", ""))
+    hours = F.substring_index(text, ":", 1).try_cast("int")
+    minutes = F.substring_index(F.substring_index(text, ":", 2), ":", -1).try_cast("int")
+    seconds = F.substring_index(text, ":", -1).try_cast("int")
+    return F.when(colons == 2, hours * 3600 + minutes * 60 + seconds)
 
 
 def seconds_to_interval(seconds: Column) -> Column:

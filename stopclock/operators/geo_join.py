@@ -157,9 +157,7 @@ def nearest_stops_join(
     cells = (
         _cell_counts(places, start).agg(F.collect_list(F.struct("row", "col", "n"))).scalar()
     )
-    frontier = asked.withColumn("cells", cells).select(
-        point_id, "p_lat", "p_lon", F.explode(_prune_in_row(start, k)).alias("c")
-    ).select(point_id, "p_lat", "p_lon", "c.row", "c.col")
+    frontier = _first_frontier(asked.withColumn("cells", cells), start, k, point_id)
     for level in range(start + 1, end + 1):
         frontier = _descend(frontier, places, level, k, point_id)
 
@@ -176,8 +174,12 @@ def nearest_stops_join(
     )
 
 
-def _prune_in_row(level: int, k: int) -> Column:
-    """The cells of the list that can hold one of the k nearest, without a shuffle."""
+def _first_frontier(asked: DataFrame, level: int, k: int, point_id: str) -> DataFrame:
+    """The cells of the list that can hold one of the k nearest, without a shuffle.
+
+    The list with its distances and the reach are columns of their own, computed once per
+    point before the list is opened.
+    """
     measured = F.transform(
         F.col("cells"),
         lambda c: F.struct(
@@ -189,7 +191,7 @@ def _prune_in_row(level: int, k: int) -> Column:
     )
     none = F.lit(None).cast("double")
     reach = F.aggregate(
-        F.array_sort(measured),
+        F.col("measured"),
         F.struct(F.lit(0).cast("long").alias("n"), none.alias("d")),
         lambda acc, c: F.struct(
             (acc["n"] + c["n"]).alias("n"),
@@ -197,8 +199,14 @@ def _prune_in_row(level: int, k: int) -> Column:
         ),
         lambda acc: F.coalesce(acc["d"], F.lit(float("inf"))),
     )
-    limit = reach + (2 * _half_diagonal_m(level) + SLACK_M)
-    return F.filter(measured, lambda c: c["d"] <= limit)
+    place = [point_id, "p_lat", "p_lon"]
+    return (
+        asked.select(*place, F.sort_array(measured).alias("measured"))
+        .select(*place, "measured", reach.alias("reach"))
+        .select(*place, "reach", F.inline("measured"))
+        .filter(F.col("d") <= F.col("reach") + (2 * _half_diagonal_m(level) + SLACK_M))
+        .select(*place, "row", "col")
+    )
 
 
 def _descend(

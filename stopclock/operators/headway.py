@@ -62,6 +62,7 @@ def headways(
             F.min("arrival_time").alias("arrival_time"),
             F.max("arrival_time").alias("last_arrival"),
         )
+        .repartition(*PLACE, "slice")
     )
     in_slice = Window.partitionBy(*PLACE, "slice").orderBy("second")
     inner = merged.select(
@@ -69,7 +70,7 @@ def headways(
     )
     # First and last arrival per slice: one row per slice and stop, so the window over a
     # whole stop is bounded by the length of time covered, not by the traffic.  Both
-    # branches use the same columns of ``merged``, so its shuffle runs once.
+    # branches use the same columns of ``merged``, so its shuffles run once.
     borders = merged.groupBy(*PLACE, "slice").agg(
         F.min("arrival_time").alias("arrival_time"),
         F.max("last_arrival").alias("last_arrival"),

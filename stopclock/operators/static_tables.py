@@ -72,19 +72,23 @@ def type_trips(df: DataFrame, snapshot_date) -> DataFrame:
 
 
 def type_stop_times(df: DataFrame, snapshot_date) -> DataFrame:
-    arrival, departure = (M.gtfs_seconds(F.col(c)) for c in ("arrival_time", "departure_time"))
-    return df.select(
+    typed = df.select(
         *_texts("trip_id"),
         *_ints("stop_sequence"),
         *_texts("stop_id"),
-        M.seconds_to_interval(arrival).alias("arrival_time"),
-        M.seconds_to_interval(departure).alias("departure_time"),
-        arrival.alias("arrival_s"),
-        departure.alias("departure_s"),
+        M.gtfs_seconds(F.col("arrival_time")).alias("arrival_s"),
+        M.gtfs_seconds(F.col("departure_time")).alias("departure_s"),
         *_ints("pickup_type", "drop_off_type"),
         X.double_or_null(F.col("shape_dist_traveled")).alias("shape_dist_traveled"),
         _stamp(snapshot_date),
     )
+    # The intervals come from the finished seconds, so each text is read once.
+    return typed.withColumns(
+        {
+            "arrival_time": M.seconds_to_interval(F.col("arrival_s")),
+            "departure_time": M.seconds_to_interval(F.col("departure_s")),
+        }
+    ).select(*S.STOP_TIMES.columns)
 
 
 def type_calendar(df: DataFrame, snapshot_date) -> DataFrame:

@@ -66,47 +66,48 @@ def append_rows(root: str, table: Table, rows: DataFrame) -> None:
     )
 
 
-def append_new_by_key(spark: SparkSession, root: str, table: Table, rows: DataFrame) -> None:
-    """Append history rows whose key is not there yet."""
+def _keyed_path(root: str, table: Table, part: str | None) -> str:
     path = table_path(root, table)
-    if storage.exists(spark, path):
-        current = spark.read.schema(table.ddl).parquet(path)
-    else:
-        current = spark.createDataFrame([], table.ddl)
-    append_rows(root, table, append_new(current, rows, table.key))
+    return f"{path}/{part}" if part else path
 
 
-def read_keyed(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """Current version of a keyed table; empty where there is none."""
-    version = storage.current_version(spark, table_path(root, table))
+def read_keyed(
+    spark: SparkSession, root: str, table: Table, part: str | None = None
+) -> DataFrame:
+    """Current version of a keyed table, or of one part of it; empty where there is none."""
+    version = storage.current_version(spark, _keyed_path(root, table, part))
     if version is None:
         return spark.createDataFrame([], table.ddl)
     return spark.read.schema(table.ddl).parquet(version)
 
 
-def write_keyed(spark: SparkSession, root: str, table: Table, rows: DataFrame) -> str:
-    """Write ``rows`` as the next version and make it the current one."""
-    path = table_path(root, table)
-    version = storage.new_version(path)
-    rows.select(*table.columns).write.option("compression", "zstd").parquet(version)
-    storage.point_to(spark, path, version)
-    return version
-
-
 def merge_keyed(
     spark: SparkSession,
     root: str,
     table: Table,
     batch: DataFrame,
     merge: Callable[[DataFrame, DataFrame], DataFrame],
+    part: str | None = None,
+    token: str | None = None,
     keep_versions: int = 3,
-) -> None:
-    """Merge a batch into a keyed table and drop versions beyond the last few."""
-    path = table_path(root, table)
+) -> bool:
+    """Merge a batch into a keyed table as its next version; older versions beyond the
+    last few are dropped.
+
+    A table, or a part of it, has one writer at a time.  ``token`` names the batch: if the
+    current version was made from it, nothing is done and False returned, so a batch that
+    comes again after a failure counts once.
+    """
+    path = _keyed_path(root, table, part)
     before = storage.current_version(spark, path)
-    merged = merge(read_keyed(spark, root, table), batch)
-    version = write_keyed(spark, root, table, merged)
+    if token and before and before.endswith(f"-{token}"):
+        return False
+    version = storage.new_version(path) + (f"-{token}" if token else "")
+    merged = merge(read_keyed(spark, root, table, part), batch)
+    merged.select(*table.columns).write.option("compression", "zstd").parquet(version)
+    storage.point_to(spark, path, version)
     _drop_old_versions(spark, path, {version, before}, keep_versions)
+    return True
 
 
 def _drop_old_versions(

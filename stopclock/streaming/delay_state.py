@@ -141,7 +141,8 @@ class DelayState(StatefulProcessor):
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         self.handle.registerTimer((heard + self.sweep_us) // 1000)
-        yield _out(key, {s: visits[s] for s in sorted(changed_visits)})
+        if changed_visits:
+            yield _out(key, {s: visits[s] for s in sorted(changed_visits)})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         open_ = {k[0]: list(v) for k, v in self.visits.iterator() if v[5] == "predicted"}
@@ -150,7 +151,8 @@ class DelayState(StatefulProcessor):
         self.visits.clear()
         self.seen.clear()
         self.heard.clear()
-        yield _out(key, open_)
+        if open_:
+            yield _out(key, open_)
 
     def close(self) -> None:
         pass

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import partial
+from hashlib import md5
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from stopclock.operators.feed_rows import (
 )
 from stopclock.operators.merges import upsert_keep_first, upsert_signature
 from stopclock.operators.signatures import as_observations, field_signature
-from stopclock.plans.tables import append_events, append_new_by_key, append_rows, merge_keyed
+from stopclock.plans.tables import append_events, merge_keyed
 from stopclock.sources.feeds import scan_feed_snapshots
 
 FEEDS = {
@@ -40,8 +41,12 @@ def ingest_polls(
     root: str,
     feed: str,
     agency_id: str = S.DEFAULT_AGENCY_ID,
+    token: str | None = None,
 ) -> None:
-    """Land a set of polls of one feed: rows, signatures, dead letters."""
+    """Land a set of polls of one feed: rows, signatures, dead letters.
+
+    ``token`` names the set, so that its signatures count once if it is landed again.
+    """
     table, to_rows = FEEDS[feed]
     feed_key = f"{agency_id}.{feed}"
     polls = polls.persist(StorageLevel.MEMORY_AND_DISK)
@@ -63,8 +68,11 @@ def ingest_polls(
         observed = as_observations(
             field_signature(signed.withColumn("feed_key", F.lit(feed_key)))
         )
-        merge_keyed(spark, root, S.SIGNATURES, observed, upsert_signature)
-        append_new_by_key(spark, root, S.FAILURES, _rejects(polls, unkeyed, feed_key))
+        merge_keyed(
+            spark, root, S.SIGNATURES, observed, upsert_signature, part=feed, token=token
+        )
+        rejects = _rejects(polls, unkeyed, feed_key)
+        append_events(spark, root, S.FAILURES, rejects, ts_col="occurred_at")
     finally:
         polls.unpersist()
 
@@ -103,9 +111,11 @@ def ingest_stream(
     """Start the ingest of a landing folder.  The default trigger takes what is there and
     stops; ``{"processingTime": "1 minute"}`` goes on (five minutes suit alerts)."""
     polls = scan_feed_snapshots(spark, landing, stream=True)
+    stream_id = md5(checkpoint.encode()).hexdigest()[:8]
 
-    def land(batch: DataFrame, _batch_id: int) -> None:
-        ingest_polls(batch.sparkSession, batch, root, feed, agency_id)
+    def land(batch: DataFrame, batch_id: int) -> None:
+        token = f"{stream_id}.{batch_id}"
+        ingest_polls(batch.sparkSession, batch, root, feed, agency_id, token)
 
     return (
         polls.writeStream.foreachBatch(land)
