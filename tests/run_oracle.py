@@ -27,8 +27,9 @@ def main() -> None:
         try:
             df = run(spark, folder)
             if name in sql:
-                wrong = difference(df, con, sql[name])
-                exact = wrong or ("" if difference(df, con, sql[name], exact=True) is None else "(float noise)")
+                exact = difference(df, con, sql[name], exact=True) or ""
+                wrong = exact and difference(df, con, sql[name])
+                exact = wrong or (f"(float noise: {exact[:80]})" if exact else "")
             else:
                 wrong, exact = None, f"rows only: {df.count()}"
         except Exception as e:  # noqa: BLE001
