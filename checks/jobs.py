@@ -296,7 +296,18 @@ def _(spark, d):
     return last.drop("_batch")
 
 
-@query("stream_throttle")
+@query(
+    "stream_throttle",
+    """WITH RECURSIVE e AS (SELECT event_id, user_id, ts,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts) AS n FROM events),
+      s AS (SELECT *, ts AS start, 1 AS used, true AS allowed FROM e WHERE n = 1
+        UNION ALL
+        SELECT e.*, CASE WHEN e.ts - start >= INTERVAL 2 HOUR THEN e.ts ELSE start END,
+          CASE WHEN e.ts - start >= INTERVAL 2 HOUR THEN 1 WHEN used < 2 THEN used + 1 ELSE used END,
+          e.ts - start >= INTERVAL 2 HOUR OR used < 2
+        FROM s JOIN e ON e.user_id = s.user_id AND e.n = s.n + 1)
+    SELECT event_id, user_id, ts, allowed FROM s""",
+)
 def _(spark, d):
     before = spark.conf.get(PROVIDER, None)
     spark.conf.set(PROVIDER, ROCKSDB)

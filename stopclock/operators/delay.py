@@ -175,8 +175,10 @@ def stop_delays(
         F.col("received_at") <= now
     )
     seen = sightings(positions.filter(F.col("received_at") <= now), stop_times, zone)
-    finals = finalize_times(predicted, seen)
-    in_time = predicted.join(finals, VISIT).filter(
+    # The stops of every trip seen, from the schedule: the predictions are read once.
+    trips = seen.select("start_date", "trip_id").distinct()
+    stops = trips.join(_schedule(stop_times).select("trip_id", "stop_sequence"), "trip_id")
+    in_time = predicted.join(finalize_times(stops, seen), VISIT, "left").filter(
         F.col("finalized_at").isNull() | (F.col("received_at") <= F.col("finalized_at"))
     )
     last = latest_per_key(

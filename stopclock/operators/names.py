@@ -52,9 +52,25 @@ def resolve_routes(
     ``loose`` adds, between 2 and 3, a match of any word of the query that is no stop word.
     An empty query matches nothing.
     """
+    found = _found(queries, routes, text_col, loose)
+    return (
+        queries.withColumn("q", _normal(text_col))
+        .join(found, "q", "left")
+        .select(
+            *queries.columns, "tier", *[F.col(f"hit.{c}").alias(c) for c in ROUTE_COLUMNS]
+        )
+    )
+
+
+def _normal(text_col: str) -> Column:
+    return F.lower(strip(F.col(text_col)))
+
+
+def _found(queries: DataFrame, routes: DataFrame, text_col: str, loose: bool) -> DataFrame:
+    """One row per distinct query text: ``q``, ``tier`` and ``hit``, the route or NULL."""
     catalog = routes.select(*ROUTE_COLUMNS)
     asked = (
-        queries.select(F.lower(strip(F.col(text_col))).alias("q"))
+        queries.select(_normal(text_col).alias("q"))
         .filter(F.col("q") != "")
         .distinct()
     )
@@ -94,16 +110,9 @@ def resolve_routes(
     tiers += [("hit_2b", "2b")] if loose else []
     tiers += [("hit_3", "3")]
     tier = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(t)) for c, t in tiers])
-    found = named.select(
+    return named.select(
         "q", tier.alias("tier"), F.coalesce(*[F.col(c) for c, _ in tiers]).alias("hit")
     )
-    return (
-        queries.withColumn("q", F.lower(strip(F.col(text_col))))
-        .join(found, "q", "left")
-        .select(
-            *queries.columns, "tier", *[F.col(f"hit.{c}").alias(c) for c in ROUTE_COLUMNS]
-        )
-    )
 
 
 def _by_piece(open_: DataFrame, names: DataFrame) -> DataFrame:
@@ -153,7 +162,6 @@ def vehicles_on_route(
     list, and so the count, holds the first ``limit`` vehicles by id, which also bounds
     what is gathered per route.
     """
-    resolved = resolve_routes(queries, routes, text_col)
     live = current_positions(positions, as_of, minutes, by=("route_id", "vehicle_id"))
     first = Window.partitionBy("route_id").orderBy("vehicle_id")
     fleet = (
@@ -165,8 +173,15 @@ def vehicles_on_route(
             F.sort_array(F.collect_list(F.struct(*POSITION_COLUMNS))).alias("vehicles"),
         )
     )
+    # Routes meet vehicles once per distinct text; only the answers are spread over the
+    # queries.
+    found = _found(queries, routes, text_col, loose=False).select(
+        "q", "tier", *[F.col(f"hit.{c}").alias(c) for c in ROUTE_COLUMNS]
+    )
+    answers = found.filter(F.col("route_id").isNotNull()).join(fleet, "route_id", "left")
     return (
-        resolved.join(fleet, "route_id", "left")
+        queries.withColumn("q", _normal(text_col))
+        .join(answers, "q", "left")
         .withColumn("matched", F.col("route_id").isNotNull())
         .withColumn(
             "vehicle_count",
