@@ -19,6 +19,7 @@ from stopclock.plans import export, snapshot, tables
 from stopclock.plans.reports import stored_freshness
 from stopclock.session import scratch_path
 from stopclock.sources import cold
+from stopclock.sources.payloads import decode_feed_payloads
 from stopclock.streaming import delay_state, freshness, ingest, throttle
 
 query, newest = R.query, R.newest
@@ -136,6 +137,17 @@ def _(spark, d):
     return stored.select("alert_id", "first_seen_at", "last_seen_at", "header_text")
 
 
+@query(
+    "decode_feed_payloads",
+    f"SELECT * EXCLUDE (raw_payload_hash) FROM ({R.ORACLES['vehicle_position_rows']})",
+)
+def _(spark, d):
+    """The vehicle messages as binary payloads, decoded again."""
+    payloads = V.as_payloads(V.position_messages(spark, d))
+    rows = feed_rows.vehicle_position_rows(decode_feed_payloads(payloads))
+    return rows.drop("congestion_level", "raw_payload_hash")
+
+
 def _write_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).option("quoteAll", True).csv(path)
 

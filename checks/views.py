@@ -410,3 +410,39 @@ def alert_messages(spark: SparkSession, d: str) -> DataFrame:
         F.struct(start.cast("string").alias("timestamp")).alias("header"),
         F.array(F.struct(conv.cast("string").alias("id"), alert.alias("alert"))).alias("entity"),
     )
+
+
+def _encode(chunks):
+    import json
+
+    import pandas as pd
+    from google.protobuf.json_format import ParseDict
+
+    from stopclock import schemas as S
+    from stopclock.sources.payloads import message_class
+
+    feed = message_class()
+    codes = {**S.VEHICLE_STOP_STATUS, **S.OCCUPANCY_STATUS, **S.SCHEDULE_RELATIONSHIP}
+
+    def numbered(value):
+        if isinstance(value, dict):
+            return {k: numbered(v) for k, v in value.items()}
+        if isinstance(value, list):
+            return [numbered(v) for v in value]
+        return codes.get(value, value) if isinstance(value, str) else value
+
+    for chunk in chunks:
+        yield pd.Series([ParseDict(numbered(json.loads(t)), feed()).SerializeToString() for t in chunk])
+
+
+def as_payloads(messages: DataFrame) -> DataFrame:
+    """Messages in their binary form, with the time they were received."""
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    _encode.__annotations__ = {"chunks": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    encode = F.pandas_udf(_encode, "binary")
+    return messages.select(
+        "received_at", encode(F.to_json(F.struct("header", "entity"))).alias("content")
+    )

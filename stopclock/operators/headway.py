@@ -7,8 +7,10 @@ task:
   its shuffle;
 * arrivals of the same second at a stop are merged the same way (gaps of zero are never
   reported), after which a stop holds at most one row per second;
-* the ``lag`` runs inside time slices of a stop, hence over at most ``slice_s`` rows; the
-  gap across a slice border comes from the first and last arrival of each slice.
+* the ``lag`` runs inside time slices of a stop, hence over at most one row per second of
+  a slice, and years of one stop go to many tasks.  Gaps of ``max_s`` and more are dropped
+  anyway, so a slice only has to know the last ``max_s`` seconds before it: rows of that
+  time are in both slices, and count in their own only.
 
 Both shuffles after the first one carry collapsed rows only, a small part of the feed.
 """
@@ -19,6 +21,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PLACE = ("route_id", "direction_id", "stop_id")
+# A week: at most 604,800 rows per stop, of which about one in eighty is also needed by the
+# week after.
+SLICE_S = 7 * 86_400
 
 
 def collapse_arrivals(
@@ -44,7 +49,7 @@ def collapse_arrivals(
 
 
 def headways(
-    arrivals: DataFrame, min_s: int = 30, max_s: int = 7200, slice_s: int = 3600
+    arrivals: DataFrame, min_s: int = 30, max_s: int = 7200, slice_s: int = SLICE_S
 ) -> DataFrame:
     """Seconds since the previous vehicle at the same route, direction and stop, where
     ``min_s < seconds < max_s``.
@@ -53,37 +58,26 @@ def headways(
     """
     if min_s < 0:
         raise ValueError("min_s must not be negative")
-    second = F.unix_seconds("arrival_time")
+    slice_s = max(slice_s, max_s)
+    second = F.col("second")
+    own = F.floor(second / slice_s)
+    also_next = second >= (own + 1) * slice_s - max_s
     merged = (
-        arrivals.withColumn("second", second)
-        .withColumn("slice", F.floor(F.col("second") / slice_s))
+        arrivals.select(*PLACE, "arrival_time", F.unix_seconds("arrival_time").alias("second"))
+        .withColumn("slice", F.explode(F.when(also_next, F.array(own, own + 1)).otherwise(F.array(own))))
         .groupBy(*PLACE, "slice", "second")
         .agg(
             F.min("arrival_time").alias("arrival_time"),
             F.max("arrival_time").alias("last_arrival"),
         )
-        .repartition(*PLACE, "slice")
     )
     in_slice = Window.partitionBy(*PLACE, "slice").orderBy("second")
-    inner = merged.select(
-        *PLACE, "arrival_time", F.lag("last_arrival").over(in_slice).alias("prev_arrival")
-    )
-    # First and last arrival per slice: one row per slice and stop, so the window over a
-    # whole stop is bounded by the length of time covered, not by the traffic.  Both
-    # branches use the same columns of ``merged``, so its shuffles run once.
-    borders = merged.groupBy(*PLACE, "slice").agg(
-        F.min("arrival_time").alias("arrival_time"),
-        F.max("last_arrival").alias("last_arrival"),
-    )
-    across = Window.partitionBy(*PLACE).orderBy("slice")
-    outer = borders.select(
-        *PLACE, "arrival_time", F.lag("last_arrival").over(across).alias("prev_arrival")
-    )
-    gap = F.unix_seconds("arrival_time") - F.unix_seconds("prev_arrival")
+    gap = second - F.unix_seconds("prev_arrival")
     return (
-        inner.unionByName(outer)
+        merged.withColumn("prev_arrival", F.lag("last_arrival").over(in_slice))
         .withColumn("headway_s", gap)
-        .filter((F.col("headway_s") > min_s) & (F.col("headway_s") < max_s))
+        .filter((F.col("slice") == own) & (F.col("headway_s") > min_s) & (F.col("headway_s") < max_s))
+        .select(*PLACE, "arrival_time", "prev_arrival", "headway_s")
     )
 
 

@@ -12,8 +12,14 @@ from stopclock import storage
 from stopclock.operators.events import settled
 from stopclock.operators.freshness import freshness
 from stopclock.operators.headway import collapse_arrivals, headways, route_reliability
-from stopclock.plans.tables import read_events, table_path
-from stopclock.schemas import DEFAULT_AGENCY_ID, Table
+from stopclock.plans.tables import append_rows, read_events, read_keyed, table_path
+from stopclock.schemas import (
+    DEFAULT_AGENCY_ID,
+    EVENT_TABLES,
+    FRESHNESS,
+    SERVICE_ALERTS,
+    Table,
+)
 
 
 def route_reliability_report(
@@ -51,3 +57,26 @@ def stored_freshness(
     if row.first()["last_record_at"] is not None:
         return row
     return freshness(events, feed_key, as_of, agency_id=agency_id)
+
+
+def record_freshness(
+    spark: SparkSession, root: str, as_of: datetime, agency_id: str = DEFAULT_AGENCY_ID
+) -> DataFrame:
+    """Check all feeds of a store, append the snapshots to its history, and return them.
+
+    The alert feed counts alerts that were still in the newest polls, not new ones.
+    """
+    snapshots = freshness(
+        read_keyed(spark, root, SERVICE_ALERTS),
+        f"{agency_id}.{SERVICE_ALERTS.name}",
+        as_of,
+        ts_col="last_seen_at",
+        agency_id=agency_id,
+    )
+    for table in EVENT_TABLES.values():
+        feed_key = f"{agency_id}.{table.name}"
+        snapshots = snapshots.unionByName(
+            stored_freshness(spark, root, table, feed_key, as_of, agency_id)
+        )
+    append_rows(root, FRESHNESS, snapshots)
+    return snapshots

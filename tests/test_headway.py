@@ -46,7 +46,7 @@ def test_negative_lower_bound_is_refused(spark):
         headway.headways(arrivals(spark, 0), min_s=-1)
 
 
-@pytest.mark.parametrize("slice_s", [60, 3600, 86400])
+@pytest.mark.parametrize("slice_s", [60, 3600, 86400, headway.SLICE_S])
 def test_slices_change_nothing(spark, slice_s):
     rnd = random.Random(3)
     busy = [rnd.randrange(0, 200_000) for _ in range(3000)]

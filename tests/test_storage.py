@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from stopclock import schemas as S
 from stopclock import storage
-from stopclock.operators.feed_rows import vehicle_position_rows
+from stopclock.operators.feed_rows import service_alert_rows, vehicle_position_rows
+from stopclock.operators.freshness import freshness_trend, latest_freshness
 from stopclock.operators.merges import upsert_signature
 from stopclock.plans import export, snapshot, tables
-from stopclock.plans.reports import stored_freshness
+from stopclock.plans.reports import record_freshness, stored_freshness
 from stopclock.sources import relational
 from stopclock.sources.cold import scan_cold, scan_events
 from stopclock.sources.gtfs_static import scan_gtfs
@@ -101,6 +102,26 @@ def test_stored_freshness_falls_back_to_older_days(spark, tmp_path):
     assert (row.lag_seconds, row.status) == (60, "healthy")
 
 
+def test_freshness_history(spark, tmp_path):
+    root = str(tmp_path)
+    tables.append_events(spark, root, S.VEHICLE_POSITIONS, positions(spark, "2026-04-14 11:59:30"))
+    alert = service_alert_rows(feeds.polls(spark, feeds.message(feeds.alert()), times=("2026-04-14 11:50:00",)))
+    tables.merge_keyed(spark, root, S.SERVICE_ALERTS, alert, lambda _, batch: batch)
+    noon = datetime(2026, 4, 14, 12, tzinfo=timezone.utc)
+    for minute in (0, 20):
+        record_freshness(spark, root, noon + timedelta(minutes=minute))
+    history = spark.read.schema(S.FRESHNESS.ddl).parquet(f"{root}/freshness_snapshot")
+    assert history.count() == 6
+    newest = {r.feed_key: (r.lag_seconds, r.status) for r in latest_freshness(history).collect()}
+    assert newest == {
+        "ttc.vehicle_positions": (1230, "down"),
+        "ttc.trip_updates": (None, "down"),
+        "ttc.service_alerts": (1800, "lagging"),
+    }
+    trend = freshness_trend(history, "ttc.vehicle_positions", noon + timedelta(hours=1)).collect()
+    assert [r.status for r in trend] == ["down", "healthy"]
+
+
 # --- static archive ---------------------------------------------------------------------
 
 FILES = {
