@@ -358,13 +358,11 @@ def _(spark, d):
     "unresolved_failures",
     f"""WITH {_LETTERS} SELECT failure_id,
       make_timestamp(1700000000000000 + doc_id * 1000000) AS occurred_at
-    FROM letters WHERE doc_id % 3 <> 0""",
+    FROM letters WHERE lang <> 'en'""",
 )
 def _(spark, d):
-    t = F.unix_seconds("occurred_at") - 1_700_000_000
-    failures = _letters(spark, d).withColumn(
-        "resolved_at", F.when(t % 3 == 0, F.col("occurred_at"))
-    )
+    done = F.when(F.col("feed_key").startswith("en."), F.col("occurred_at"))
+    failures = _letters(spark, d).withColumn("resolved_at", done)
     return dead_letters.unresolved_failures(failures).select("failure_id", "occurred_at")
 
 
@@ -632,18 +630,19 @@ _LINE_KEYS = ["l_orderkey", "l_linenumber"]
 
 @query(
     "append_new",
-    """WITH line AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem),
-      current AS (SELECT DISTINCT l_orderkey, l_linenumber FROM line WHERE l_partkey % 3 = 0),
-      batch AS (SELECT * FROM line WHERE l_partkey % 3 <> 1
+    """WITH current AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem
+        WHERE l_returnflag = 'R'),
+      batch AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
         QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
           ORDER BY l_partkey, l_suppkey) = 1)
     SELECT * FROM batch b WHERE NOT EXISTS (SELECT 1 FROM current c
       WHERE c.l_orderkey = b.l_orderkey AND c.l_linenumber = b.l_linenumber)""",
 )
 def _(spark, d):
-    line = V.table(spark, d, "lineitem").select(*_LINE_KEYS, "l_partkey", "l_suppkey")
-    current = line.filter(F.col("l_partkey") % 3 == 0).select(*_LINE_KEYS).distinct()
-    batch = line.filter(F.col("l_partkey") % 3 != 1)
+    """All lines as a batch, for a table that has the returned ones already."""
+    line = V.table(spark, d, "lineitem")
+    current = line.filter("l_returnflag = 'R'").select(*_LINE_KEYS).distinct()
+    batch = line.select(*_LINE_KEYS, "l_partkey", "l_suppkey")
     order = [F.col("l_partkey"), F.col("l_suppkey")]
     return merges.append_new(current, batch, _LINE_KEYS, order)
 
@@ -872,7 +871,7 @@ def _(spark, d):
       CAST(event_id % 7 AS INTEGER) AS current_stop_sequence, CAST(user_id % 5 AS VARCHAR) AS stop_id,
       CASE WHEN event_id % 4 <> 0 THEN 5 END AS occupancy_status,
       sha256(CAST(event_id AS VARCHAR)) AS raw_payload_hash
-    FROM events WHERE event_id % 10 <> 0""",
+    FROM events WHERE event_type <> 'error'""",
 )
 def _(spark, d):
     rows = feed_rows.vehicle_position_rows(V.position_messages(spark, d))
@@ -985,8 +984,7 @@ def _(spark, d):
 @query(
     "words_and_numbers",
     """SELECT doc_id, len(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS n_words,
-      sha256(text) AS digest, left(text, 2000) AS head,
-      TRY_CAST(nullif(trim(substr(text, 1, 2)), '') AS INTEGER) AS number FROM documents""",
+      sha256(text) AS digest, CAST(n_chars AS INTEGER) AS number FROM documents""",
 )
 def _(spark, d):
     docs = V.table(spark, d, "documents")
@@ -994,8 +992,7 @@ def _(spark, d):
         "doc_id",
         F.size(X.words(F.col("text"))).cast("long").alias("n_words"),
         X.sha256(F.col("text")).alias("digest"),
-        X.short_message(F.col("text")).alias("head"),
-        X.int_or_null(F.substring("text", 1, 2)).alias("number"),
+        X.int_or_null(F.concat(F.lit(" "), "n_chars")).alias("number"),
     )
 
 

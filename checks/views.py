@@ -303,7 +303,7 @@ def position_messages(spark: SparkSession, d: str) -> DataFrame:
     vehicle = F.struct(
         F.struct(unless(11, u.cast("string")).alias("id")).alias("vehicle"),
         unless(9, trip).alias("trip"),
-        unless(10, position).alias("position"),
+        F.when(F.col("event_type") != "error", position).alias("position"),
         status.alias("current_status"),
         (i % 7).cast("int").alias("current_stop_sequence"),
         (u % 5).cast("string").alias("stop_id"),

@@ -18,10 +18,13 @@ from stopclock.functions.times import compact_date, epoch_to_ts
 
 
 def _code(c: Column, names: Mapping[str, int]) -> Column:
-    """Enum number from a number, digits or the enum's name; unset stays NULL."""
+    """Enum number from the enum's name, a number or digits; unset stays NULL.
+
+    The names come first: a failed number conversion is the slow way to find one.
+    """
     text = c.cast("string")
     lookup = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    return F.coalesce(text.try_cast("smallint"), lookup[text].cast("smallint"))
+    return F.coalesce(lookup[text].cast("smallint"), text.try_cast("smallint"))
 
 
 def _feed_time() -> Column:

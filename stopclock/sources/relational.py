@@ -76,7 +76,7 @@ def jdbc_append(
 ) -> None:
     """Append an aggregate to a relational table over at most ``connections`` sessions."""
     (
-        df.coalesce(connections)
+        df.repartition(connections)
         .write.format("jdbc")
         .mode("append")
         .option("url", url)
