@@ -33,7 +33,7 @@ def ask(spark, routes, *texts, **options):
     return [r.route_id for r in rows]
 
 
-def test_reference_cases(spark, routes):
+def test_what_riders_say(spark, routes):
     asked = ["504", "  504  ", "King", "king", "Kingston", "1", "Dufferin", "nonexistent-route-xyz"]
     expected = ["r-504", "r-504", "r-504", "r-504", "r-12", "r-line1", "r-29", None]
     assert ask(spark, routes, *asked) == expected
