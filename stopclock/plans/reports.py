@@ -12,7 +12,7 @@ from stopclock import storage
 from stopclock.operators.events import settled
 from stopclock.operators.freshness import freshness
 from stopclock.operators.headway import collapse_arrivals, headways, route_reliability
-from stopclock.plans.tables import append_rows, read_events, read_keyed, table_path
+from stopclock.plans.tables import append_events, read_events, read_keyed, table_path
 from stopclock.schemas import (
     DEFAULT_AGENCY_ID,
     EVENT_TABLES,
@@ -78,5 +78,5 @@ def record_freshness(
         snapshots = snapshots.unionByName(
             stored_freshness(spark, root, table, feed_key, as_of, agency_id)
         )
-    append_rows(root, FRESHNESS, snapshots)
+    append_events(spark, root, FRESHNESS, snapshots, ts_col="snapshot_at")
     return snapshots

@@ -56,16 +56,6 @@ def append_events(
     return unkeyed
 
 
-def append_rows(root: str, table: Table, rows: DataFrame) -> None:
-    """Append history rows as they are."""
-    (
-        rows.select(*table.columns)
-        .write.mode("append")
-        .option("compression", "zstd")
-        .parquet(table_path(root, table))
-    )
-
-
 def _keyed_path(root: str, table: Table, part: str | None) -> str:
     path = table_path(root, table)
     return f"{path}/{part}" if part else path

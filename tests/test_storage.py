@@ -108,9 +108,9 @@ def test_freshness_history(spark, tmp_path):
     alert = service_alert_rows(feeds.polls(spark, feeds.message(feeds.alert()), times=("2026-04-14 11:50:00",)))
     tables.merge_keyed(spark, root, S.SERVICE_ALERTS, alert, lambda _, batch: batch)
     noon = datetime(2026, 4, 14, 12, tzinfo=timezone.utc)
-    for minute in (0, 20):
+    for minute in (0, 20, 20):
         record_freshness(spark, root, noon + timedelta(minutes=minute))
-    history = spark.read.schema(S.FRESHNESS.ddl).parquet(f"{root}/freshness_snapshot")
+    history = tables.read_events(spark, root, S.FRESHNESS)
     assert history.count() == 6
     newest = {r.feed_key: (r.lag_seconds, r.status) for r in latest_freshness(history).collect()}
     assert newest == {
