@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopclock.llm import bpe, prefix_hash, token_files
+from stopclock.llm import bpe, pii, prefix_hash, secret_lexer, token_files, url_rules
 from stopclock.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,37 @@ def _(spark, d):
     )
 
 
+# The rules of the URL filter.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+@query("op2_url_rules")
+def _(spark, d):
+    rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, verdict string")
+    return url_rules.judge(table(spark, d, "pages"), rules)
+
+
+@query("op3_pii")
+def _(spark, d):
+    found = pii.find(table(spark, d, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
+@query("op6_secret_lexer")
+def _(spark, d):
+    found = secret_lexer.find(table(spark, d, "documents"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
 @query("op7_prefix_hash")
 def _(spark, d):
     pairs = prefix_hash.compare_with_next(table(spark, d, "documents"))
