@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopclock.llm import bpe, pii, prefix_hash, secret_lexer, token_files, url_rules
+from stopclock.llm import (
+    bpe,
+    pii,
+    prefix_hash,
+    quality_gam,
+    secret_lexer,
+    simhash,
+    token_files,
+    url_rules,
+)
 from stopclock.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +77,18 @@ def _(spark, d):
     )
 
 
+@query("op5_quality_gam")
+def _(spark, d):
+    docs = table(spark, d, "documents")
+    model = quality_gam.train(docs, table(spark, d, "labels"))
+    return quality_gam.score(docs, model).select(
+        "doc_id",
+        (quality_gam.fold(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_gam.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query("op6_secret_lexer")
 def _(spark, d):
     found = secret_lexer.find(table(spark, d, "documents"))
@@ -90,6 +111,14 @@ def _(spark, d):
     )
 
 
+@query("op8_simhash")
+def _(spark, d):
+    marks = simhash.fingerprints(table(spark, d, "documents"), size=3)
+    return simhash.connected(marks, radius=3).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 @query("op9_token_files")
 def _(spark, d):
     path = scratch_path(spark, "token-files")
