@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stopclock.llm import (
     bpe,
+    decontaminate,
     pii,
     prefix_hash,
     quality_gam,
@@ -77,6 +78,12 @@ def _(spark, d):
     )
 
 
+@query("op4_decontaminate")
+def _(spark, d):
+    found = decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "n_words", "similarity")
+
+
 @query("op5_quality_gam")
 def _(spark, d):
     docs = table(spark, d, "documents")
