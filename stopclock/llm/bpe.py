@@ -30,6 +30,8 @@ L, N, P, Q1, Q2, W, SP, WS, END = range(9)
 # that joins what follows; in white space; one or two letters of a contraction to come.
 NEW, LETTERS, NUMBERS, MARKS, SPACE, WHITE, ONE, TWO = range(8)
 
+#: Ids that are decoded before the bytes go on.
+DECODED = 1 << 18
 #: Contraction endings of the pattern: after an apostrophe one of these letters, or a pair.
 SHORT, LONG = "stmd", ("re", "ve", "ll")
 
@@ -362,11 +364,18 @@ def decode(encoded: DataFrame, rank_path: str, keep: tuple[str, ...] = ("doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(rank_path)
         for batch in batches:
-            column = batch.column("ids")
-            rows = [None if v is None else b"".join(map(words.__getitem__, v)) for v in column.to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(rows, pa.binary())], names=[*keep, "decoded"]
-            )
+            ids = batch.column("ids")
+            ends, values, known = np.asarray(ids.offsets), ids.values, ids.is_valid().to_pylist()
+            start, rows, weight = 0, [], 0
+            for i, ok in enumerate(known):
+                # One document's ids at a time become Python numbers.
+                own = values.slice(ends[i], ends[i + 1] - ends[i]).to_numpy().tolist()
+                rows.append(b"".join(map(words.__getitem__, own)) if ok else None)
+                weight += len(own)
+                if weight >= DECODED or i + 1 == len(known):
+                    kept = (batch.column(c).slice(start, len(rows)) for c in keep)
+                    yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, pa.binary())], names=[*keep, "decoded"])
+                    start, rows, weight = i + 1, [], 0
 
     return encoded.select(*dict.fromkeys([*keep, "ids"])).mapInArrow(run, out)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stopclock.session import scratch_path
 
 #: Text bytes that one step of a Python operator holds at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
