@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stopclock.llm.bpe import Cache, TokenTable, encode_texts
-from stopclock.llm.common import chunks, in_id_order, shuffle_count, texts_of
+from stopclock.llm.common import chunks, cut, in_id_order, shuffle_count, texts_of
 
 COLUMNS = "part int, place bigint, doc_id bigint, ids array<int>"
 
@@ -106,11 +106,14 @@ def index(spark: SparkSession, path: str) -> DataFrame:
                 names=["part", "place", "doc_id", "n_tokens", "ids_crc32"],
             )
 
-    rows = read(spark, path).mapInArrow(
-        sums, "part int, place bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
+    rows = cut(
+        read(spark, path).mapInArrow(
+            sums, "part int, place bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
+        ),
+        "token-index",
     )
     # One row a file; the running sum over them is small whatever the number of documents.
-    totals = read(spark, path).groupBy("part").agg(F.sum(F.size("ids").cast("long")).alias("total"))
+    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = totals.select(
         "part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before")
     )
