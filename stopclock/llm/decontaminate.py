@@ -1,7 +1,7 @@
 """Benchmark decontamination with DataFrame functions only.
 
 A document is contaminated by an item if some window of it, as many words long as the item,
-has a weighted shingle similarity of at least ``SIMILARITY`` with it: words lowered (A-Z),
+has a weighted shingle similarity of at least ``SIMILARITY`` with it: words lowered,
 shingles of five words with their counts as weights, the sum of the smaller counts over the
 sum of the larger ones.
 
@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 
 from stopclock.llm.common import cut
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Two windows of similarity 0.8 differ in about 10 of the 64 bits, seldom in more than 15.
@@ -37,7 +35,7 @@ RADIUS = 15
 
 
 def _words(text: Column) -> Column:
-    parts = F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), "[ \\t-\\r]+")
+    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), "[ \\t-\\r]+")
     return F.filter(parts, lambda w: w != "")
 
 
