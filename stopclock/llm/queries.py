@@ -16,6 +16,7 @@ from stopclock.llm import (
     quality_gam,
     secret_lexer,
     simhash,
+    suffix_dedup,
     token_files,
     url_rules,
 )
@@ -131,3 +132,9 @@ def _(spark, d):
     path = scratch_path(spark, "token-files")
     token_files.write(table(spark, d, "documents"), path, public_tokenizers.path(LIBRARY_FILE), end_id=2)
     return token_files.index(spark, path)
+
+
+@query("op10_suffix_dedup")
+def _(spark, d):
+    left = suffix_dedup.remove_repeats(table(spark, d, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
