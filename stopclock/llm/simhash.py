@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopclock.llm.common import chunks, cut, shuffle_count, texts_of
@@ -247,3 +247,204 @@ def connected(marks: DataFrame, radius: int = 3) -> DataFrame:
     ids = known.groupBy("group").agg(F.min("least").alias("component_id"))
     ids = known.join(ids, "group").select("fp", "component_id")
     return marks.join(ids, "fp").select("doc_id", "fp", "component_id")
+
+
+# --- texts that are alike ---------------------------------------------------------------
+
+#: Shingle length and least similarity of near duplicates.
+ALIKE_WORDS, SIMILARITY = 5, 0.8
+#: Samples of a text's words and words in each.  A sample is the words of smallest hash, so
+#: two texts that share a part p of their words draw the same sample with chance p**WORDS: of
+#: two texts of 100 words whose shingles are 0.8 alike (p about 0.95) one of ten samples
+#: agrees with chance 0.997.
+SAMPLES, SAMPLE_WORDS = 10, 16
+#: Texts of one candidate group that are compared in one task.
+TOGETHER = 512
+
+_ODD = (np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def sampled(words: list[bytes]) -> list[int]:
+    """SimHashes of the samples of a text's distinct words, as signed numbers."""
+    if not words:
+        return []
+    h = np.array([xxhash.xxh64_intdigest(w, SEED) for w in set(words)], dtype=np.uint64)
+    h.sort()
+    drawn = np.broadcast_to(h, (SAMPLES, len(h)))
+    if len(h) > SAMPLE_WORDS:
+        mixed = drawn * _ODD[:, None]
+        mixed ^= mixed >> np.uint64(31)
+        mixed *= np.uint64(0xC2B2AE3D27D4EB4F)
+        drawn = h[np.argpartition(mixed, SAMPLE_WORDS, axis=1)[:, :SAMPLE_WORDS]]
+    bits = np.unpackbits(np.ascontiguousarray(drawn).astype(">u8").view(np.uint8).reshape(*drawn.shape, 8), axis=2)
+    more = 2 * bits.sum(axis=1, dtype=np.int32) > drawn.shape[1]
+    return np.packbits(more, axis=1).view(">u8").ravel().astype(np.uint64).view(np.int64).tolist()
+
+
+def _text_key(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def _candidates(texts: DataFrame, radius: int) -> DataFrame:
+    """key, candidate: groups of texts (key, fp, samples) that links of fingerprints connect.
+
+    Texts are linked if their fingerprints are within ``radius`` bits, or a sample of theirs
+    is the same.  Numbers that meet by chance only make a group larger; it is compared anyway.
+    """
+    nodes = texts.select(F.xxhash64("key").alias("node"), "fp", "samples")
+    least = cut(nodes.groupBy("fp").agg(F.min("node").alias("m")), "alike-fps")
+    same = nodes.join(least, "fp").filter("node <> m").select(F.col("node").alias("u"), F.col("m").alias("v"))
+    near = (
+        links(least.select("fp"), radius)
+        .join(least.select(F.col("fp").alias("u"), F.col("m").alias("mu")), "u")
+        .join(least.select(F.col("fp").alias("v"), F.col("m").alias("mv")), "v")
+        .select("mu", "mv")
+    )
+    drawn = nodes.select("node", F.posexplode("samples").alias("t", "s"))
+    drawn = drawn.select("node", F.xxhash64("t", "s").alias("s"))
+    shared = drawn.groupBy("s").agg(F.min("node").alias("m"), F.max("node").alias("top")).filter("m < top")
+    drawn = drawn.join(shared, "s").filter("node <> m").select("node", "m")
+    groups = components(same.union(near).union(drawn))
+    return texts.select("key", F.xxhash64("key").alias("node")).join(groups, "node").select(
+        "key", F.col("component").alias("candidate")
+    )
+
+
+def alike(sets: list[np.ndarray]) -> np.ndarray:
+    """Which pairs of distinct-hash arrays have a Jaccard similarity of at least
+    ``SIMILARITY``, as a matrix.  Only hashes that two arrays have are counted, in blocks."""
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(n), sizes)
+    _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1
+    used = count[place] > 1
+    owner, column = owner[used], number[place[used]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((n, n), dtype=np.float32)
+    width = max(64, (1 << 21) // n)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, (start, start + width))
+        block = np.zeros((n, width), dtype=np.float32)
+        block[owner[a:b], column[a:b] - start] = 1
+        both += block @ block.T
+    union = sizes[:, None] + sizes[None, :] - both
+    return (both >= np.float32(SIMILARITY) * union - 1e-4) & (both > 0)
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (candidate, a, b, own, key, hashes) sorted by group to edges u, v between keys:
+    in group (a, b) the texts of part a are compared with those of part b."""
+
+    def edges(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        good = alike([r[2] for r in rows])
+        part = np.array([r[0] for r in rows])
+        if part.min() != part.max():
+            good &= part[:, None] != part[None, :]
+        u, v = np.nonzero(np.triu(good, 1))
+        label = np.arange(len(rows))
+        while len(u):
+            before = label.copy()
+            low = np.minimum(label[u], label[v])
+            np.minimum.at(label, u, low)
+            np.minimum.at(label, v, low)
+            label = label[label]
+            if (label == before).all():
+                break
+        moved = np.flatnonzero(label != np.arange(len(rows))).tolist()
+        if moved:
+            keys = [r[1] for r in rows]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([keys[i] for i in moved]), pa.array([keys[label[i]] for i in moved])], names=["u", "v"]
+            )
+
+    group, rows = None, []
+    for batch in batches:
+        ids = zip(*(batch.column(c).to_pylist() for c in ("candidate", "a", "b", "own", "key")), strict=True)
+        ends, values = np.asarray(batch.column("hashes").offsets), batch.column("hashes").values
+        for i, (*now, own, key) in enumerate(ids):
+            if now != group:
+                if len(rows) > 1:
+                    yield from edges(rows)
+                group, rows = now, []
+            rows.append((own, key, values.slice(ends[i], ends[i + 1] - ends[i]).to_numpy().copy()))
+    if len(rows) > 1:
+        yield from edges(rows)
+
+
+def near_groups(docs: DataFrame, radius: int = 3, together: int = TOGETHER) -> DataFrame:
+    """doc_id, key (of the text), group_id of every row: groups of texts that are equal or
+    connected by pairs with a similarity of at least ``SIMILARITY`` of their word shingles.
+
+    Links between fingerprints propose groups of texts, far fewer than all; inside a group
+    every pair is compared exactly, in tasks of at most two parts of ``together`` texts.
+    """
+    spark = docs.sparkSession
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key(F.col("text")).alias("key"))
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in chunks(batch):
+                each = [words_of(t) for t in texts_of(piece)]
+                fps = [majority(np.array(shingles(w, 3), dtype=np.uint64)) for w in each]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column("doc_id"),
+                        piece.column("key"),
+                        pa.array(np.array(fps, dtype=np.uint64).view(np.int64)),
+                        pa.array([sampled(w) for w in each], pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "key", "fp", "samples"],
+                )
+
+    schema = "doc_id bigint, key string, fp bigint, samples array<bigint>"
+    rows = cut(docs.mapInArrow(marks, schema), "alike-marks")
+    texts = rows.groupBy("key").agg(
+        F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("samples").alias("samples")
+    )
+    texts = cut(texts, "alike-texts")
+    proposed = cut(_candidates(texts, radius), "alike-candidates")
+    parts = F.ceil(F.count("*") / together).cast("int")
+    sizes = proposed.groupBy("candidate").agg(parts.alias("parts"), F.count("*").alias("n")).filter("n > 1")
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in chunks(batch):
+                sets = [np.unique(np.array(shingles(words_of(t), ALIKE_WORDS), dtype=np.uint64)) for t in texts_of(piece)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(piece.column(c) for c in ("candidate", "parts", "key")),
+                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    ],
+                    names=["candidate", "parts", "key", "hashes"],
+                )
+
+    members = docs.join(proposed, "key").join(sizes, "candidate").join(texts.select("key", "least"), "key")
+    members = members.filter(F.col("doc_id").eqNullSafe(F.col("least"))).select("candidate", "parts", "key", "text")
+    members = members.mapInArrow(hashes, "candidate bigint, parts int, key string, hashes array<bigint>")
+    # The text of one id may be stored several times; one of each is compared.
+    members = cut(members.dropDuplicates(["key"]), "alike-members")
+    own = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
+    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select(
+        "candidate", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "key", "hashes"
+    )
+    ordered = dealt.repartition(shuffle_count(spark), "candidate", "a", "b").sortWithinPartitions("candidate", "a", "b")
+    groups = components(ordered.mapInArrow(_compare, "u string, v string"))
+    groups = cut(groups, "alike-groups")
+    known = texts.join(groups, F.col("key") == F.col("node"), "left").select(
+        "key", "least", F.coalesce("component", "key").alias("group")
+    )
+    ids = known.groupBy("group").agg(F.min("least").alias("group_id"))
+    known = known.join(ids, "group").select("key", "group_id")
+    return rows.select("doc_id", "key").join(known, "key").select("doc_id", "key", "group_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs``, all columns, with the row of the smallest doc_id of each group.  Rows that
+    share this doc_id and their group stay together."""
+    groups = near_groups(docs)
+    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("group_id")))
+    gone = cut(gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct(), "alike-gone")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (_text_key(docs["text"]) == F.col("__key"))
+    return docs.join(gone, same, "left_anti")
