@@ -151,8 +151,10 @@ def suffix_array(codes: np.ndarray) -> np.ndarray:
     for i in range(4):
         ended |= padded[i : i + n] == 0
         key = key << 9 | np.where(ended, 0, padded[i : i + n])
-    sa = np.lexsort((np.where(ended, np.arange(n), 0), key))
-    new = np.append(True, key[sa][1:] != key[sa][:-1]) | ended[sa]
+    # One number sorts by both: four codes have 36 bits, and a shard far less than 2**27 places.
+    key = key << 27 | np.where(ended, np.arange(n), 0)
+    sa = np.argsort(key)
+    new = np.append(True, key[sa][1:] != key[sa][:-1])
     rank = np.zeros(2 * n, np.int64)
     rank[sa] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     h = 4
@@ -162,10 +164,11 @@ def suffix_array(codes: np.ndarray) -> np.ndarray:
             return sa
         at = sa[open_]
         group, then = rank[at], rank[at + h]
-        order = np.lexsort((then, group))
+        pair = group << 27 | then
+        order = np.argsort(pair)
         sa[open_] = at[order]
-        group, then = group[order], then[order]
-        new[open_] = np.append(True, (group[1:] != group[:-1]) | (then[1:] != then[:-1]))
+        pair = pair[order]
+        new[open_] = np.append(True, pair[1:] != pair[:-1])
         firsts = np.maximum.accumulate(np.where(new, np.arange(n), 0))
         rank[sa[open_]] = firsts[open_]
         h *= 2
@@ -178,21 +181,29 @@ def common_prefixes(text: bytes, sa: np.ndarray, windows: np.ndarray, most: int)
     before = np.full(len(text), -1, np.int64)
     before[kept[1:]] = kept[:-1]
     before, flags, shared, h = before.tolist(), windows.tolist(), np.zeros(len(text), np.int64), 0
-    last, last_j = -2, -2
-    for i in np.flatnonzero(windows).tolist():
+    last, last_j, found = -2, -2, []
+    places = np.flatnonzero(windows)
+    for i in places.tolist():
         j = before[i]
         # What the place before this one shared, less one, holds if both can go one on.
         if i != last + 1 or last_j < 0 or not flags[last_j + 1]:
             h = 0
         if j >= 0:
-            while h < most and text[i + h : i + h + 8] == text[j + h : j + h + 8]:
-                h += 8
-            h = min(h, most)
-            while h < most and text[i + h] == text[j + h]:
-                h += 1
-            shared[i] = h
-            h = max(0, h - 1)
+            # Nearly all windows that share much share ``most``: one comparison tells.
+            if text[i + h : i + most] == text[j + h : j + most]:
+                h = most
+            else:
+                while text[i + h : i + h + 16] == text[j + h : j + h + 16]:
+                    h += 16
+                while text[i + h] == text[j + h]:
+                    h += 1
+            found.append(h)
+            h = h - 1 if h else 0
+        else:
+            found.append(0)
+            h = 0
         last, last_j = i, j
+    shared[places] = found
     return shared[kept]
 
 
@@ -276,7 +287,7 @@ def _slices(ranges: int):
                 one, two = np.concatenate(one), np.concatenate(two)
                 order = np.lexsort((two, one))
                 one, two, contents, places = one[order], two[order], contents[order], places[order]
-                cuts = np.arange(1, ranges, dtype=np.uint64) * np.uint64((1 << 64) // ranges)
+                cuts = np.array([(i << 64) // ranges for i in range(1, ranges)], dtype=np.uint64)
                 ends = [0, *np.searchsorted(one, cuts).tolist(), len(one)]
                 for i, (a, b) in enumerate(zip(ends, ends[1:])):
                     if b > a:
@@ -286,7 +297,7 @@ def _slices(ranges: int):
     return run
 
 
-def _merged(key, group) -> pa.Table:
+def _merged(key, group):
     """One range of one hot anchor: each shard's sorted hashes are searched in those of the
     shards before it, then merged with them."""
     seen = None
