@@ -308,9 +308,7 @@ def _(spark, d):
     return last.drop("_batch")
 
 
-@query(
-    "stream_throttle",
-    """WITH RECURSIVE e AS (SELECT event_id, user_id, ts,
+_THROTTLED = """WITH RECURSIVE e AS (SELECT event_id, user_id, ts,
         row_number() OVER (PARTITION BY user_id ORDER BY ts) AS n FROM events),
       s AS (SELECT *, ts AS start, 1 AS used, true AS allowed FROM e WHERE n = 1
         UNION ALL
@@ -318,7 +316,12 @@ def _(spark, d):
           CASE WHEN e.ts - start >= INTERVAL 2 HOUR THEN 1 WHEN used < 2 THEN used + 1 ELSE used END,
           e.ts - start >= INTERVAL 2 HOUR OR used < 2
         FROM s JOIN e ON e.user_id = s.user_id AND e.n = s.n + 1)
-    SELECT event_id, user_id, ts, allowed FROM s""",
+    SELECT event_id, user_id, ts, allowed FROM s"""
+
+
+@query(
+    "stream_throttle",
+    _THROTTLED,
 )
 def _(spark, d):
     before = spark.conf.get(PROVIDER, None)
@@ -332,3 +335,9 @@ def _(spark, d):
         else:
             spark.conf.set(PROVIDER, before)
 
+
+@query("throttle_batch", _THROTTLED)
+def _(spark, d):
+    rows = V.table(spark, d, "events").select("event_id", "user_id", V.ts("ts").alias("ts"))
+    return throttle.throttle_batch(rows, "user_id", "ts", 2, 7200)
+

@@ -144,7 +144,13 @@ def _latest_sql(where: str, limit: int) -> str:
 @query("latest_positions", _latest_sql("true", 500))
 def _(spark, d):
     vp = V.vehicle_positions(spark, d)
-    return events.latest_positions(vp, newest(vp), minutes=1440)
+    return events.latest_positions(vp, newest(vp), limit=500, minutes=1440)
+
+
+@query("latest_positions_all", _latest_sql("true", 500).rsplit(" ORDER BY", 1)[0].replace("INTERVAL 1 DAY", "INTERVAL 20 DAY"))
+def _(spark, d):
+    vp = V.vehicle_positions(spark, d)
+    return events.latest_positions(vp, newest(vp), minutes=20 * 1440)
 
 
 @query("latest_positions_of_route", _latest_sql("route_id = 'click'", 5000))
@@ -459,13 +465,14 @@ _EVENT_ROUTES = """routes AS (SELECT DISTINCT event_type AS route_id,
 @query(
     "vehicles_on_route",
     f"""WITH {V.VP}, {_EVENT_ROUTES}, {_RESOLVED},
-    live AS (SELECT * FROM vp WHERE received_at > (SELECT max(ts) - INTERVAL 1 DAY FROM events)
+    live AS (SELECT * FROM vp WHERE received_at > (SELECT max(ts) - INTERVAL 25 DAY FROM events)
       QUALIFY row_number() OVER (PARTITION BY route_id, vehicle_id ORDER BY received_at DESC) = 1),
-    fleet AS (SELECT route_id, least(count(*), 500) AS n, min(vehicle_id) AS v FROM live GROUP BY 1)
+    fleet AS (SELECT route_id, count(*) AS n, min(vehicle_id) AS v FROM live GROUP BY 1)
     SELECT query_id, route_text, r.route_id IS NOT NULL AS matched, tier, r.route_id,
       route_short_name, route_long_name, route_type,
       CASE WHEN r.route_id IS NOT NULL THEN coalesce(n, 0) END AS vehicle_count,
-      v AS first_vehicle FROM resolved r LEFT JOIN fleet f ON f.route_id = r.route_id""",
+      v AS first_vehicle, CASE WHEN r.route_id IS NOT NULL THEN coalesce(n > 50, false) END AS truncated
+    FROM resolved r LEFT JOIN fleet f ON f.route_id = r.route_id""",
 )
 def _(spark, d):
     vp = V.vehicle_positions(spark, d)
@@ -488,7 +495,7 @@ def _(spark, d):
         .withColumn("ids", all_ids)
         .select(k.alias("query_id"), F.coalesce(text, F.lit("x")).alias("route_text"))
     )
-    answer = names.vehicles_on_route(asked, routes, vp, newest(vp), minutes=1440)
+    answer = names.vehicles_on_route(asked, routes, vp, newest(vp), limit=50, minutes=25 * 1440)
     return answer.withColumn(
         "first_vehicle", F.get("vehicles", F.lit(0))["vehicle_id"]
     ).drop("vehicles")
@@ -662,9 +669,10 @@ def _(spark, d):
         F.col("text").alias("header_text"),
     )
     merged = polls.limit(0)
-    for part in (polls.filter("last_seen < 3"), polls.filter("last_seen >= 3")):
+    # The earlier polls come last: they must not undo the later ones.
+    for part in (polls.filter("last_seen >= 3"), polls.filter("last_seen < 3")):
         merged = merges.upsert_keep_first(
-            merged, part, ["alert_id"], keep=["first_seen"], order=["last_seen"]
+            merged, part, ["alert_id"], keep=["first_seen"], order=["last_seen"], newer="last_seen"
         )
     return merged
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # The characters that count as blank around a value.
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
+# How much of a message and of a payload sample the failure table takes.
 MESSAGE_LIMIT = 2000
 PAYLOAD_LIMIT = 4096
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stopclock.functions.text import strip, text_or_null
 
+DAY_US = 86_400_000_000
 HALF_DAY_S = 43_200
 
 
@@ -95,9 +96,10 @@ def scheduled_at(service_day: Column, seconds: Column, zone: Column) -> Column:
 
 
 def nearest_service_day(observed: Column, seconds: Column, zone: Column) -> Column:
-    """The service day, out of the UTC day of ``observed`` and its two neighbours, on
-    which the scheduled time lies closest to ``observed`` (the earlier day on a tie)."""
-    base = F.to_date(observed)
+    """The service day on which the scheduled time lies closest to ``observed`` (the
+    earlier day on a tie)."""
+    # A GTFS time may pass 24 hours by far: the day is sought around its own start.
+    base = utc_day(F.timestamp_micros(F.unix_micros(observed) - seconds.cast("long") * 1_000_000))
 
     def candidate(offset: int) -> Column:
         d = F.date_add(base, offset)
@@ -107,5 +109,18 @@ def nearest_service_day(observed: Column, seconds: Column, zone: Column) -> Colu
     return F.array_min(F.array(candidate(-1), candidate(0), candidate(1)))["day"]
 
 
+def utc_day(c: Column | str) -> Column:
+    """The UTC day of an instant, whatever the session's time zone."""
+    micros = F.unix_micros(F.col(c) if isinstance(c, str) else c)
+    days = (micros - F.pmod(micros, F.lit(DAY_US))) / DAY_US
+    return F.date_from_unix_date(days.cast("int"))
+
+
+def wall_hour(c: Column | str, zone: Column) -> Column:
+    """The hour on a zone's clock at an instant, whatever the session's time zone."""
+    shifted = F.unix_micros(F.from_utc_timestamp(c, zone))
+    return F.floor(F.pmod(shifted, F.lit(DAY_US)) / 3_600_000_000).cast("int")
+
+
 def day_text(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd")

@@ -16,11 +16,12 @@ def dead_letter(
     error_message: Column,
     payload: Column,
     occurred_at: Column,
+    whole: bool = False,
 ) -> DataFrame:
     """Failure rows with a shortened message and the head of the payload.
 
     The id is a hash of the content, so a repeated run gives the same rows; the payload
-    enters it whole.
+    enters it whole.  ``whole`` stores all of the payload: for rows that exist nowhere else.
     """
     feed = F.lit(feed_key) if isinstance(feed_key, str) else feed_key
     body = payload.cast("binary")
@@ -38,8 +39,8 @@ def dead_letter(
         feed.alias("feed_key"),
         error_class.alias("error_class"),
         short_message(error_message).alias("error_message"),
-        payload_head(body).alias("sample_payload"),
-        payload_cut(body).alias("sample_payload_truncated"),
+        (body if whole else payload_head(body)).alias("sample_payload"),
+        (F.lit(False) if whole else payload_cut(body)).alias("sample_payload_truncated"),
         F.lit(0).alias("retry_count"),
         F.lit(None).cast("timestamp").alias("resolved_at"),
     ).select(*S.FAILURES.columns)

@@ -8,26 +8,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopclock import schemas as S
-from stopclock.functions.times import instant, minus, nearest_service_day, scheduled_at
+from stopclock.functions.times import instant, minus, nearest_service_day, scheduled_at, wall_hour
 from stopclock.operators.events import latest_per_key
 
 VISIT = ["start_date", "trip_id", "stop_sequence"]
 STOPPED_AT = S.VEHICLE_STOP_STATUS["STOPPED_AT"]
-MAX_AGENCIES = 10_000
+#: Repeated reports of one stop collapse inside slices of so many seconds: far less than the
+#: day that lies between two runs of a trip, wherever the UTC midnight falls.
+SLICE_S = 4 * 3600
 
 
-def agency_zone(agency: DataFrame, agency_id: Column | None = None) -> Column:
-    """Time zone of a row's agency, looked up in the agency table.
+def with_agency_zone(rows: DataFrame, agency: DataFrame, zone_col: str = "agency_zone") -> DataFrame:
+    """``rows`` with the time zone of their agency, NULL for an unknown one.
 
-    One agency may own every row, so this is a lookup in a small map rather than a join
-    on the agency; a table too large for that is refused when the plan runs.
+    The agency side has one row per agency.  Spark broadcasts it if it is small; beyond that
+    the join is split where one agency owns most rows.
     """
-    small = F.assert_true(
-        F.count("*") <= MAX_AGENCIES, F.lit("too many agencies for a lookup map")
-    )
-    entries = F.map_from_entries(F.collect_list(F.struct("agency_id", "agency_timezone")))
-    zones = agency.agg(F.when(small.isNull(), entries)).scalar()
-    return zones[agency_id if agency_id is not None else F.col("agency_id")]
+    zones = agency.groupBy("agency_id").agg(F.min("agency_timezone").alias(zone_col))
+    return rows.join(zones, "agency_id", "left")
+
+
+def _slice(ts_col: str) -> Column:
+    return F.floor(F.unix_seconds(ts_col) / SLICE_S)
 
 
 def _schedule(stop_times: DataFrame) -> DataFrame:
@@ -56,7 +58,7 @@ def schedule_delay(
         & F.col("stop_sequence").isNotNull()
     ).select(*VISIT, "agency_id", "route_id", "stop_id", "arrival_time", "received_at")
     if newest_only:
-        about = F.coalesce("start_date", F.to_date("arrival_time"))
+        about = F.when(F.col("start_date").isNull(), _slice("arrival_time"))
         usable = latest_per_key(
             usable.withColumn("_about", about),
             ["start_date", "_about", "trip_id", "stop_sequence"],
@@ -104,9 +106,11 @@ def sightings(
     )
     # Repeated reports of one stop collapse before the join.
     first = (
-        seen.withColumn("day", F.to_date("received_at"))
-        .groupBy(
-            "agency_id", "trip_id", "day", F.col("current_stop_sequence").alias("stop_sequence")
+        seen.groupBy(
+            "agency_id",
+            "trip_id",
+            _slice("received_at").alias("slice"),
+            F.col("current_stop_sequence").alias("stop_sequence"),
         )
         .agg(
             F.min("received_at").alias("seen_at"),
@@ -213,7 +217,7 @@ def delay_reliability(
     and the share on time (both bounds included)."""
     early, late = on_time
     zone = F.lit(zone) if isinstance(zone, str) else zone
-    hour = F.hour(F.from_utc_timestamp("scheduled_at", zone))
+    hour = wall_hour("scheduled_at", zone)
     quantiles = F.percentile("delay_s", F.array(F.lit(0.5), F.lit(0.9)))
     return (
         delays.filter((F.col("status") == "final") & F.col("delay_s").isNotNull())

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stopclock.functions.times import day_text, instant, minus
+from stopclock.functions.times import day_text, instant, minus, utc_day
 
 When = Column | datetime | str
 
@@ -28,7 +28,7 @@ POSITION_COLUMNS = (
 def since(df: DataFrame, ts_col: str, start: Column, inclusive: bool) -> DataFrame:
     """Rows from ``start`` on; the day column, where there is one, is bounded as well."""
     if "dt" in df.columns:
-        df = df.filter(F.col("dt") >= F.to_date(start))
+        df = df.filter(F.col("dt") >= utc_day(start))
     ts = F.col(ts_col)
     return df.filter(ts >= start if inclusive else ts > start)
 
@@ -36,7 +36,7 @@ def since(df: DataFrame, ts_col: str, start: Column, inclusive: bool) -> DataFra
 def until(df: DataFrame, ts_col: str, end: Column) -> DataFrame:
     """Rows up to and with ``end``."""
     if "dt" in df.columns:
-        df = df.filter(F.col("dt") <= F.to_date(end))
+        df = df.filter(F.col("dt") <= utc_day(end))
     return df.filter(F.col(ts_col) <= end)
 
 
@@ -54,7 +54,7 @@ def settled(
     """Rows old enough that no more of their kind are on their way."""
     edge = minus(instant(as_of), minutes=minutes)
     if "dt" in df.columns:
-        df = df.filter(F.col("dt") <= F.to_date(edge))
+        df = df.filter(F.col("dt") <= utc_day(edge))
     return df.filter(F.col(ts_col) < edge)
 
 
@@ -85,23 +85,20 @@ def latest_positions(
     df: DataFrame,
     as_of: When,
     route_id: str | None = None,
-    limit: int = 500,
+    limit: int | None = None,
     minutes: float = 5,
 ) -> DataFrame:
-    """Newest position of each vehicle, the first ``limit`` in order of vehicle id.
+    """Newest position of each vehicle, in order of vehicle id; with a ``limit`` (1..5000,
+    as the query interface has it) the first so many.
 
     A route filter applies before the newest row is chosen.
     """
-    if not 1 <= limit <= 5000:
+    if limit is not None and not 1 <= limit <= 5000:
         raise ValueError("limit must be 1..5000")
     if route_id:
         df = df.filter(F.col("route_id") == route_id)
-    return (
-        current_positions(df, as_of, minutes)
-        .select(*POSITION_COLUMNS)
-        .orderBy("vehicle_id")
-        .limit(limit)
-    )
+    rows = current_positions(df, as_of, minutes).select(*POSITION_COLUMNS).orderBy("vehicle_id")
+    return rows if limit is None else rows.limit(limit)
 
 
 def vehicle_history(
@@ -140,7 +137,7 @@ def daily_counts(
     start = minus(now, days=days)
     parts = [
         until(since(df, ts_col, start, True), ts_col, now)
-        .groupBy(F.to_date(ts_col).alias("day"))
+        .groupBy(utc_day(ts_col).alias("day"))
         .agg(F.count("*").alias("record_count"))
         .select(
             day_text(F.col("day")).alias("day"),

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stopclock.functions.times import utc_day
+
 PLACE = ("route_id", "direction_id", "stop_id")
 # A week: at most 604,800 rows per stop, of which about one in eighty is also needed by the
 # week after.
@@ -106,5 +108,5 @@ def route_reliability(gaps: DataFrame, min_gaps: int = 30) -> DataFrame:
 
 def route_reliability_daily(gaps: DataFrame, min_gaps: int = 1) -> DataFrame:
     """The same per UTC day of the arrival."""
-    dated = gaps.withColumn("day", F.to_date("arrival_time"))
+    dated = gaps.withColumn("day", utc_day("arrival_time"))
     return _reliability(dated, ["day", "route_id", "direction_id"], min_gaps)

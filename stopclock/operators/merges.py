@@ -39,11 +39,14 @@ def upsert_keep_first(
     keys: Sequence[str],
     keep: Sequence[str] = ("first_seen_at",),
     order: Sequence[str] = (),
+    newer: str | None = None,
 ) -> DataFrame:
     """The table after applying the batch row by row in ``order``: a new key is inserted,
     a known one gets every column of the row except those in ``keep``.
 
-    ``order`` may name batch columns that the table does not have.
+    ``order`` may name batch columns that the table does not have.  With ``newer``, a time
+    column, a batch row that is older than the table's leaves the table's row as it is, and
+    the columns in ``keep`` take the smaller value: late polls do not undo newer ones.
     """
     keys, keep = list(keys), list(keep)
     rest = [c for c in current.columns if c not in keys and c not in keep]
@@ -55,10 +58,14 @@ def upsert_keep_first(
     held = current.select(
         *keys, F.struct(*rest).alias("old_rest"), F.struct(*keep).alias("old_keep")
     )
+    rest_now, keep_now = F.coalesce("new_rest", "old_rest"), F.coalesce("old_keep", "new_keep")
+    if newer:
+        late = F.col(f"old_rest.{newer}") > F.col(f"new_rest.{newer}")
+        rest_now = F.when(late, F.col("old_rest")).otherwise(rest_now)
+        first = (F.least(f"old_keep.{c}", f"new_keep.{c}").alias(c) for c in keep)
+        keep_now = F.struct(*first)
     merged = held.join(changes, keys, "full_outer").select(
-        *keys,
-        F.coalesce("new_rest", "old_rest").alias("rest"),
-        F.coalesce("old_keep", "new_keep").alias("keep"),
+        *keys, rest_now.alias("rest"), keep_now.alias("keep")
     )
     columns = {c: F.col(c) for c in keys}
     columns |= {c: F.col(f"rest.{c}") for c in rest}

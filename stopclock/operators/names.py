@@ -159,19 +159,19 @@ def vehicles_on_route(
     """Per query: the route it names, how many vehicles are on it now, and which.
 
     An unknown route has ``matched`` false; a known one without vehicles counts 0.  The
-    list, and so the count, holds the first ``limit`` vehicles by id, which also bounds
-    what is gathered per route.
+    count is of all live vehicles; the list is a report of the first ``limit`` by id, which
+    bounds what is gathered per route, and ``truncated`` tells whether it leaves some out.
     """
     live = current_positions(positions, as_of, minutes, by=("route_id", "vehicle_id"))
+    counts = live.groupBy("route_id").agg(F.count("*").alias("vehicle_count"))
     first = Window.partitionBy("route_id").orderBy("vehicle_id")
     fleet = (
         live.withColumn("_rank", F.row_number().over(first))
         .filter(F.col("_rank") <= limit)
         .groupBy("route_id")
-        .agg(
-            F.count("*").alias("vehicle_count"),
-            F.sort_array(F.collect_list(F.struct(*POSITION_COLUMNS))).alias("vehicles"),
-        )
+        .agg(F.sort_array(F.collect_list(F.struct(*POSITION_COLUMNS))).alias("vehicles"))
+        .join(counts, "route_id")
+        .withColumn("truncated", F.col("vehicle_count") > F.size("vehicles"))
     )
     # Routes meet vehicles once per distinct text; only the answers are spread over the
     # queries.
@@ -188,7 +188,13 @@ def vehicles_on_route(
             F.when(F.col("matched"), F.coalesce("vehicle_count", F.lit(0).cast("long"))),
         )
         .select(
-            *queries.columns, "matched", "tier", *ROUTE_COLUMNS, "vehicle_count", "vehicles"
+            *queries.columns,
+            "matched",
+            "tier",
+            *ROUTE_COLUMNS,
+            "vehicle_count",
+            "vehicles",
+            F.when(F.col("matched"), F.coalesce("truncated", F.lit(False))).alias("truncated"),
         )
     )
 

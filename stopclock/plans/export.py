@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stopclock import storage
+from stopclock.functions.times import utc_day
 from stopclock.operators.retention import expired_partitions, partition_name
 from stopclock.schemas import EVENT_TABLES, HOT_DAYS
 from stopclock.sources.cold import scan_cold, scan_events
@@ -60,7 +61,7 @@ def verify_export(
     """Checks of an exported day, one row each: check, expected, found, passed."""
     table = EVENT_TABLES[feed]
     stored = scan_cold(spark, root, feed, target, target)
-    outside = (F.to_date("received_at") != F.col("dt")) | F.col("received_at").isNull()
+    outside = (utc_day("received_at") != F.col("dt")) | F.col("received_at").isNull()
     # The files' own schema, which the declared one must agree with.
     names = spark.read.parquet(f"{root.rstrip('/')}/{feed}/dt={target.isoformat()}").columns
     measured = stored.agg(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopclock import storage
+from stopclock.functions.times import utc_day
 from stopclock.operators.feed_rows import split_on_key
 from stopclock.operators.merges import append_new
 from stopclock.schemas import Table
@@ -41,7 +42,7 @@ def append_events(
     nothing.
     """
     rows, unkeyed = split_on_key(batch.select(*table.columns), table.key)
-    rows = rows.withColumn("dt", F.to_date(ts_col))
+    rows = rows.withColumn("dt", utc_day(ts_col))
     days = [r["dt"] for r in rows.select("dt").distinct().collect()]  # days, not rows
     if days:
         current = read_events(spark, root, table).filter(F.col("dt").isin(days))

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Options that the operators count on.  All of them are Spark's own switches; none is
-# needed for right results, but the skew and partition-size handling relies on AQE.
+# Options that the operators count on.  All of them are Spark's own switches; days are
+# UTC days whatever the time zone, but the skew and partition-size handling relies on AQE.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -40,13 +40,16 @@ def build_session(
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) is a local one made up.
+    Only where the session names none and runs on one machine (tests, a laptop) is a local
+    one made up; a cluster without a shared folder is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="stopclock-"))
     return context.getCheckpointDir()
 

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopclock.functions.times import day, instant
+from stopclock.functions.times import day, instant, utc_day
 from stopclock.schemas import EVENT_TABLES
 
 
@@ -21,7 +21,7 @@ def scan_events(
     """
     lo, hi = instant(start), instant(end)
     if "dt" in df.columns:
-        df = df.filter((F.col("dt") >= F.to_date(lo)) & (F.col("dt") <= F.to_date(hi)))
+        df = df.filter((F.col("dt") >= utc_day(lo)) & (F.col("dt") <= utc_day(hi)))
     return df.filter((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
 
 

@@ -23,6 +23,7 @@ FILES = {
     "shapes": "shape_id shape_pt_sequence shape_pt_lat shape_pt_lon shape_dist_traveled",
 }
 MANDATORY = ("stop_times",)
+LARGE = ("stop_times", "shapes")
 
 
 def scan_gtfs(
@@ -50,6 +51,9 @@ def scan_gtfs(
             .option("inferSchema", False)
             .option("quote", '"')
             .option("escape", '"')
+            # Quoted line breaks occur in names and descriptions.  The two large tables hold
+            # only ids and numbers and keep the read that can be split.
+            .option("multiLine", name not in LARGE)
             .csv(path)
         )
         present = {c.strip(): c for c in raw.columns}

@@ -13,7 +13,7 @@ def bounds_query(table: str, ts_col: str, before: datetime) -> str:
     stamp = _literal(before)
     return (
         f"SELECT min({ts_col}) AS lo, max({ts_col}) AS hi FROM {table} "
-        f"WHERE {ts_col} < TIMESTAMP '{stamp}'"
+        f"WHERE {ts_col} < TIMESTAMP WITH TIME ZONE '{stamp}'"
     )
 
 
@@ -23,13 +23,14 @@ def frozen_query(table: str, ts_col: str, before: datetime) -> str:
     The bounds of a split read only set its stride, so the limit has to be a real filter.
     """
     stamp = _literal(before)
-    return f"(SELECT * FROM {table} WHERE {ts_col} < TIMESTAMP '{stamp}') AS frozen"
+    return f"(SELECT * FROM {table} WHERE {ts_col} < TIMESTAMP WITH TIME ZONE '{stamp}') AS frozen"
 
 
 def _literal(ts: datetime) -> str:
     if ts.tzinfo is not None:
         ts = ts.astimezone(timezone.utc).replace(tzinfo=None)
-    return ts.isoformat(sep=" ", timespec="microseconds")
+    # The offset keeps the bound where it is, whatever the zone of the database session.
+    return ts.isoformat(sep=" ", timespec="microseconds") + "+00:00"
 
 
 def jdbc_range_scan(

@@ -56,7 +56,10 @@ def ingest_polls(
         whole, unkeyed = split_on_key(rows, table.key)
         if feed == "service_alerts":
             merge = partial(
-                upsert_keep_first, keys=table.key, order=("last_seen_at", "position")
+                upsert_keep_first,
+                keys=table.key,
+                order=("last_seen_at", "position"),
+                newer="last_seen_at",
             )
             merge_keyed(spark, root, table, whole, merge)
             signed = good
@@ -95,6 +98,7 @@ def _rejects(polls: DataFrame, unkeyed: DataFrame, feed_key: str) -> DataFrame:
         F.lit("a key column is not set"),
         F.to_json(F.struct(*unkeyed.columns)),
         F.col(seen),
+        whole=True,
     )
     return files.unionByName(rows)
 

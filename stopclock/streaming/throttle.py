@@ -1,21 +1,43 @@
 """Throttle: the first so many events per key in a window that starts with the key's first
-event, and restarts with the first event after it has run out."""
+event, and restarts with the first event after it has run out.
+
+``throttle`` is the stream, ``throttle_batch`` the same for rows at rest.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 _BUCKET = T.StructType().add("start_us", T.LongType()).add("used", T.IntegerType())
 
 
+def _allowed(
+    times_us: list[int], start: int | None, used: int, limit: int, window_us: int
+) -> tuple[list[bool], int | None, int]:
+    """Which of one key's events, in order of time, pass; and the window they leave."""
+    out = []
+    for now in times_us:
+        if start is None or now - start >= window_us:
+            start, used = now, 0
+        out.append(used < limit)
+        used = min(used + 1, limit)
+    return out, start, used
+
+
 class FixedWindow(StatefulProcessor):
-    """Keeps a start and a count per key, whatever the number of events; rows pass through
-    chunk by chunk in the order they arrive."""
+    """Keeps a start and a count per key, whatever the number of events.
+
+    A key's rows come in pieces of any order, so those of one micro-batch are put in order
+    before they are counted; the size of a micro-batch bounds what is held.  A key leaves two
+    numbers in the state store and keeps them.
+    """
 
     def __init__(self, ts_col: str, limit: int, window_s: float):
         self.ts_col, self.limit, self.window_us = ts_col, limit, int(window_s * 1_000_000)
@@ -25,28 +47,28 @@ class FixedWindow(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         start, used = self.bucket.get() if self.bucket.exists() else (None, 0)
-        for chunk in rows:
-            chunk = chunk.sort_values(self.ts_col)
-            allowed = []
-            for now in pd.to_datetime(chunk[self.ts_col]).astype("int64") // 1000:
-                if start is None or now - start >= self.window_us:
-                    start, used = int(now), 0
-                allowed.append(used < self.limit)
-                used += allowed[-1]
-            yield chunk.assign(allowed=allowed)
-        self.bucket.update((start, int(used)))
+        batch = pd.concat(list(rows), ignore_index=True)
+        batch = batch.sort_values(self.ts_col, kind="stable")
+        times = (batch[self.ts_col].astype("datetime64[us]").astype("int64")).tolist()
+        allowed, start, used = _allowed(times, start, used, self.limit, self.window_us)
+        self.bucket.update((int(start), int(used)))
+        yield batch.assign(allowed=allowed)
 
     def close(self) -> None:
         pass
 
 
 def throttle(
-    events: DataFrame, key: str, ts_col: str, limit: int = 60, window_s: float = 60
+    events: DataFrame,
+    key: str,
+    ts_col: str,
+    limit: int = 60,
+    window_s: float = 60,
 ) -> DataFrame:
     """Stream of the events with a column ``allowed``.
 
-    Events of a key must arrive in order of time, as they do when ``ts_col`` is the time
-    of arrival.
+    Events of one micro-batch may come in any order; an event older than the window of an
+    earlier micro-batch counts in that window.
     """
     schema = T.StructType([*events.schema.fields, T.StructField("allowed", T.BooleanType())])
     return events.groupBy(key).transformWithStateInPandas(
@@ -55,3 +77,32 @@ def throttle(
         outputMode="Append",
         timeMode="None",
     )
+
+
+def throttle_batch(
+    events: DataFrame, key: str, ts_col: str, limit: int = 60, window_s: float = 60
+) -> DataFrame:
+    """All events with a column ``allowed``.
+
+    Rows are dealt by key and sorted by key and time on disk if need be; one pass over a
+    partition then keeps a single window, so a key of any size takes no memory.
+    """
+    schema = T.StructType([*events.schema.fields, T.StructField("allowed", T.BooleanType())])
+    window_us = int(window_s * 1_000_000)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, start, used, begun = None, None, 0, False
+        for batch in batches:
+            times = batch[ts_col].astype("datetime64[us]").astype("int64")
+            times, passed = times.tolist(), []
+            keys = batch[key].astype(object).where(batch[key].notna(), None).tolist()
+            for value, run_of in groupby(range(len(keys)), key=keys.__getitem__):
+                if not begun or value != held:
+                    held, start, used, begun = value, None, 0, True
+                mine = [times[i] for i in run_of]
+                allowed, start, used = _allowed(mine, start, used, limit, window_us)
+                passed += allowed
+            yield batch.assign(allowed=passed)
+
+    ordered = events.repartition(F.col(key)).sortWithinPartitions(key, ts_col)
+    return ordered.mapInPandas(run, schema)

@@ -142,7 +142,7 @@ def test_vanished_vehicle_is_swept(spark, stop_times):
 def test_zone_comes_from_the_agency_table(spark):
     agency = spark.createDataFrame([("ttc", "America/Toronto"), ("x", "UTC")], "agency_id string, agency_timezone string")
     rows = spark.createDataFrame([("ttc",), ("x",), ("none",)], "agency_id string")
-    got = rows.select("agency_id", delay.agency_zone(agency).alias("z")).collect()
+    got = delay.with_agency_zone(rows, agency, "z").select("agency_id", "z").collect()
     assert [r.z for r in got] == ["America/Toronto", "UTC", None]
 
 

@@ -194,6 +194,6 @@ def test_relational_queries():
     before = datetime(2026, 4, 14, 8, 0, tzinfo=timezone(timedelta(hours=-4)))
     assert relational.bounds_query("t", "received_at", before) == (
         "SELECT min(received_at) AS lo, max(received_at) AS hi FROM t "
-        "WHERE received_at < TIMESTAMP '2026-04-14 12:00:00.000000'"
+        "WHERE received_at < TIMESTAMP WITH TIME ZONE '2026-04-14 12:00:00.000000+00:00'"
     )
-    assert relational.frozen_query("t", "r", before).startswith("(SELECT * FROM t WHERE r < TIMESTAMP '2026-04-14 12")
+    assert relational.frozen_query("t", "r", before).startswith("(SELECT * FROM t WHERE r < TIMESTAMP WITH TIME ZONE '2026-04-14 12")
