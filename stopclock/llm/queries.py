@@ -65,7 +65,47 @@ URL_RULES = [
 ]
 
 
-@query("op2_url_rules")
+def _address_sql(source: str, columns: str) -> str:
+    rest = "CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END"
+    host = f"translate(regexp_extract(rest, '^[^/?#]*'), '{url_rules.UPPER}', '{url_rules.LOWER}')"
+    return f"""SELECT {columns}, coalesce({host}, '') AS host,
+      coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+      {host} || regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS address
+    FROM (SELECT *, {rest} AS rest FROM {source})"""
+
+
+def _url_sql() -> str:
+    quoted = [p.replace("'", "''") for p in url_rules.LINKS]
+    found = " UNION ALL ".join(
+        [f"SELECT host, address, regexp_extract(page_url, '{url_rules.REDIRECT}', 1) AS link FROM p"]
+        + [f"SELECT host, address, regexp_extract(html, '{q}', 1) FROM p" for q in quoted]
+    )
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    return f"""WITH RECURSIVE p AS ({_address_sql("pages", "page_id, html, url AS page_url")}),
+    links AS ({found}),
+    targets AS (SELECT address AS u, CASE WHEN contains(link, '://') THEN link
+        WHEN starts_with(link, '//') THEN 'http:' || link
+        WHEN starts_with(link, '/') THEN 'http://' || host || link END AS url
+      FROM links WHERE link <> '' AND address IS NOT NULL),
+    edges AS (SELECT u, address AS v FROM ({_address_sql("targets", "u")}) WHERE u <> address),
+    both_ways AS (SELECT u, v FROM edges UNION SELECT v, u FROM edges),
+    reached AS (SELECT u AS node, u AS other FROM both_ways
+      UNION SELECT r.node, b.v FROM reached r JOIN both_ways b ON b.u = r.other),
+    classes AS (SELECT node, min(other) AS component FROM reached GROUP BY 1),
+    named AS ({_address_sql("(SELECT 'http://' || node AS url, component FROM classes)", "component")}),
+    rules(rule_host, rule_path, verdict) AS (VALUES {rules}),
+    fit AS (SELECT host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+        arg_max(verdict, length(rule_host || rule_path)) AS verdict
+      FROM (SELECT DISTINCT host, path FROM (SELECT host, path FROM p UNION ALL SELECT host, path FROM named)), rules
+      WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+      GROUP BY 1, 2),
+    decided AS (SELECT component, min(verdict) AS verdict FROM named JOIN fit USING (host, path) GROUP BY 1)
+    SELECT page_id, p.host, p.path, rule, coalesce(fit.verdict, decided.verdict, 'allow') AS verdict, component
+    FROM p LEFT JOIN fit ON fit.host = p.host AND fit.path = p.path
+    LEFT JOIN classes ON classes.node = p.address LEFT JOIN decided USING (component)"""
+
+
+@query("op2_url_rules", _url_sql())
 def _(spark, d):
     rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, verdict string")
     return url_rules.judge(table(spark, d, "pages"), rules)
