@@ -84,8 +84,10 @@ def sha256(c: Column) -> Column:
 
 
 def trigrams(c: Column) -> Column:
-    """Distinct trigrams of the words of a name, each word padded by two blanks in
-    front and one behind."""
+    """Distinct trigrams of the words of a name (letters and digits of any script), each word
+    padded by two blanks in front and one behind."""
+    found = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))
+    parts = F.coalesce(F.array_distinct(found), F.array().cast("array<string>"))
 
     def grams(word: Column) -> Column:
         padded = F.concat(F.lit("  "), word, F.lit(" "))
@@ -94,4 +96,4 @@ def trigrams(c: Column) -> Column:
             lambda i: F.substr(padded, i, F.lit(3)),
         )
 
-    return F.array_distinct(F.flatten(F.transform(words(c), grams)))
+    return F.array_distinct(F.flatten(F.transform(parts, grams)))

@@ -217,10 +217,7 @@ def fuzzy_names(
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     q, n = _grams(queries, query_col), _grams(names, name_col)
-    # Trigrams are over a-z, 0-9 and blank: fewer than 37^3 of them, whatever the data.
-    rarity = F.broadcast(
-        n.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
-    )
+    rarity = n.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
     left = _rare_first(q, rarity, threshold).toDF("query", "q_grams", "q_head")
     right = _rare_first(n, rarity, threshold).toDF("name", "n_grams", "n_head")
     met = left.withColumn("gram", F.explode("q_head")).join(

@@ -75,14 +75,18 @@ def signature_hash(paths: Column) -> Column:
 def field_signature(polls: DataFrame, by: tuple[str, ...] = ("feed_key", "received_at")) -> DataFrame:
     """Signature per feed and poll out of a column ``content`` with the JSON of the message.
 
-    Every poll gets a row, also one without entities (the hash of an empty text).
+    Every poll gets a row, also one without entities (the hash of an empty text).  Paths are
+    taken from each distinct shape of an entity and then united: a field that is an object in
+    one entity and a text in another keeps its inner paths.
     """
     key = list(by)
     message = F.try_parse_json(F.col("content").cast("string"))
     entities = F.try_variant_get(message, "$.entity", "array<variant>")
     exploded = polls.select(*key, F.explode_outer(entities).alias("entity"))
-    shapes = exploded.groupBy(*key).agg(F.schema_of_variant_agg("entity").alias("shape"))
-    signed = shapes.select(*key, _paths("shape").alias("populated_fields"))
+    shapes = exploded.select(*key, F.schema_of_variant("entity").alias("shape")).distinct()
+    each = shapes.select(*key, _paths("shape").alias("paths"))
+    united = F.array_sort(F.array_distinct(F.flatten(F.collect_set("paths"))))
+    signed = each.groupBy(*key).agg(united.alias("populated_fields"))
     return signed.withColumn("signature_hash", signature_hash(F.col("populated_fields")))
 
 

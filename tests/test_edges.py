@@ -117,3 +117,19 @@ def test_throttle_in_any_order(spark):
     counts = {r.key: r.n for r in got.filter("allowed").groupBy("key").agg(F.count("*").alias("n")).collect()}
     assert counts == {"hot": 5000, "b": 1, None: 1}
     assert _allowed([0, 1, 2, 60], None, 0, 2, 60) == ([True, True, False, True], 60, 1)
+
+
+def test_signature_keeps_inner_fields_of_mixed_types(spark):
+    from stopclock.operators.signatures import field_signature
+
+    body = json.dumps({"header": {}, "entity": [{"a": {"b": 1}}, {"a": "x"}]}).encode()
+    polls = spark.createDataFrame([("f", utc(2026, 4, 14), body), ("g", utc(2026, 4, 14), b"{}")], "feed_key string, received_at timestamp, content binary")
+    got = {r.feed_key: r.populated_fields for r in field_signature(polls).collect()}
+    assert got == {"f": ["a", "a.b"], "g": []}
+
+
+def test_fuzzy_names_of_any_script(spark):
+    said = spark.createDataFrame([("\u6771\u4eac\u99c5",), ("Caf\u00e9",)], "query string")
+    known = spark.createDataFrame([("\u6771\u4eac\u99c5",), ("caf\u00e9 bar",), ("other",)], "name string")
+    got = {(r["query"], r["name"]): round(r["similarity"], 2) for r in names.fuzzy_names(said, known).collect()}
+    assert got[("\u6771\u4eac\u99c5", "\u6771\u4eac\u99c5")] == 1 and ("Caf\u00e9", "caf\u00e9 bar") in got and len(got) == 2
