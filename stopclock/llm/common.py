@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopclock.session import scratch_path
@@ -43,6 +43,23 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Slots of ``split_by``: at most so many numbers are broadcast, whatever the data.
+SLOTS = 1 << 20
+
+
+def split_by(df: DataFrame, number: Column, keys: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose ``number`` may be among the ``key`` values of ``keys``, and those
+    for which it cannot be.
+
+    Numbers are compared by their slot.  The used slots are broadcast, so the second part
+    needs no shuffle; the first one still needs an exact join.  With very many keys all slots
+    are used and all rows are in the first part.
+    """
+    slots = keys.select(F.pmod(key, F.lit(SLOTS)).alias("__slot")).distinct()
+    same = F.pmod(number, F.lit(SLOTS)) == F.col("__slot")
+    return df.join(F.broadcast(slots), same, "left_semi"), df.join(F.broadcast(slots), same, "left_anti")
+
+
 def shuffle_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

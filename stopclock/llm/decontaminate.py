@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopclock.llm.common import cut
+from stopclock.llm.common import cut, split_by
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -157,11 +157,15 @@ def _of_size(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
         .agg(F.collect_set(F.struct("n", "start")).alias("places"))
     )
     places = cut(places, "window-places")
-    same = hashed["doc_id"].eqNullSafe(places["doc_id"]) & (hashed["text_hash"] == places["text_hash"])
+    # Few texts have windows; the others are not shuffled, and no text is cut into words
+    # before it is known to be one of the few.
+    maybe, _ = split_by(texts, F.col("text_hash"), places, F.col("text_hash"))
+    same = maybe["doc_id"].eqNullSafe(places["doc_id"]) & (maybe["text_hash"] == places["text_hash"])
+    few = maybe.join(places, same).select(maybe["doc_id"], maybe["text_hash"], "text", "places").dropDuplicates(key)
+    few = few.select(*key, "places", _words(F.col("text")).alias("words"))
     windows = (
-        hashed.dropDuplicates(key)
-        .join(places, same)
-        .select(hashed["doc_id"], hashed["text_hash"], "all", F.explode("places").alias("place"))
+        few.select(*key, "places", _shingles(F.col("words"), size).alias("all"))
+        .select(*key, "all", F.explode("places").alias("place"))
         .select(
             *key,
             "place.n",
@@ -210,4 +214,6 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bad = contaminated(docs.select("doc_id", "text"), benchmark)
     bad = cut(bad.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "leaks")
     own = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__id")) & (own == F.col("__hash")), "left_anti")
+    maybe, rest = split_by(docs, own, bad, F.col("__hash"))
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (own == F.col("__hash"))
+    return rest.union(maybe.join(bad, same, "left_anti"))

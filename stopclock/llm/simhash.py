@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopclock.llm.common import chunks, cut, shuffle_count, texts_of
+from stopclock.llm.common import chunks, cut, shuffle_count, split_by, texts_of
 from stopclock.llm.graph import components
 
 SEED = 42
@@ -419,7 +419,10 @@ def near_groups(docs: DataFrame, radius: int = 3, together: int = TOGETHER) -> D
                     names=["candidate", "parts", "key", "hashes"],
                 )
 
-    members = docs.join(proposed, "key").join(sizes, "candidate").join(texts.select("key", "least"), "key")
+    proposed = cut(proposed.join(sizes, "candidate"), "alike-proposed")
+    # Most texts are in no group: they stay where they are.
+    grouped, _ = split_by(docs, F.xxhash64("key"), proposed, F.xxhash64("key"))
+    members = grouped.join(proposed, "key").join(texts.select("key", "least"), "key")
     members = members.filter(F.col("doc_id").eqNullSafe(F.col("least"))).select("candidate", "parts", "key", "text")
     members = members.mapInArrow(hashes, "candidate bigint, parts int, key string, hashes array<bigint>")
     # The text of one id may be stored several times; one of each is compared.
@@ -447,4 +450,5 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("group_id")))
     gone = cut(gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct(), "alike-gone")
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (_text_key(docs["text"]) == F.col("__key"))
-    return docs.join(gone, same, "left_anti")
+    maybe, rest = split_by(docs, F.xxhash64(_text_key(docs["text"])), gone, F.xxhash64("__key"))
+    return rest.union(maybe.join(gone, same, "left_anti"))
