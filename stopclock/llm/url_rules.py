@@ -110,9 +110,11 @@ def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
     own = classes.join(decided, "component", "left").select(
         F.col("node").alias("address"), "component", "class_verdict"
     )
+    # Both tables grow with the pages.  Their files are far smaller than their rows, so Spark
+    # would take them for small ones and send them to every executor.
     return (
-        rows.join(ruled, ["host", "path"], "left")
-        .join(own, "address", "left")
+        rows.join(ruled.hint("merge"), ["host", "path"], "left")
+        .join(own.hint("merge"), "address", "left")
         .select(
             "page_id",
             "host",
