@@ -118,7 +118,9 @@ def test_vehicles_on_route(spark, routes):
     assert (rows["nowhere"].matched, rows["nowhere"].vehicle_count) == (False, None)
     assert rows["12"].vehicle_count == 1
     capped = vehicles_on_route(queries, routes, positions, "2026-04-14T12:00:00Z", limit=1)
-    assert {r.route_text: r.vehicle_count for r in capped.collect()}["King"] == 1
+    king = {r.route_text: r for r in capped.collect()}["King"]
+    # The count is of all vehicles; only the listed ones are bounded.
+    assert (king.vehicle_count, [v.vehicle_id for v in king.vehicles], king.truncated) == (2, ["v1"], True)
 
 
 def _similarity(a: str, b: str) -> float:

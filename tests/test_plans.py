@@ -51,7 +51,7 @@ def test_headways_scan_once_and_shuffle_three_times(spark, small):
 
 def test_limits_are_top_k(spark, small):
     vp = V.vehicle_positions(spark, small)
-    assert "TakeOrderedAndProject" in plan(events.latest_positions(vp, "2024-01-30T00:00:00Z"))
+    assert "TakeOrderedAndProject" in plan(events.latest_positions(vp, "2024-01-30T00:00:00Z", limit=500))
 
 
 def test_append_reduces_the_batch_first(spark, small):
