@@ -333,6 +333,37 @@ def test_near_groups_find_all_similar_texts(spark, together, empty):
     assert simhash.one_of_each(empty).count() == 0
 
 
+def test_near_groups_find_texts_changed_in_one_place(spark):
+    texts = []
+    for i in range(25):
+        words, other = prose(1000 + i, 100).split(), prose(2000 + i, 30).split()
+        texts += [words, words + other[:22], words[:82], words[:50] + other[:6] + words[56:]]
+        short = prose(3000 + i, 9).split()
+        texts += [short, short[:8], prose(4000 + i, 4).split()]
+        texts += [[*texts[-1]], prose(5000 + i, 12).split(), prose(5000 + i, 12).split() + other[:2]]
+    sets = [{tuple(t[k : k + 5]) for k in range(max(1, len(t) - 4))} for t in texts]
+    near = [
+        (i, j)
+        for i in range(len(texts))
+        for j in range(i + 1, len(texts))
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    ]
+    assert len(near) >= 25 * 6
+    docs = frame(spark, [" ".join(t) for t in texts])
+    got = {r["doc_id"]: r["group_id"] for r in simhash.near_groups(docs).collect()}
+    assert got == groups_of(near, range(len(texts)))
+
+
+def test_samples_agree_as_often_as_the_similarity_says():
+    rnd = np.random.default_rng(1)
+    agree = []
+    for _ in range(400):
+        marks = rnd.integers(0, 1 << 64, 118, np.uint64)
+        pair = (np.array(simhash.sampled(m)) for m in (marks[:106], marks[12:]))  # 94 of 118 shared
+        agree.append(np.mean(np.equal(*pair)))
+    assert abs(np.mean(agree) - (94 / 118) ** 4) < 0.02
+
+
 def test_decontaminate_against_all_windows(spark, empty):
     items = [prose(300, 30), prose(301, 20), "short item here", None, " ", "again " * 12 + prose(302, 8)]
     words = items[0].split()
