@@ -7,10 +7,8 @@ sum of the larger ones.
 
 A window that shares no shingle with any item has similarity 0, so windows are built only
 where a document has a shingle of an item, at the places where that shingle lines up with the
-item's and as many to each side as a window of that similarity can be off.  Each window gets
-a SimHash of its counted shingles.  Fingerprints of windows and items meet through a multi-index: cut
-into ``RADIUS`` + 1 blocks, two that differ in no more than ``RADIUS`` bits agree in a block.
-Those within the radius are then compared exactly.
+item's and as many to each side as a window of that similarity can be off.  Each window is
+compared exactly with the items whose shingle led to it.
 
 Results in special cases: null or empty texts of documents and null or blank items match
 nothing; items of fewer than five words are one shingle, compared as a whole; repeated rows
@@ -30,8 +28,6 @@ from stopclock.llm.common import cut, split_by
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Two windows of similarity 0.8 differ in about 10 of the 64 bits, seldom in more than 15.
-RADIUS = 15
 
 
 def _words(text: Column) -> Column:
@@ -48,50 +44,10 @@ def _shingles(words: Column, size: int) -> Column:
     return F.when(count > 0, hashed).otherwise(F.array().cast("array<bigint>"))
 
 
-def _with_fingerprint(rows: DataFrame, planes: int) -> DataFrame:
-    """Add ``fp``, the SimHash of the array ``hashes``: a bit is set if more than half of the
-    hashes have it.
-
-    The 64 counts stand side by side: bit b of plane k is bit k of the count of bit b.  A hash
-    is added to all of them by a carry through the planes, and half the size is compared with
-    all of them from the highest plane down.
-    """
-    zero = F.struct(*(F.lit(0).cast("long").alias(f"p{k}") for k in range(planes)))
-
-    def add(acc: Column, h: Column) -> Column:
-        carry, out = h, []
-        for k in range(planes):
-            out.append(acc[f"p{k}"].bitwiseXOR(carry).alias(f"p{k}"))
-            carry = acc[f"p{k}"].bitwiseAND(carry)
-        return F.struct(*out)
-
-    rows = rows.withColumn("__counts", F.aggregate("hashes", zero, add))
-    half = F.floor(F.size("hashes") / 2).cast("int")
-    more, same = F.lit(0).cast("long"), F.lit(-1).cast("long")
-    for k in reversed(range(planes)):
-        plane = F.col(f"__counts.p{k}")
-        bit = -F.shiftright(half, k).bitwiseAND(F.lit(1)).cast("long")  # all ones or none
-        more = more.bitwiseOR(same.bitwiseAND(plane).bitwiseAND(F.bitwise_not(bit)))
-        same = same.bitwiseAND(F.bitwise_not(plane.bitwiseXOR(bit)))
-    return rows.withColumn("fp", more).drop("__counts")
-
-
-def _blocks(fp: Column) -> Column:
-    """The blocks of a fingerprint with their numbers."""
-    edges = [64 * i // (RADIUS + 1) for i in range(RADIUS + 2)]
-    return F.array(
-        *(
-            F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1))
-            for a, b in zip(edges, edges[1:], strict=False)
-        )
-    )
-
-
 def _features(hashes: Column) -> Column:
     """The shingle hashes of a computed column, each mixed with how often it has come so far.
 
-    Sets of these compare as the counted shingles do, and a SimHash of them is not ruled by
-    the few shingles of a text that repeats itself.
+    Sets of these compare as the counted shingles do.
     """
     numbered = F.transform(
         hashes, lambda h, i: F.xxhash64(h, F.size(F.filter(F.slice(hashes, 1, i + 1), lambda x: x == h)))
@@ -107,7 +63,8 @@ def _weighted(a: Column, b: Column) -> Column:
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """item_id, n (words), size (of its shingles), shingles, hashes (their features)."""
+    """item_id, n (words), size (of its shingles), shingles, hashes (their features), item (a
+    number of the content)."""
     items = benchmark.select("item_id", _words(F.col("text")).alias("words"))
     items = items.withColumn("n", F.size("words")).filter("n > 0")
     sizes = [
@@ -116,7 +73,8 @@ def _items(benchmark: DataFrame) -> DataFrame:
         )
         for k in range(1, SHINGLE + 1)
     ]
-    return reduce(DataFrame.union, sizes).withColumn("hashes", _features(F.col("shingles")))
+    rows = reduce(DataFrame.union, sizes).withColumn("hashes", _features(F.col("shingles")))
+    return rows.withColumn("item", F.xxhash64("size", "shingles"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -135,13 +93,13 @@ def _of_size(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
     key = ["doc_id", "text_hash"]
     worded = texts.select(*key, _words(F.col("text")).alias("words"))
     hashed = worded.select(*key, F.size("words").alias("words_n"), _shingles(F.col("words"), size).alias("all"))
-    slots = items.select("n", F.posexplode("shingles").alias("offset", "h")).distinct()
+    slots = items.select("item", "n", F.posexplode("shingles").alias("offset", "h")).distinct()
     # The outer form: for the inner one Spark adds a filter that it pushes below the arrays,
     # which would cut the text anew for every shingle.
     seeds = (
         hashed.select(*key, "words_n", F.posexplode_outer("all").alias("at", "h"))
         .join(slots, "h")
-        .select(*key, "n", "words_n", (F.col("at") - F.col("offset")).alias("line"))
+        .select(*key, "item", "n", "words_n", (F.col("at") - F.col("offset")).alias("line"))
         .distinct()
     )
     # Of two windows with m shingles each, at most a ninth of them is not shared at the least
@@ -151,10 +109,10 @@ def _of_size(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
     starts = F.sequence(F.col("line") - off, F.col("line") + off)
     inside = F.greatest(F.lit(0), F.least(F.col("words_n") - F.col("n"), F.col("start")))
     places = (
-        seeds.select(*key, "n", "words_n", F.explode(starts).alias("start"))
-        .select(*key, "n", inside.alias("start"))
+        seeds.select(*key, "item", "n", "words_n", F.explode(starts).alias("start"))
+        .select(*key, "item", "n", inside.alias("start"))
         .groupBy(*key)
-        .agg(F.collect_set(F.struct("n", "start")).alias("places"))
+        .agg(F.collect_set(F.struct("item", "n", "start")).alias("places"))
     )
     places = cut(places, "window-places")
     # Few texts have windows; the others are not shuffled, and no text is cut into words
@@ -168,39 +126,21 @@ def _of_size(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
         .select(*key, "all", F.explode("places").alias("place"))
         .select(
             *key,
+            "place.item",
             "place.n",
             "place.start",
             F.slice("all", F.col("place.start") + 1, F.col("place.n") - (size - 1)).alias("hashes"),
         )
     )
     windows = cut(windows.withColumn("hashes", _features(F.col("hashes"))), "windows")
-    # Equal windows have equal fingerprints: one row for each distinct content.
-    contents = windows.select("n", "hashes", F.xxhash64("hashes").alias("content")).dropDuplicates(["n", "content"])
-    most = items.agg(F.max(F.size("hashes"))).first()[0] or 1
-    marks = _with_fingerprint(contents, most.bit_length())
-    item_marks = _with_fingerprint(items, most.bit_length())
-    near = (
-        marks.select("n", "content", F.col("fp").alias("f"), F.posexplode(_blocks(F.col("fp"))).alias("block", "value"))
-        .join(
-            item_marks.select(
-                "item_id", "n", F.col("fp").alias("g"), F.posexplode(_blocks(F.col("fp"))).alias("block", "value")
-            ),
-            ["n", "block", "value"],
-        )
-        .filter(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= RADIUS)
-        .select("n", "content", "item_id")
-        .distinct()
-    )
-    item_hashes = items.select("item_id", "n", F.col("hashes").alias("item_hashes"))
+    contents = items.select("item", F.col("hashes").alias("item_hashes")).dropDuplicates(["item"])
     good = (
-        near.join(contents, ["n", "content"])
-        .join(item_hashes, ["item_id", "n"])
-        .select("n", "content", "item_id", _weighted(F.col("hashes"), F.col("item_hashes")).alias("similarity"))
+        windows.join(contents, "item")
+        .select(*key, "item", "n", "start", _weighted(F.col("hashes"), F.col("item_hashes")).alias("similarity"))
         .filter(F.col("similarity") >= SIMILARITY)
     )
     return (
-        windows.withColumn("content", F.xxhash64("hashes"))
-        .join(good, ["n", "content"])
+        good.join(items.select("item", "item_id").distinct(), "item")
         .groupBy(*key, "item_id", F.col("n").alias("n_words"))
         .agg(
             F.max(F.struct("similarity", (-F.col("start")).alias("before"))).alias("best"),

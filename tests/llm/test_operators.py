@@ -406,6 +406,15 @@ def test_decontaminate_against_all_windows(spark, empty):
     assert decontaminate.clean(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_decontaminate_loses_no_window_at_the_threshold(spark):
+    items = [prose(6000 + i, 49).split() for i in range(300)]
+    # One word in the middle: 40 of 50 different shingles are shared.
+    texts = [" ".join([*w[:24], f"changed{i}", *w[25:], *prose(7000 + i, 9).split()]) for i, w in enumerate(items)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.contaminated(frame(spark, texts), bench).collect()}
+    assert got == {(i, i): 0.8 for i in range(300)}
+
+
 def plain_repeats(texts, n=200):
     data = [(t or "").encode() for t in texts]
     count = Counter(d[i : i + n] for d in data for i in range(len(d) - n + 1))
