@@ -12,6 +12,7 @@ the same schema.  Input columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,21 +29,45 @@ COLUMNS = "part int, place bigint, doc_id bigint, ids array<int>"
 
 
 @lru_cache(4)
-def _library_table(path: str) -> TokenTable:
-    """Pre-tokens are independent of each other in this vocabulary's model, so the library
+def _library_table(path: str) -> tuple[TokenTable, re.Pattern | None, dict[str, int]]:
+    """The ids of pre-tokens, and the file's added tokens: the pattern that cuts them out of a
+    text, longer ones first, and their ids.
+
+    Pre-tokens are independent of each other in this vocabulary's model, so the library
     encodes each frequent one once."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     tokenizer.no_padding()
+    added = tokenizer.get_added_tokens_decoder()
+    if any(t.single_word or t.lstrip or t.rstrip for t in added.values()):
+        raise ValueError(f"{path}: added tokens that look at their neighbours are not supported")
+    number = {t.content: i for i, t in added.items() if t.content}
+    literal = "|".join(map(re.escape, sorted(number, key=len, reverse=True)))
 
     def solve(tokens: list[str]):
         for i in range(0, len(tokens), 4096):
             for e in tokenizer.encode_batch_fast(tokens[i : i + 4096], add_special_tokens=False):
                 yield e.ids
 
-    return TokenTable(Cache(solve))
+    return TokenTable(Cache(solve)), re.compile(f"({literal})") if number else None, number
+
+
+def _encode(texts: list[str], path: str) -> pa.ListArray:
+    """Ids of each text.  Added tokens are cut out first, as the library does, and the text
+    between them is encoded piece by piece."""
+    table, added, number = _library_table(path)
+    if added is None or not any(c in t for t in texts for c in number):
+        return encode_texts(texts, table)[0]
+    parts = [added.split(t) for t in texts]  # text and added token in turn
+    ids, _ = encode_texts([t for p in parts for t in p[::2]], table)
+    ends = np.asarray(ids.offsets)[1:]
+    cuts = np.array([len(p) // 2 for p in parts])
+    last = np.cumsum(cuts + 1) - 1
+    own = np.array([number[t] for p in parts for t in p[1::2]], dtype=np.int32)
+    values = np.insert(np.asarray(ids.values), np.delete(ends, last), own)
+    offsets = np.concatenate(([0], ends[last] + np.cumsum(cuts)))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
 def _with_end(ids: pa.ListArray, end_id: int) -> pa.ListArray:
@@ -57,10 +82,10 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, parts: i
     rows, _ = in_id_order(docs, parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, place = _library_table(tokenizer_path), 0
+        place = 0
         for batch in batches:
             for piece in chunks(batch):
-                ids, _ = encode_texts(texts_of(piece), table)
+                ids = _encode(texts_of(piece), tokenizer_path)
                 places = pa.array(range(place, place + piece.num_rows), pa.int64())
                 place += piece.num_rows
                 yield pa.RecordBatch.from_arrays(

@@ -126,6 +126,22 @@ def test_token_files_keep_order_and_starts(spark, odd, empty, tmp_path):
     assert token_files.index(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_token_files_know_the_added_tokens():
+    tokenizer = Tokenizer.from_file(LIBRARY)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"x{end}", f"{end} y", "plain  text", "", f"<|{end}|>{end[:-1]}", f"é\n {end}\n\n{end}'s"]
+    for some in (texts, texts[::-1], texts[5:7], [*texts * 20]):
+        assert token_files._encode(some, LIBRARY).to_pylist() == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_token_files_write_added_tokens(spark, tmp_path):
+    path, texts = str(tmp_path / "ids"), ["a <|endoftext|> b", "c", None]
+    token_files.write(frame(spark, texts), path, LIBRARY, end_id=2, parts=2)
+    tokenizer = Tokenizer.from_file(LIBRARY)
+    want = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["ids"] for r in token_files.read(spark, path).collect()} == want and 50256 in want[0]
+
+
 def test_longest_common_extension_and_edited_prefix():
     rnd = random.Random(2)
     for _ in range(300):
