@@ -5,10 +5,9 @@ has a weighted shingle similarity of at least ``SIMILARITY`` with it: words lowe
 shingles of five words with their counts as weights, the sum of the smaller counts over the
 sum of the larger ones.
 
-A window that shares no shingle with any item has similarity 0, so windows are built only
-where a document has a shingle of an item, at the places where that shingle lines up with the
-item's and as many to each side as a window of that similarity can be off.  Each window is
-compared exactly with the items whose shingle led to it.
+A window of that similarity has, among its shingles, so many that the item has as well, in
+whatever order.  So windows are built only where the places of an item's shingles in a
+document lie dense enough, and each is compared exactly with that item.
 
 Results in special cases: null or empty texts of documents and null or blank items match
 nothing; items of fewer than five words are one shingle, compared as a whole; repeated rows
@@ -93,24 +92,29 @@ def _of_size(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
     key = ["doc_id", "text_hash"]
     worded = texts.select(*key, _words(F.col("text")).alias("words"))
     hashed = worded.select(*key, F.size("words").alias("words_n"), _shingles(F.col("words"), size).alias("all"))
-    slots = items.select("item", "n", F.posexplode("shingles").alias("offset", "h")).distinct()
+    slots = items.select("item", "n", F.explode("shingles").alias("h")).distinct()
     # The outer form: for the inner one Spark adds a filter that it pushes below the arrays,
     # which would cut the text anew for every shingle.
     seeds = (
         hashed.select(*key, "words_n", F.posexplode_outer("all").alias("at", "h"))
         .join(slots, "h")
-        .select(*key, "item", "n", "words_n", (F.col("at") - F.col("offset")).alias("line"))
-        .distinct()
+        .groupBy(*key, "item", "n")
+        .agg(F.max("words_n").alias("words_n"), F.sort_array(F.collect_set("at")).alias("at"))
     )
-    # Of two windows with m shingles each, at most a ninth of them is not shared at the least
-    # similarity; every word that moves a shingle out of line costs one of these.
+    # A window of ``held`` shingles and an item of ``shingle_n`` share ``need`` at the least
+    # similarity.  Wherever so many places fit into a window, all starts that cover them count.
     shingle_n = F.col("n") - (size - 1)
-    off = F.floor(shingle_n * (1 - SIMILARITY) / (1 + SIMILARITY)).cast("int")
-    starts = F.sequence(F.col("line") - off, F.col("line") + off)
-    inside = F.greatest(F.lit(0), F.least(F.col("words_n") - F.col("n"), F.col("start")))
+    held = F.least(F.col("n"), F.col("words_n")) - (size - 1)
+    need = F.ceil((shingle_n + F.col("held")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9).cast("int")
+    seeds = seeds.withColumn("held", held).withColumn("need", need).filter(F.size("at") >= F.col("need"))
+    last = F.transform(F.slice("at", F.col("need"), F.size("at")), lambda x, i: F.struct(F.get("at", i).alias("a"), x.alias("b")))
+    dense = F.filter(last, lambda p: p["b"] - p["a"] < F.col("held"))
+    top = F.col("words_n") - (size - 1) - F.col("held")
+    starts = F.transform(
+        dense, lambda p: F.sequence(F.greatest(F.lit(0), p["b"] - F.col("held") + 1), F.least(p["a"], top))
+    )
     places = (
-        seeds.select(*key, "item", "n", "words_n", F.explode(starts).alias("start"))
-        .select(*key, "item", "n", inside.alias("start"))
+        seeds.select(*key, "item", "n", F.explode(F.array_distinct(F.flatten(starts))).alias("start"))
         .groupBy(*key)
         .agg(F.collect_set(F.struct("item", "n", "start")).alias("places"))
     )

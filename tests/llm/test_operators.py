@@ -431,6 +431,16 @@ def test_decontaminate_loses_no_window_at_the_threshold(spark):
     assert got == {(i, i): 0.8 for i in range(300)}
 
 
+def test_decontaminate_finds_reordered_parts(spark):
+    items = [prose(9000 + i, 40).split() for i in range(4)] + [prose(9004, 50).split()]
+    k = [20, 8, 30, 21, 25]
+    texts = [" ".join([*prose(9100 + i, 30).split(), *w[c:], *w[:c], *prose(9200 + i, 30).split()]) for i, (w, c) in enumerate(zip(items, k, strict=True))]
+    texts.append(" ".join(items[0][19:] + items[0][:19]))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["start"], r["similarity"]) for r in decontaminate.contaminated(frame(spark, texts), bench).collect()}
+    assert got == {(i, i): (30, pytest.approx(42 / 50 if i == 4 else 0.8)) for i in range(5)} | {(5, 0): (0, 0.8)}
+
+
 def plain_repeats(texts, n=200):
     data = [(t or "").encode() for t in texts]
     count = Counter(d[i : i + n] for d in data for i in range(len(d) - n + 1))
