@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from stopclock.llm import (
     bpe,
+    centroids,
+    cross_polytope,
     decontaminate,
     pii,
     prefix_hash,
@@ -19,6 +21,7 @@ from stopclock.llm import (
     suffix_dedup,
     token_files,
     url_rules,
+    whitening,
 )
 from stopclock.session import scratch_path
 
@@ -178,3 +181,56 @@ def _(spark, d):
 def _(spark, d):
     left = suffix_dedup.remove_repeats(table(spark, d, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _clusters_sql() -> str:
+    """All rounds, one after the other."""
+    apart = "CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)"
+    parts = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS row_id, vec_id,
+        list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+      FROM embeddings WHERE len(embedding) = {centroids.DIMENSIONS}
+        AND len(list_filter(embedding, lambda e: isfinite(e))) = {centroids.DIMENSIONS})""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id), x) - 1 AS k, x
+      FROM v WHERE vec_id IS NOT NULL ORDER BY k LIMIT {centroids.CENTROIDS})""",
+    ]
+    for r in range(centroids.ROUNDS + 1):
+        parts.append(
+            f"""a{r} AS MATERIALIZED (SELECT row_id, any_value(v.vec_id) AS vec_id, any_value(v.x) AS x,
+        min(({apart}, k)) AS best FROM v, c{r} AS c GROUP BY row_id)"""
+        )
+        if r < centroids.ROUNDS:
+            parts.append(
+                f"""c{r + 1} AS MATERIALIZED (WITH e AS (SELECT best[2] AS k, unnest(x) AS e,
+          generate_subscripts(x, 1) AS place FROM a{r}),
+        s AS (SELECT k, place, sum(e) AS s, count(*) AS n FROM e GROUP BY 1, 2),
+        m AS (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY place) AS x FROM s GROUP BY 1)
+        SELECT c.k, coalesce(m.x, c.x) AS x FROM c{r} AS c LEFT JOIN m USING (k))"""
+            )
+    last = centroids.ROUNDS
+    return f"""WITH {", ".join(parts)}
+    SELECT vec_id, CAST(best[2] AS INTEGER) AS cluster, best[1] AS distance,
+      CAST(sum(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia,
+      CAST(sum(best[1]) OVER () AS BIGINT) AS inertia,
+      sha256(array_to_string(c.x, ',')) AS centroid_sha256
+    FROM a{last} JOIN c{last} AS c ON c.k = best[2]"""
+
+
+@query("op11_centroids", _clusters_sql())
+def _(spark, d):
+    found = centroids.cluster(table(spark, d, "embeddings"))
+    numbers = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.withColumn("centroid_sha256", F.sha2(numbers.cast("binary"), 256)).drop("centroid")
+
+
+@query("op12_cross_polytope")
+def _(spark, d):
+    rows = table(spark, d, "embeddings")
+    return cross_polytope.search(rows, rows.filter("vec_id % 100 = 0"))
+
+
+@query("op13_whitening")
+def _(spark, d):
+    found = whitening.whiten(table(spark, d, "embeddings"))
+    # Beyond about 30 million rows a deviation outgrows a long: null there, whole in the operator.
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
