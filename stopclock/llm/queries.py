@@ -122,7 +122,41 @@ def _(spark, d):
     )
 
 
-@query("op4_decontaminate")
+def _contaminated_sql() -> str:
+    """All windows that share enough shingles with an item, each counted in full."""
+
+    def words(source: str, columns: str) -> str:
+        split = "regexp_split_to_array(lower(coalesce(text, '')), '[ \\t-\\r]+')"
+        return f"(SELECT {columns}, list_filter({split}, lambda w: w <> '') AS words FROM {source})"
+
+    size, least = decontaminate.SHINGLE, decontaminate.SIMILARITY
+    return f"""WITH b AS (SELECT item_id, words, len(words) AS n, least({size}, len(words)) AS k
+      FROM {words("benchmark", "item_id")} WHERE len(words) > 0),
+    i AS (SELECT item_id, n, k, unnest(list_transform(range(1, n - k + 2),
+        lambda p: array_to_string(words[p:p + k - 1], ' '))) AS sh FROM b),
+    c AS (SELECT item_id, n, k, sh, count(*) AS c FROM i GROUP BY ALL),
+    d AS (SELECT doc_id, k, words, len(words) - k + 1 AS m FROM {words("documents", "doc_id")},
+      (SELECT DISTINCT k FROM b) WHERE len(words) >= k),
+    s AS (SELECT doc_id, k, m, unnest(range(m)) AS place,
+        unnest(list_transform(range(1, m + 1), lambda p: array_to_string(words[p:p + k - 1], ' '))) AS sh FROM d),
+    hit AS MATERIALIZED (SELECT doc_id, item_id, n, place, sh, c, m, n - k + 1 AS size, least(n - k + 1, m) AS held
+      FROM s JOIN c USING (k, sh)),
+    enough AS (SELECT doc_id, item_id FROM hit GROUP BY ALL
+      HAVING count(*) >= (any_value(size) + any_value(held)) * {least} / (1 + {least}) - 1e-9),
+    near AS MATERIALIZED (SELECT * FROM hit SEMI JOIN enough USING (doc_id, item_id)),
+    start AS (SELECT DISTINCT doc_id, item_id,
+        unnest(range(greatest(0, place - held + 1), least(place, m - held) + 1)) AS start FROM near),
+    counted AS (SELECT doc_id, item_id, start, n, size, held, least(count(*), any_value(c)) AS shared
+      FROM start JOIN near USING (doc_id, item_id) WHERE place BETWEEN start AND start + held - 1
+      GROUP BY doc_id, item_id, start, n, size, held, sh),
+    likeness AS (SELECT doc_id, item_id, start, n, sum(shared) / (size + held - sum(shared)) AS similarity
+      FROM counted GROUP BY doc_id, item_id, start, n, size, held)
+    SELECT doc_id, item_id, CAST(arg_max(start, (similarity, -start)) AS INTEGER) AS start,
+      CAST(n AS INTEGER) AS n_words, max(similarity) AS similarity
+    FROM likeness WHERE similarity >= {least} GROUP BY doc_id, item_id, n"""
+
+
+@query("op4_decontaminate", _contaminated_sql())
 def _(spark, d):
     found = decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
     return found.select("doc_id", "item_id", "start", "n_words", "similarity")

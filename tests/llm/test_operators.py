@@ -441,6 +441,55 @@ def test_decontaminate_finds_reordered_parts(spark):
     assert got == {(i, i): (30, pytest.approx(42 / 50 if i == 4 else 0.8)) for i in range(5)} | {(5, 0): (0, 0.8)}
 
 
+def test_window_fingerprints_are_majorities(spark):
+    rnd = random.Random(12)
+    sets = [[rnd.getrandbits(64) - (1 << 63) for _ in range(k)] for k in (1, 2, 3, 17, 200)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(sets)], "id int, hashes array<bigint>")
+    got = {r["id"]: r["fp"] for r in df.select("id", decontaminate.fingerprint(df["hashes"]).alias("fp")).collect()}
+    for i, s in enumerate(sets):
+        bits = [2 * sum(h >> b & 1 for h in s) > len(s) for b in range(64)]
+        assert got[i] & ((1 << 64) - 1) == sum(1 << b for b in range(64) if bits[b])
+
+
+def test_hamming_index_finds_every_pair_within_the_radius(spark):
+    rnd = random.Random(13)
+    items = [rnd.getrandbits(64) for _ in range(60)]
+    windows = [x ^ sum(1 << b for b in rnd.sample(range(64), k)) for x in items for k in (0, 12, 20, 21, 22, 23, 24)]
+    signed = [[x - (1 << 64) if x >> 63 else x for x in xs] for xs in (windows, items)]
+    left = spark.createDataFrame([(i, 20 + i % 2, x) for i, x in enumerate(signed[0])], "w int, n int, fp bigint")
+    right = spark.createDataFrame([(i, 20 + i % 2, x) for i, x in enumerate(signed[1])], "item int, n int, fp bigint")
+    got = Counter((r["w"], r["item"]) for r in decontaminate.within_radius(left, right).collect())
+    want = {
+        (i, j)
+        for i, x in enumerate(windows)
+        for j, y in enumerate(items)
+        if i % 2 == j % 2 and (x ^ y).bit_count() <= decontaminate.RADIUS
+    }
+    assert got == Counter(want) and len(want) > 250
+
+
+def test_index_alone_finds_windows_at_the_threshold(spark):
+    """Not one of 200 windows at a similarity of exactly 0.8 is beyond the radius."""
+    items = [prose(6500 + i, 49).split() for i in range(200)]
+    texts = [" ".join([*w[:24], f"changed{i}", *w[25:]]) for i, w in enumerate(items)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(items)] + [(1000 + i, t) for i, t in enumerate(texts)]
+    both = decontaminate._items(spark.createDataFrame(rows, "item_id bigint, text string"))
+    windows = both.filter("item_id >= 1000").selectExpr("item_id - 1000 AS w", "n", "fp")
+    bench = both.filter("item_id < 1000").selectExpr("item_id AS item", "n", "fp")
+    got = {(r["w"], r["item"]) for r in decontaminate.within_radius(windows, bench).collect()}
+    assert {(i, i) for i in range(200)} <= got
+
+
+def test_a_phrase_of_many_items_pairs_nothing(spark):
+    opening = prose(8000, 15)
+    items = [f"{opening} {prose(8100 + i, 30)}" for i in range(120)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    docs = frame(spark, [f"{opening} {prose(8500 + i, 30)}" for i in range(200)] + [items[7]])
+    rare = decontaminate._rarest(decontaminate._items(bench))
+    assert rare.groupBy("feature").count().filter("count > 1").count() == 0
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()] == [(200, 7)]
+
+
 def plain_repeats(texts, n=200):
     data = [(t or "").encode() for t in texts]
     count = Counter(d[i : i + n] for d in data for i in range(len(d) - n + 1))
