@@ -12,7 +12,8 @@ from stopclock import storage
 from stopclock.operators.events import settled
 from stopclock.operators.freshness import freshness
 from stopclock.operators.headway import collapse_arrivals, headways, route_reliability
-from stopclock.plans.tables import append_events, read_events, read_keyed, table_path
+from stopclock.plans.buckets import read_buckets
+from stopclock.plans.tables import append_events, read_events, table_path
 from stopclock.schemas import (
     DEFAULT_AGENCY_ID,
     EVENT_TABLES,
@@ -67,7 +68,7 @@ def record_freshness(
     The alert feed counts alerts that were still in the newest polls, not new ones.
     """
     snapshots = freshness(
-        read_keyed(spark, root, SERVICE_ALERTS),
+        read_buckets(spark, root, SERVICE_ALERTS),
         f"{agency_id}.{SERVICE_ALERTS.name}",
         as_of,
         ts_col="last_seen_at",

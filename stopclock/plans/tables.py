@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stopclock import storage
@@ -33,7 +34,11 @@ def read_events(spark: SparkSession, root: str, table: Table) -> DataFrame:
 
 
 def append_events(
-    spark: SparkSession, root: str, table: Table, batch: DataFrame, ts_col: str = "received_at"
+    spark: SparkSession,
+    root: str,
+    table: Table,
+    batch: DataFrame,
+    ts_col: str = "received_at",
 ) -> DataFrame:
     """Append the rows of a batch whose key is new, and return those with an incomplete
     key, which were left out.
@@ -42,19 +47,37 @@ def append_events(
     nothing.
     """
     rows, unkeyed = split_on_key(batch.select(*table.columns), table.key)
-    rows = rows.withColumn("dt", utc_day(ts_col))
-    days = [r["dt"] for r in rows.select("dt").distinct().collect()]  # days, not rows
-    if days:
+    append_counted(spark, root, table, rows, ts_col)
+    return unkeyed
+
+
+def append_counted(
+    spark: SparkSession, root: str, table: Table, rows: DataFrame, ts_col: str = "received_at"
+) -> int:
+    """Append the rows whose key is new and return how many they were.  All keys are whole.
+
+    The batch is kept while its days are listed and written, so it is made once.
+    """
+    rows = rows.select(*table.columns).withColumn("dt", utc_day(ts_col))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        days = [r["dt"] for r in rows.select("dt").distinct().collect()]  # days, not rows
+        if not days:
+            return 0
         current = read_events(spark, root, table).filter(F.col("dt").isin(days))
+        counted = Observation()
         (
             append_new(current, rows, table.key)
             .hint("rebalance", "dt")
+            .observe(counted, F.count("*").alias("rows"))
             .write.mode("append")
             .partitionBy("dt")
             .option("compression", "zstd")
             .parquet(table_path(root, table))
         )
-    return unkeyed
+        return counted.get["rows"]
+    finally:
+        rows.unpersist()
 
 
 def _keyed_path(root: str, table: Table, part: str | None) -> str:

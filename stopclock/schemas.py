@@ -176,6 +176,22 @@ STOP_DELAY = Table(
     ("status", "updated_at"),
 )
 
+# Predictions still open, beside the frozen rows of ``stop_delay``; and which micro-batch
+# wrote a row.
+STOP_DELAY_OPEN = Table(
+    "stop_delay_open",
+    f"{STOP_DELAY.ddl}, batch_id bigint",
+    STOP_DELAY.key,
+    (*STOP_DELAY.must_be_set, "batch_id"),
+)
+# Poll files that were landed: a poll is told by its time and content, not by its file.
+LANDED_POLLS = Table(
+    "landed_polls",
+    "feed_key string, received_at timestamp, payload_hash string, path string, token string",
+    ("feed_key", "received_at", "payload_hash"),
+    ("path",),
+)
+
 # --- constants ----------------------------------------------------------------------
 
 # The agency that is meant when a file names none, and its catalog row.

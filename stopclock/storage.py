@@ -57,28 +57,27 @@ def new_version(root: str) -> str:
     return f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """The version folder that the pointer names, if there is one."""
-    jpath, fs = _path(spark, f"{root.rstrip('/')}/{POINTER}")
+def get_text(spark: SparkSession, root: str, name: str) -> str | None:
+    """Content of a small text file below ``root``, if there is one."""
+    jpath, fs = _path(spark, f"{root.rstrip('/')}/{name}")
     if not fs.exists(jpath):
         return None
     stream = fs.open(jpath)
     try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return f"{root.rstrip('/')}/{text.strip()}"
 
 
-def point_to(spark: SparkSession, root: str, version: str) -> None:
-    """Make ``version`` the current one by renaming a finished pointer file over the old
-    one; readers see the old or the new, never a mix."""
+def put_text(spark: SparkSession, root: str, name: str, text: str) -> None:
+    """Write a small text file by renaming a finished draft over it; readers see the old
+    content or the new, never a mix."""
     jvm = spark._jvm
-    target, fs = _path(spark, f"{root.rstrip('/')}/{POINTER}")
-    draft, _ = _path(spark, f"{root.rstrip('/')}/{POINTER}-{uuid.uuid4().hex}")
+    target, fs = _path(spark, f"{root.rstrip('/')}/{name}")
+    draft, _ = _path(spark, f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}")
     stream = fs.create(draft, False)
     try:
-        stream.write(bytearray(version.rstrip("/").rsplit("/", 1)[-1].encode()))
+        stream.write(bytearray(text.encode()))
     finally:
         stream.close()
     rename = jvm.org.apache.hadoop.fs.Options.Rename
@@ -90,6 +89,17 @@ def point_to(spark: SparkSession, root: str, version: str) -> None:
     context.rename(draft, target, options)
 
 
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The version folder that the pointer names, if there is one."""
+    text = get_text(spark, root, POINTER)
+    return f"{root.rstrip('/')}/{text.strip()}" if text is not None else None
+
+
+def point_to(spark: SparkSession, root: str, version: str) -> None:
+    """Make ``version`` the current one."""
+    put_text(spark, root, POINTER, version.rstrip("/").rsplit("/", 1)[-1])
+
+
 def folders_by_age(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders right below ``path``, oldest first."""
     jpath, fs = _path(spark, path)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stopclock import schemas as S
+from stopclock.functions.times import utc_day
 from stopclock.operators.dead_letters import dead_letter
 from stopclock.operators.feed_rows import (
     service_alert_rows,
@@ -25,7 +26,9 @@ from stopclock.operators.feed_rows import (
 )
 from stopclock.operators.merges import upsert_keep_first, upsert_signature
 from stopclock.operators.signatures import as_observations, field_signature
-from stopclock.plans.tables import append_events, merge_keyed
+from stopclock.plans.buckets import merge_buckets
+from stopclock.plans.runs import logged_run
+from stopclock.plans.tables import append_counted, append_events, merge_keyed, read_events
 from stopclock.sources.feeds import scan_feed_snapshots
 
 FEEDS = {
@@ -35,6 +38,22 @@ FEEDS = {
 }
 
 
+#: What tells one poll of a feed from another: two polls of one second differ in content.
+POLL = ("received_at", "payload_hash")
+
+
+def unseen_polls(spark: SparkSession, root: str, polls: DataFrame, feed_key: str) -> DataFrame:
+    """One row for each poll that the ledger of landed polls does not have yet.
+
+    The ledger is read for the days of the batch only.
+    """
+    once = polls.dropDuplicates(list(POLL))
+    days = [r["dt"] for r in once.select(utc_day("received_at").alias("dt")).distinct().collect()]
+    ledger = read_events(spark, root, S.LANDED_POLLS)
+    ledger = ledger.filter(F.col("dt").isin(days) & (F.col("feed_key") == feed_key)) if days else ledger.limit(0)
+    return once.join(ledger.select(*POLL), list(POLL), "left_anti")
+
+
 def ingest_polls(
     spark: SparkSession,
     polls: DataFrame,
@@ -43,41 +62,55 @@ def ingest_polls(
     agency_id: str = S.DEFAULT_AGENCY_ID,
     token: str | None = None,
 ) -> None:
-    """Land a set of polls of one feed: rows, signatures, dead letters.
+    """Land a set of polls of one feed: rows, signatures, dead letters; and log the run.
 
-    ``token`` names the set, so that its signatures count once if it is landed again.
+    A poll counts once, however often and under whatever name its file is landed.  ``token``
+    names the set, so that signatures count once as well if it is cut off and landed again.
     """
+    feed_key = f"{agency_id}.{feed}"
+    with logged_run(spark, root, feed_key, token) as run:
+        polls = polls.withColumn("payload_hash", F.coalesce("payload_hash", F.lit("")))
+        polls = polls.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            new = unseen_polls(spark, root, polls, feed_key).persist(StorageLevel.MEMORY_AND_DISK)
+            run.bytes_processed = new.agg(F.coalesce(F.sum(F.octet_length("content")), F.lit(0))).first()[0]
+            run.records_written = _land(spark, new, root, feed, agency_id, token)
+            # The ledger comes last: what is cut off before it is landed again.
+            landed = new.select(F.lit(feed_key).alias("feed_key"), *POLL, "path", F.lit(token).alias("token"))
+            append_counted(spark, root, S.LANDED_POLLS, landed)
+            new.unpersist()
+        finally:
+            polls.unpersist()
+
+
+def _land(
+    spark: SparkSession, polls: DataFrame, root: str, feed: str, agency_id: str, token: str | None
+) -> int:
     table, to_rows = FEEDS[feed]
     feed_key = f"{agency_id}.{feed}"
-    polls = polls.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        good = polls.filter(F.col("reject_reason").isNull())
-        rows = to_rows(good, agency_id=agency_id)
-        whole, unkeyed = split_on_key(rows, table.key)
-        if feed == "service_alerts":
-            merge = partial(
-                upsert_keep_first,
-                keys=table.key,
-                order=("last_seen_at", "position"),
-                newer="last_seen_at",
-            )
-            merge_keyed(spark, root, table, whole, merge)
-            signed = good
-        else:
-            append_events(spark, root, table, whole)
-            # A poll of these feeds without rows records no signature.
-            filled = rows.select("received_at").distinct()
-            signed = good.join(filled, "received_at", "left_semi")
-        observed = as_observations(
-            field_signature(signed.withColumn("feed_key", F.lit(feed_key)))
-        )
-        merge_keyed(
-            spark, root, S.SIGNATURES, observed, upsert_signature, part=feed, token=token
+    good = polls.filter(F.col("reject_reason").isNull())
+    rows = to_rows(good, agency_id=agency_id)
+    whole, unkeyed = split_on_key(rows, table.key)
+    if feed == "service_alerts":
+        merge = partial(
+            upsert_keep_first,
+            keys=table.key,
+            order=("last_seen_at", "position"),
+            newer="last_seen_at",
         )
-        rejects = _rejects(polls, unkeyed, feed_key)
-        append_events(spark, root, S.FAILURES, rejects, ts_col="occurred_at")
-    finally:
-        polls.unpersist()
+        merge_buckets(spark, root, table, whole, merge, token)
+        written = whole.count()
+        signed = good
+    else:
+        written = append_counted(spark, root, table, whole)
+        # A poll of these feeds without rows records no signature.
+        filled = rows.select("received_at", F.col("raw_payload_hash").alias("payload_hash")).distinct()
+        signed = good.join(filled, list(POLL), "left_semi")
+    by = ("feed_key", *POLL)
+    observed = as_observations(field_signature(signed.withColumn("feed_key", F.lit(feed_key)), by))
+    merge_keyed(spark, root, S.SIGNATURES, observed, upsert_signature, part=feed, token=token)
+    append_events(spark, root, S.FAILURES, _rejects(polls, unkeyed, feed_key), ts_col="occurred_at")
+    return written
 
 
 def _rejects(polls: DataFrame, unkeyed: DataFrame, feed_key: str) -> DataFrame:
@@ -111,10 +144,13 @@ def ingest_stream(
     checkpoint: str,
     agency_id: str = S.DEFAULT_AGENCY_ID,
     trigger: dict | None = None,
+    pattern: str = "*.json",
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """Start the ingest of a landing folder.  The default trigger takes what is there and
-    stops; ``{"processingTime": "1 minute"}`` goes on (five minutes suit alerts)."""
-    polls = scan_feed_snapshots(spark, landing, stream=True)
+    """Start the ingest of a landing folder, ``max_files`` at a time.  The default trigger
+    takes what is there and stops; ``{"processingTime": "1 minute"}`` goes on (five minutes
+    suit alerts)."""
+    polls = scan_feed_snapshots(spark, landing, True, pattern, max_files)
     stream_id = md5(checkpoint.encode()).hexdigest()[:8]
 
     def land(batch: DataFrame, batch_id: int) -> None:

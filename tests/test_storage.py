@@ -12,6 +12,7 @@ from stopclock.operators.feed_rows import service_alert_rows, vehicle_position_r
 from stopclock.operators.freshness import freshness_trend, latest_freshness
 from stopclock.operators.merges import upsert_signature
 from stopclock.plans import export, snapshot, tables
+from stopclock.plans.buckets import merge_buckets
 from stopclock.plans.reports import record_freshness, stored_freshness
 from stopclock.sources import relational
 from stopclock.sources.cold import scan_cold, scan_events
@@ -106,7 +107,7 @@ def test_freshness_history(spark, tmp_path):
     root = str(tmp_path)
     tables.append_events(spark, root, S.VEHICLE_POSITIONS, positions(spark, "2026-04-14 11:59:30"))
     alert = service_alert_rows(feeds.polls(spark, feeds.message(feeds.alert()), times=("2026-04-14 11:50:00",)))
-    tables.merge_keyed(spark, root, S.SERVICE_ALERTS, alert, lambda _, batch: batch)
+    merge_buckets(spark, root, S.SERVICE_ALERTS, alert, lambda _, batch: batch)
     noon = datetime(2026, 4, 14, 12, tzinfo=timezone.utc)
     for minute in (0, 20, 20):
         record_freshness(spark, root, noon + timedelta(minutes=minute))

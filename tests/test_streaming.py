@@ -4,12 +4,15 @@ import json
 import random
 from datetime import datetime, timedelta, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from stopclock import schemas as S
 from stopclock.plans import tables
+from stopclock.plans.buckets import read_buckets
+from stopclock.sources.feeds import scan_feed_snapshots
 from stopclock.streaming.freshness import rolling_counts
-from stopclock.streaming.ingest import first_per_key, ingest_stream
+from stopclock.streaming.ingest import first_per_key, ingest_polls, ingest_stream
 from stopclock.streaming.throttle import throttle
 from tests import feeds
 
@@ -43,8 +46,40 @@ def test_positions(spark, tmp_path):
     ingest(spark, tmp_path, "vehicle_positions", "one")
     assert tables.read_events(spark, root, S.VEHICLE_POSITIONS).count() == 3
     signatures = tables.read_keyed(spark, root, S.SIGNATURES, part="vehicle_positions").collect()
-    # An empty poll leaves no signature; the second run polled both files again.
-    assert sum(s.sample_count for s in signatures) == 5
+    # An empty poll leaves no signature; the second run landed the same polls again.
+    assert sum(s.sample_count for s in signatures) == 3
+    runs = tables.read_events(spark, root, S.RUNS).collect()
+    assert {r.status for r in runs} == {"success"} and {r.asset_key for r in runs} == {"ttc.vehicle_positions"}
+    assert sorted(r.records_written for r in runs) == [0, 1, 2] and min(r.bytes_processed for r in runs) == 0
+
+
+def test_two_polls_of_one_second_stay_two(spark, tmp_path):
+    landing, root = tmp_path / "landing", str(tmp_path / "tables")
+    other = feeds.vehicle_full()
+    other["vehicle"]["vehicle"] = {"id": "another"}
+    other["vehicle"]["extra_field"] = 1
+    land(landing, "1700000000-a", feeds.message(feeds.vehicle_full()))
+    land(landing, "1700000000-b", feeds.message(other))
+    land(landing, "1700000000-c", feeds.message(other))  # the same poll under another name
+    ingest(spark, tmp_path, "vehicle_positions")
+    assert tables.read_events(spark, root, S.VEHICLE_POSITIONS).count() == 2
+    assert tables.read_events(spark, root, S.LANDED_POLLS).count() == 2
+    signatures = tables.read_keyed(spark, root, S.SIGNATURES, part="vehicle_positions").collect()
+    assert sorted(s.sample_count for s in signatures) == [1, 1]
+
+
+def test_a_failed_run_is_logged_and_landed_again(spark, tmp_path):
+    landing, root = tmp_path / "landing", str(tmp_path / "tables")
+    land(landing, 1_700_000_000, feeds.message(feeds.vehicle_full()))
+    polls = scan_feed_snapshots(spark, str(landing))
+    broken = polls.withColumn("reject_reason", F.raise_error(F.lit("disk full")).cast("string"))
+    with pytest.raises(Exception, match="disk full"):
+        ingest_polls(spark, broken, root, "vehicle_positions", token="t")
+    assert tables.read_events(spark, root, S.LANDED_POLLS).count() == 0
+    ingest_polls(spark, polls, root, "vehicle_positions", token="t")
+    runs = sorted(tables.read_events(spark, root, S.RUNS).collect(), key=lambda r: r.started_at)
+    assert [r.status for r in runs] == ["failure", "success"] and "disk full" in runs[0].error_message
+    assert [r.records_written for r in runs] == [None, 1]
 
 
 def test_trip_updates(spark, tmp_path):
@@ -62,7 +97,7 @@ def test_alerts(spark, tmp_path):
     ingest(spark, tmp_path, "service_alerts")
     land(landing, 1_700_000_600, feeds.message())
     ingest(spark, tmp_path, "service_alerts")
-    (row,) = tables.read_keyed(spark, root, S.SERVICE_ALERTS).collect()
+    (row,) = read_buckets(spark, root, S.SERVICE_ALERTS).collect()
     assert (row.header_text, str(row.first_seen_at), str(row.last_seen_at)) == (
         "second", "2023-11-14 22:13:20", "2023-11-14 22:18:20"
     )
