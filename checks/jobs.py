@@ -6,16 +6,19 @@ the result sees.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import registry as R
 from checks import views as V
 from stopclock import schemas as S
-from stopclock.operators import events, feed_rows, merges
-from stopclock.plans import export, snapshot, tables
+from stopclock.functions.times import utc_day
+from stopclock.operators import delay, events, feed_rows, merges
+from stopclock.plans import delays, export, snapshot, tables
 from stopclock.plans.reports import stored_freshness
 from stopclock.session import scratch_path
 from stopclock.sources import cold
@@ -86,7 +89,7 @@ def _(spark, d):
     root = scratch_path(spark, "hot")
     vp = V.vehicle_positions(spark, d)
     tables.append_events(spark, root, S.VEHICLE_POSITIONS, vp)
-    today = vp.agg(F.max(F.to_date("received_at"))).first()[0]
+    today = vp.agg(F.max(utc_day("received_at"))).first()[0]
     export.drop_days(spark, root, "vehicle_positions", today)
     left = tables.read_events(spark, root, S.VEHICLE_POSITIONS)
     return left.groupBy("dt").agg(F.count("*").alias("n_rows"))
@@ -223,9 +226,21 @@ def _(spark, d):
 # --- streams ----------------------------------------------------------------------------
 
 
-def event_stream(spark: SparkSession, d: str) -> DataFrame:
-    schema = V.table(spark, d, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{d.rstrip('/')}/events.parquet*")
+#: Files of one slice of a stream's input, which one micro-batch takes.
+SLICE_FILES = 4
+
+def event_slices(spark: SparkSession, d: str, again: Column | None = None) -> DataFrame:
+    """The events as a stream of five or more micro-batches, one a week.  Rows for which
+    ``again`` is true come once more, as the last of them."""
+    order = F.floor(F.unix_seconds(V.ts("ts")) / (7 * 86_400))
+    events, folder = V.table(spark, d, "events"), scratch_path(spark, "event-slices")
+    numbers = sorted(r[0] for r in events.select(order).distinct().collect())  # a handful
+    parts = [events.filter(order == n) for n in numbers]
+    if again is not None:
+        parts.append(events.filter(again))
+    for part in parts:
+        part.repartition(SLICE_FILES).write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", SLICE_FILES).parquet(folder)
 
 
 def run_to_end(df: DataFrame, mode: str) -> DataFrame:
@@ -252,20 +267,17 @@ def run_to_end(df: DataFrame, mode: str) -> DataFrame:
     "SELECT event_id, ts AS received_at, CAST(user_id AS VARCHAR) AS vehicle_id, value FROM events",
 )
 def _(spark, d):
-    rows = event_stream(spark, d).select(
-        "event_id",
-        V.ts("ts").alias("received_at"),
-        F.col("user_id").cast("string").alias("vehicle_id"),
-        "value",
-    )
-    again = event_stream(spark, d).select(
+    """Weeks of events, each polled twice, the rows of the last days once more at the end."""
+    events = event_slices(spark, d, again=V.ts("ts") >= F.lit("2024-01-25 00:00:00 UTC").cast("timestamp"))
+    rows = events.select(
         "event_id",
         V.ts("ts").alias("received_at"),
         F.col("user_id").cast("string").alias("vehicle_id"),
         "value",
     )
-    polled_twice = rows.unionByName(again)
-    kept = ingest.first_per_key(polled_twice, ["received_at", "vehicle_id", "event_id"])
+    polled_twice = rows.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    # Longer than the rows that come again are late.
+    kept = ingest.first_per_key(polled_twice, ["received_at", "vehicle_id", "event_id"], delay="10 days")
     return run_to_end(kept, "append").drop("_batch")
 
 
@@ -277,37 +289,84 @@ def _(spark, d):
       count(*) AS record_count, max(ts) AS last_record_at FROM w GROUP BY 1, 2""",
 )
 def _(spark, d):
-    rows = event_stream(spark, d).select(
+    """Counts over five micro-batches, the last state of each window."""
+    rows = event_slices(spark, d).select(
         F.col("event_type").alias("feed_key"), V.ts("ts").alias("received_at")
     )
     rolling = freshness.rolling_counts(rows, length="1 hour", step="15 minutes")
-    return run_to_end(rolling, "update").drop("_batch")
+    changes = run_to_end(rolling, "update")
+    last = events.latest_per_key(changes, ["feed_key", "window_start"], [F.col("_batch").desc()])
+    return last.drop("_batch")
 
 
-@query("stream_live_delays", R.ORACLES["stop_delays"].replace("7 DAY", "60 DAY"))
-def _(spark, d):
-    """The streamed delay state after the last report, as the batch job has it."""
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """State of the kind that timers and lists need."""
     before = spark.conf.get(PROVIDER, None)
     spark.conf.set(PROVIDER, ROCKSDB)
     try:
-        schedule = V.stop_times(spark, d)
-        stream = event_stream(spark, d)
-        rows = V.trip_updates_of(stream)
-        reports = delay_state.delay_reports(
-            rows, V.vehicle_positions_of(event_stream(spark, d)), schedule, R._ZONE
-        )
-        live = delay_state.live_delays(reports, sweep_minutes=60 * 1440, lateness="0 seconds")
-        changes = run_to_end(live, "update")
+        yield
     finally:
         if before is None:
             spark.conf.unset(PROVIDER)
         else:
             spark.conf.set(PROVIDER, before)
+
+
+def changed_delays(spark: SparkSession, d: str) -> DataFrame:
+    """Stream of changed delays over five micro-batches of reports."""
+    slices = event_slices(spark, d)
+    reports = delay_state.delay_reports(
+        V.trip_updates_of(slices), V.vehicle_positions_of(slices), V.stop_times(spark, d), R._ZONE
+    )
+    return delay_state.live_delays(reports, sweep_minutes=60 * 1440, lateness="0 seconds")
+
+
+@query("stream_live_delays", R.ORACLES["stop_delays"].replace("7 DAY", "60 DAY"))
+def _(spark, d):
+    """The streamed delay state after the last report, as the batch job has it."""
+    with rocksdb(spark):
+        changes = run_to_end(changed_delays(spark, d), "update")
     key = ["start_date", "trip_id", "stop_sequence"]
     last = events.latest_per_key(changes, key, [F.col("_batch").desc()])
     return last.drop("_batch")
 
 
+def landed_delays(spark: SparkSession, d: str) -> str:
+    """Root of a store that the delay stream landed in."""
+    root, state = scratch_path(spark, "delays"), scratch_path(spark, "state")
+    with rocksdb(spark):
+        delays.land_delay_stream(changed_delays(spark, d), root, state).awaitTermination()
+    return root
+
+
+@query("stored_delays", R.ORACLES["stop_delays"].replace("7 DAY", "60 DAY"))
+def _(spark, d):
+    """The stored delays, one service day compacted: frozen rows and open ones."""
+    root = landed_delays(spark, d)
+    delays.compact_delays(spark, root, date(2024, 1, 15))
+    return delays.read_delays(spark, root)
+
+
+@query(
+    "delay_reliability_stored",
+    f"""WITH d AS ({R.ORACLES["stop_delays"]})
+    SELECT route_id, start_date AS day,
+      CAST(extract(hour FROM scheduled_at AT TIME ZONE 'UTC' AT TIME ZONE '{R._ZONE}') AS INTEGER) AS hour,
+      count(*) AS n_visits, round(avg(delay_s), 3) AS avg_delay_s,
+      round(quantile_cont(delay_s, 0.5), 3) AS median_delay_s,
+      round(quantile_cont(delay_s, 0.9), 3) AS p90_delay_s,
+      round(count(*) FILTER (delay_s BETWEEN -60 AND 300) / count(*), 6) AS on_time_share
+    FROM d WHERE status = 'final' GROUP BY ALL""",
+)
+def _(spark, d):
+    """Reliability from the history that the delay stream landed in five micro-batches."""
+    shares = delay.delay_reliability(delays.read_delays(spark, landed_delays(spark, d)), zone=R._ZONE)
+    for c in ("avg_delay_s", "median_delay_s", "p90_delay_s"):
+        shares = shares.withColumn(c, F.round(c, 3))
+    return shares.withColumn("on_time_share", F.round("on_time_share", 6))
+
+
 _THROTTLED = """WITH RECURSIVE e AS (SELECT event_id, user_id, ts,
         row_number() OVER (PARTITION BY user_id ORDER BY ts) AS n FROM events),
       s AS (SELECT *, ts AS start, 1 AS used, true AS allowed FROM e WHERE n = 1
@@ -324,16 +383,9 @@ _THROTTLED = """WITH RECURSIVE e AS (SELECT event_id, user_id, ts,
     _THROTTLED,
 )
 def _(spark, d):
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
-    try:
-        rows = event_stream(spark, d).select("event_id", "user_id", V.ts("ts").alias("ts"))
+    rows = event_slices(spark, d).select("event_id", "user_id", V.ts("ts").alias("ts"))
+    with rocksdb(spark):
         return run_to_end(throttle.throttle(rows, "user_id", "ts", 2, 7200), "append").drop("_batch")
-    finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
 
 
 @query("throttle_batch", _THROTTLED)

@@ -27,7 +27,7 @@ from stopclock.streaming import ingest
 query = R.query
 DAY_S = 86_400
 #: Files that one micro-batch takes.
-FILES = 7
+FILES = 10
 
 
 def _poll_of_day() -> Column:
@@ -98,10 +98,12 @@ def land_files(spark: SparkSession, polls: DataFrame, label: str) -> str:
     number = F.col("poll") / F.when(F.col("poll") % DAY_S == 0, F.lit(DAY_S)).otherwise(60)
     n = F.pmod(F.floor(number), F.lit(10))
     late = n == 4
+    polls = polls.persist()
     steps = (n.between(2, 6) & ~late, n > 6, (n < 2) | late, n.isin(3, 8))
     for step in steps:
         rows = polls.filter(step).repartition(F.col("poll"))
         rows.select("poll", F.col("content").alias("value")).write.mode("append").partitionBy("poll").text(folder)
+    polls.unpersist()
     return f"{folder}/poll=*"
 
 
@@ -236,7 +238,8 @@ def _(spark, d):
 def _(spark, d):
     """The freshness history of a store that has one feed of three, checked twice, the second
     check once more."""
-    root = ingested(spark, position_polls(spark, d), "vehicle_positions")
+    landing, root = land_files(spark, position_polls(spark, d), "landing"), scratch_path(spark, "checked")
+    ingest.ingest_polls(spark, scan_feed_snapshots(spark, landing, pattern="part-*"), root, "vehicle_positions")
     for minute in (3, 45, 45):
         record_freshness(spark, root, datetime(2024, 1, 21, 0, minute, tzinfo=timezone.utc))
     return tables.read_events(spark, root, S.FRESHNESS).drop("dt")

@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
-from stopclock.plans.tables import append_counted
+from stopclock.plans.tables import append_all
 from stopclock.schemas import RUNS
 
 MESSAGE_CHARS = 2000
@@ -49,4 +49,4 @@ def logged_run(spark: SparkSession, root: str, asset_key: str, token: str | None
             type(failure).__name__ if failure else None,
             str(failure)[:MESSAGE_CHARS] if failure else None,
         )
-        append_counted(spark, root, RUNS, spark.createDataFrame([row], RUNS.ddl), ts_col="started_at")
+        append_all(spark.createDataFrame([row], RUNS.ddl), root, RUNS, ts_col="started_at")

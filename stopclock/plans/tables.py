@@ -51,6 +51,17 @@ def append_events(
     return unkeyed
 
 
+def append_all(rows: DataFrame, root: str, table: Table, ts_col: str = "received_at") -> None:
+    """Append rows whose keys are known to be new."""
+    (
+        rows.select(*table.columns, utc_day(ts_col).alias("dt"))
+        .write.mode("append")
+        .partitionBy("dt")
+        .option("compression", "zstd")
+        .parquet(table_path(root, table))
+    )
+
+
 def append_counted(
     spark: SparkSession, root: str, table: Table, rows: DataFrame, ts_col: str = "received_at"
 ) -> int:

@@ -7,6 +7,7 @@ merges go by key, so a batch that is run again after a failure changes nothing.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import partial
 from hashlib import md5
 
@@ -28,7 +29,7 @@ from stopclock.operators.merges import upsert_keep_first, upsert_signature
 from stopclock.operators.signatures import as_observations, field_signature
 from stopclock.plans.buckets import merge_buckets
 from stopclock.plans.runs import logged_run
-from stopclock.plans.tables import append_counted, append_events, merge_keyed, read_events
+from stopclock.plans.tables import append_all, append_counted, append_events, merge_keyed, read_events
 from stopclock.sources.feeds import scan_feed_snapshots
 
 FEEDS = {
@@ -42,13 +43,14 @@ FEEDS = {
 POLL = ("received_at", "payload_hash")
 
 
-def unseen_polls(spark: SparkSession, root: str, polls: DataFrame, feed_key: str) -> DataFrame:
+def unseen_polls(
+    spark: SparkSession, root: str, polls: DataFrame, feed_key: str, days: list[date]
+) -> DataFrame:
     """One row for each poll that the ledger of landed polls does not have yet.
 
-    The ledger is read for the days of the batch only.
+    The ledger is read for ``days``, those of the batch, only.
     """
     once = polls.dropDuplicates(list(POLL))
-    days = [r["dt"] for r in once.select(utc_day("received_at").alias("dt")).distinct().collect()]
     ledger = read_events(spark, root, S.LANDED_POLLS)
     ledger = ledger.filter(F.col("dt").isin(days) & (F.col("feed_key") == feed_key)) if days else ledger.limit(0)
     return once.join(ledger.select(*POLL), list(POLL), "left_anti")
@@ -72,12 +74,15 @@ def ingest_polls(
         polls = polls.withColumn("payload_hash", F.coalesce("payload_hash", F.lit("")))
         polls = polls.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            new = unseen_polls(spark, root, polls, feed_key).persist(StorageLevel.MEMORY_AND_DISK)
-            run.bytes_processed = new.agg(F.coalesce(F.sum(F.octet_length("content")), F.lit(0))).first()[0]
+            days, run.bytes_processed = polls.agg(
+                F.collect_set(utc_day("received_at")),
+                F.coalesce(F.sum(F.octet_length("content")), F.lit(0)),
+            ).first()
+            new = unseen_polls(spark, root, polls, feed_key, days).persist(StorageLevel.MEMORY_AND_DISK)
             run.records_written = _land(spark, new, root, feed, agency_id, token)
             # The ledger comes last: what is cut off before it is landed again.
             landed = new.select(F.lit(feed_key).alias("feed_key"), *POLL, "path", F.lit(token).alias("token"))
-            append_counted(spark, root, S.LANDED_POLLS, landed)
+            append_all(landed, root, S.LANDED_POLLS)
             new.unpersist()
         finally:
             polls.unpersist()
