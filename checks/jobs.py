@@ -229,15 +229,20 @@ def _(spark, d):
 #: Files of one slice of a stream's input, which one micro-batch takes.
 SLICE_FILES = 4
 
-def event_slices(spark: SparkSession, d: str, again: Column | None = None) -> DataFrame:
+def event_slices(spark: SparkSession, d: str, again: Column | None = None, marks: int = 0) -> DataFrame:
     """The events as a stream of five or more micro-batches, one a week.  Rows for which
-    ``again`` is true come once more, as the last of them."""
+    ``again`` is true come once more, as the last of them.  ``marks`` further ones hold events
+    of years after, with negative ids."""
     order = F.floor(F.unix_seconds(V.ts("ts")) / (7 * 86_400))
     events, folder = V.table(spark, d, "events"), scratch_path(spark, "event-slices")
     numbers = sorted(r[0] for r in events.select(order).distinct().collect())  # a handful
     parts = [events.filter(order == n) for n in numbers]
     if again is not None:
         parts.append(events.filter(again))
+    for n in range(marks):
+        years = F.make_interval(F.lit(1 + n))
+        few = events.limit(SLICE_FILES)
+        parts.append(few.withColumns({"event_id": -F.abs("event_id") - 1, "ts": F.col("ts") + years}).select(*events.columns))
     for part in parts:
         part.repartition(SLICE_FILES).write.mode("append").parquet(folder)
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", SLICE_FILES).parquet(folder)
@@ -383,9 +388,12 @@ _THROTTLED = """WITH RECURSIVE e AS (SELECT event_id, user_id, ts,
     _THROTTLED,
 )
 def _(spark, d):
-    rows = event_slices(spark, d).select("event_id", "user_id", V.ts("ts").alias("ts"))
+    """Events in five micro-batches and any order inside a day.  Two marks long after the
+    last event move the watermark past it."""
+    rows = event_slices(spark, d, marks=2).select("event_id", "user_id", V.ts("ts").alias("ts"))
     with rocksdb(spark):
-        return run_to_end(throttle.throttle(rows, "user_id", "ts", 2, 7200), "append").drop("_batch")
+        out = run_to_end(throttle.throttle(rows, "user_id", "ts", 2, 7200, "1 day", 86_400), "append")
+    return out.filter("event_id >= 0").drop("_batch")
 
 
 @query("throttle_batch", _THROTTLED)

@@ -20,7 +20,7 @@ from stopclock import storage
 from stopclock.plans.tables import table_path
 from stopclock.schemas import Table
 
-BUCKETS = 64
+BUCKETS = 16
 _COUNT, _PENDING, _APPLIED, _STAGED = "_buckets", "_pending", "_applied", "_staged-"
 
 

@@ -1,21 +1,26 @@
 """Throttle: the first so many events per key in a window that starts with the key's first
 event, and restarts with the first event after it has run out.
 
-``throttle`` is the stream, ``throttle_batch`` the same for rows at rest.
+``throttle`` is the stream, ``throttle_batch`` the same for rows at rest.  An event without a
+time is not allowed and counts for nothing.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from itertools import groupby
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-_BUCKET = T.StructType().add("start_us", T.LongType()).add("used", T.IntegerType())
+_WINDOW = T.StructType().add("start_us", T.LongType()).add("used", T.IntegerType())
+_PIECE_KEY = T.StructType().add("slice", T.LongType()).add("piece", T.StringType())
+_PIECE = T.StructType().add("rows", T.BinaryType())
 
 
 def _allowed(
@@ -31,51 +36,105 @@ def _allowed(
     return out, start, used
 
 
+def _micros(times: pd.Series) -> pd.Series:
+    return times.astype("datetime64[us]").astype("int64")
+
+
 class FixedWindow(StatefulProcessor):
-    """Keeps a start and a count per key, whatever the number of events.
+    """Holds a key's events back until the watermark has passed them, then counts them.
 
-    A key's rows come in pieces of any order, so those of one micro-batch are put in order
-    before they are counted; the size of a micro-batch bounds what is held.  A key leaves two
-    numbers in the state store and keeps them.
+    Events are kept in slices of time; a slice's timer fires when no event of it can come any
+    more.  Timers of a key fire in order of time, so whatever the order in which events come,
+    they are counted in the order in which they happened, one slice in memory at a time.  A
+    further timer ends the window; with nothing held back, the key's state goes with it.
     """
 
-    def __init__(self, ts_col: str, limit: int, window_s: float):
-        self.ts_col, self.limit, self.window_us = ts_col, limit, int(window_s * 1_000_000)
+    def __init__(self, ts_col: str, limit: int, window_s: float, slice_s: float):
+        self.ts_col, self.limit = ts_col, limit
+        self.window_us, self.slice_us = int(window_s * 1_000_000), max(1_000, int(slice_s * 1_000_000))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.bucket = handle.getValueState("bucket", _BUCKET)
+        self.handle = handle
+        self.window = handle.getValueState("window", _WINDOW)
+        self.held = handle.getMapState("held", _PIECE_KEY, _PIECE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        start, used = self.bucket.get() if self.bucket.exists() else (None, 0)
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(self.ts_col, kind="stable")
-        times = (batch[self.ts_col].astype("datetime64[us]").astype("int64")).tolist()
-        allowed, start, used = _allowed(times, start, used, self.limit, self.window_us)
-        self.bucket.update((int(start), int(used)))
-        yield batch.assign(allowed=allowed)
+        slices = set()
+        for chunk in rows:
+            timeless = chunk[self.ts_col].isna()
+            if timeless.any():
+                yield chunk[timeless].assign(allowed=False)
+                chunk = chunk[~timeless]
+            number = _micros(chunk[self.ts_col]) // self.slice_us
+            for value, part in chunk.groupby(number):
+                self.held.updateValue((int(value), uuid.uuid4().hex), (_packed(part),))
+                slices.add(int(value))
+        for value in slices:
+            self.handle.registerTimer(-(-(value + 1) * self.slice_us // 1000))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        now_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        keys = list(self.held.keys())
+        over = [k for k in keys if (k[0] + 1) * self.slice_us <= now_us]
+        start, used = self.window.get() if self.window.exists() else (None, 0)
+        for value in sorted({k[0] for k in over}):
+            pieces = [k for k in over if k[0] == value]
+            rows = pd.concat([_unpacked(self.held.getValue(k)[0]) for k in pieces], ignore_index=True)
+            rows = rows.sort_values(self.ts_col, kind="stable")
+            allowed, start, used = _allowed(
+                _micros(rows[self.ts_col]).tolist(), start, used, self.limit, self.window_us
+            )
+            for k in pieces:
+                self.held.removeKey(k)
+            yield rows.assign(allowed=allowed)
+        if start is not None and start + self.window_us <= now_us and len(over) == len(keys):
+            self.window.clear()  # no event of it is held back or can still come
+        elif over:
+            self.window.update((int(start), int(used)))
+            self.handle.registerTimer(-(-(start + self.window_us) // 1000))
 
     def close(self) -> None:
         pass
 
 
+def _packed(rows: pd.DataFrame) -> bytes:
+    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_pandas()
+
+
 def throttle(
     events: DataFrame,
     key: str,
     ts_col: str,
     limit: int = 60,
     window_s: float = 60,
+    lateness: str = "1 minute",
+    slice_s: float | None = None,
 ) -> DataFrame:
-    """Stream of the events with a column ``allowed``.
+    """Stream of the events with a column ``allowed``, each released once the watermark,
+    ``lateness`` behind the newest event, has passed its slice of ``slice_s`` (a window's
+    length where not given).
 
-    Events of one micro-batch may come in any order; an event older than the window of an
-    earlier micro-batch counts in that window.
+    Events may come in any order within the lateness; later ones fall out of the stream and
+    are counted by ``dropped_rows``.  Needs the RocksDB state store.
     """
     schema = T.StructType([*events.schema.fields, T.StructField("allowed", T.BooleanType())])
-    return events.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=FixedWindow(ts_col, limit, window_s),
-        outputStructType=schema,
-        outputMode="Append",
-        timeMode="None",
+    return (
+        events.withWatermark(ts_col, lateness)
+        .groupBy(key)
+        .transformWithStateInPandas(
+            statefulProcessor=FixedWindow(ts_col, limit, window_s, slice_s or window_s),
+            outputStructType=schema,
+            outputMode="Append",
+            timeMode="EventTime",
+        )
     )
 
 
@@ -93,15 +152,16 @@ def throttle_batch(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, start, used, begun = None, None, 0, False
         for batch in batches:
-            times = batch[ts_col].astype("datetime64[us]").astype("int64")
-            times, passed = times.tolist(), []
+            timeless = batch[ts_col].isna().tolist()
+            times, passed = _micros(batch[ts_col]).tolist(), []
             keys = batch[key].astype(object).where(batch[key].notna(), None).tolist()
             for value, run_of in groupby(range(len(keys)), key=keys.__getitem__):
                 if not begun or value != held:
                     held, start, used, begun = value, None, 0, True
-                mine = [times[i] for i in run_of]
-                allowed, start, used = _allowed(mine, start, used, limit, window_us)
-                passed += allowed
+                mine = list(run_of)
+                timed = [i for i in mine if not timeless[i]]
+                allowed, start, used = _allowed([times[i] for i in timed], start, used, limit, window_us)
+                passed += [False] * (len(mine) - len(timed)) + allowed  # null times sort first
             yield batch.assign(allowed=passed)
 
     ordered = events.repartition(F.col(key)).sortWithinPartitions(key, ts_col)

@@ -13,7 +13,8 @@ from stopclock.plans.buckets import read_buckets
 from stopclock.sources.feeds import scan_feed_snapshots
 from stopclock.streaming.freshness import rolling_counts
 from stopclock.streaming.ingest import first_per_key, ingest_polls, ingest_stream
-from stopclock.streaming.throttle import throttle
+from stopclock.streaming.progress import dropped_rows
+from stopclock.streaming.throttle import throttle, throttle_batch
 from tests import feeds
 
 
@@ -136,18 +137,63 @@ def test_rolling_counts(spark, tmp_path):
     assert sum(r.record_count for r in got) == 5 * 400
 
 
+def throttled(spark, tmp_path, batches, limit, window_s, **more):
+    """Rows of a stream over the batches, and its checkpoint."""
+    ddl, path = "key string, ts timestamp, n int", str(tmp_path / "rows")
+    for batch in batches:
+        spark.createDataFrame(batch, ddl).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(path)
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    query = (
+        throttle(stream, "key", "ts", limit, window_s, **more)
+        .writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return [r for r in spark.read.parquet(out).collect() if r.key != "mark"], state, query
+
+
+MARKS = [[("mark", datetime(2030 + y, 1, 1, tzinfo=timezone.utc), 0)] for y in range(2)]
+
+
 def test_throttle(spark, tmp_path):
     start = datetime(2026, 4, 14, tzinfo=timezone.utc)
     seconds = {"a": [0, 1, 2, 3, 4, 59, 60, 61, 130], "b": [10, 70, 71], "c": [5]}
-    rows = [(k, start + timedelta(seconds=s)) for k, times in seconds.items() for s in times]
-    _, stream = source(spark, tmp_path, rows, "key string, ts timestamp", 1)
-    got = collect(spark, throttle(stream, "key", "ts", limit=3, window_s=60), "append", "throttled")
+    rows = [(k, start + timedelta(seconds=s), 0) for k, times in seconds.items() for s in times]
+    got, _, _ = throttled(spark, tmp_path, [rows, *MARKS], 3, 60)
     allowed = {k: [r.allowed for r in sorted(got, key=lambda r: r.ts) if r.key == k] for k in seconds}
     assert allowed["a"] == [True] * 3 + [False] * 3 + [True, True, True]
     assert allowed["b"] == [True, True, True] and allowed["c"] == [True]
     assert len(got) == len(rows) and {r.key for r in got} == set(seconds)
 
 
+def test_a_hot_key_in_any_order_is_as_in_batch(spark, tmp_path):
+    rnd = random.Random(11)
+    start = datetime(2026, 4, 14, tzinfo=timezone.utc)
+    rows = [("hot", start + timedelta(milliseconds=137 * i), i) for i in range(20_000)]
+    rows += [(f"k{i % 40}", start + timedelta(milliseconds=911 * i), 100_000 + i) for i in range(2_000)]
+    # Shuffled inside ten minutes; micro-batches of about four minutes.
+    rows.sort(key=lambda r: r[1].timestamp() + rnd.uniform(0, 600))
+    batches = [rows[i : i + 2_000] for i in range(0, len(rows), 2_000)]
+    timeless = [("hot", None, -1)]
+    got, state, query = throttled(spark, tmp_path, [timeless, *batches, *MARKS], 7, 30, lateness="11 minutes", slice_s=60)
+    at_rest = spark.createDataFrame(rows + timeless, "key string, ts timestamp, n int")
+    want = throttle_batch(at_rest, "key", "ts", 7, 30).collect()
+    assert sorted((r.n, r.allowed) for r in got) == sorted((r.n, r.allowed) for r in want)
+    assert dropped_rows(query) == 0
+    # Nothing is kept of the keys whose windows are over: only the marks are not done with.
+    for name in ("window", "held"):
+        reader = spark.read.format("statestore").option("path", state).option("stateVarName", name)
+        assert [r.key.key for r in reader.load().select("key").collect()] == ["mark"]
+
+
+def test_dropped_rows_are_counted(spark, tmp_path):
+    start = datetime(2026, 4, 14, tzinfo=timezone.utc)
+    late = [("a", start - timedelta(hours=1), 1)]
+    got, _, query = throttled(spark, tmp_path, [[("a", start, 0)], MARKS[0], late, MARKS[1]], 3, 60)
+    assert [r.n for r in got] == [0] and dropped_rows(query) == 1
+
+
 def test_sessions_run_in_utc(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.range(1).select(F.current_timezone()).first()[0] == "UTC"
