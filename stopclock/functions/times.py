@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,14 +14,16 @@ HALF_DAY_S = 43_200
 
 
 def instant(value: Column | datetime | str) -> Column:
-    """A timestamp column from a column, a datetime (naive means UTC) or ISO text."""
+    """A timestamp column from a column, a datetime or ISO text; without a zone the latter
+    two mean UTC, whatever the session's time zone."""
     if isinstance(value, Column):
         return value
-    if isinstance(value, datetime):
-        if value.tzinfo is None:
-            value = value.replace(tzinfo=timezone.utc)
-        return F.timestamp_micros(F.lit(round(value.timestamp() * 1_000_000)).cast("long"))
-    return F.lit(value).cast("timestamp")
+    if isinstance(value, str):
+        value = datetime.fromisoformat(value.strip())
+    if value.tzinfo is None:
+        value = value.replace(tzinfo=timezone.utc)
+    micros = (value - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(micros).cast("long"))
 
 
 def day(value: Column | date | str) -> Column:

@@ -153,7 +153,7 @@ def vehicles_on_route(
     positions: DataFrame,
     as_of: Column | datetime | str,
     text_col: str = "route_text",
-    limit: int = 500,
+    limit: int | None = 500,
     minutes: float = 5,
 ) -> DataFrame:
     """Per query: the route it names, how many vehicles are on it now, and which.
@@ -161,14 +161,16 @@ def vehicles_on_route(
     An unknown route has ``matched`` false; a known one without vehicles counts 0.  The
     count is of all live vehicles; the list is a report of the first ``limit`` by id, which
     bounds what is gathered per route, and ``truncated`` tells whether it leaves some out.
+    Without a limit the list has them all.
     """
     live = current_positions(positions, as_of, minutes, by=("route_id", "vehicle_id"))
     counts = live.groupBy("route_id").agg(F.count("*").alias("vehicle_count"))
     first = Window.partitionBy("route_id").orderBy("vehicle_id")
+    listed = live
+    if limit is not None:
+        listed = live.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= limit)
     fleet = (
-        live.withColumn("_rank", F.row_number().over(first))
-        .filter(F.col("_rank") <= limit)
-        .groupBy("route_id")
+        listed.groupBy("route_id")
         .agg(F.sort_array(F.collect_list(F.struct(*POSITION_COLUMNS))).alias("vehicles"))
         .join(counts, "route_id")
         .withColumn("truncated", F.col("vehicle_count") > F.size("vehicles"))

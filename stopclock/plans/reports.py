@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,18 +45,22 @@ def stored_freshness(
 ) -> DataFrame:
     """Freshness of a stored event table.
 
-    Reads the days of the last hour and the newest day that has data.  Only if those hold
-    no row of the agency is the whole table read.
+    Reads the days of the last hour and the newest day before; only while those hold no row
+    of the agency, further days backwards, each step twice as many as the one before.
     """
     events = read_events(spark, root, table)
-    newest: Sequence = [
-        d for d in storage.day_folders(spark, table_path(root, table)) if d <= as_of.date()
-    ][-1:]
-    first = min([*newest, (as_of - timedelta(hours=1)).date()])
-    row = freshness(events.filter(F.col("dt") >= F.lit(first)), feed_key, as_of, agency_id=agency_id)
-    if row.first()["last_record_at"] is not None:
-        return row
-    return freshness(events, feed_key, as_of, agency_id=agency_id)
+    days = [d for d in storage.day_folders(spark, table_path(root, table)) if d <= as_of.date()]
+    hour_ago = (as_of - timedelta(hours=1)).date()
+    end, step = as_of.date(), 1
+    first = min([*days[-1:], hour_ago])
+    while True:
+        span = F.col("dt").between(F.lit(first), F.lit(end))
+        row = freshness(events.filter(span), feed_key, as_of, agency_id=agency_id)
+        days = [d for d in days if d < first]
+        if not days or row.first()["last_record_at"] is not None:
+            return row
+        end, step = days[-1], step * 2
+        first = days[max(0, len(days) - step)]
 
 
 def record_freshness(

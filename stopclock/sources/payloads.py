@@ -95,7 +95,7 @@ def _to_json(chunks: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         try:
             message = feed.FromString(payload or b"")
         except DecodeError as e:
-            return None, str(e)[:200] or "not a feed message"
+            return None, str(e) or "not a feed message"
         return json.dumps(MessageToDict(message, preserving_proto_field_name=True)), None
 
     for chunk in chunks:
@@ -104,7 +104,8 @@ def _to_json(chunks: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 def decode_feed_payloads(binary_df: DataFrame) -> DataFrame:
     """Adds header, entity, payload_hash and reject_reason to rows with a binary
-    ``content``; the hash is that of the bytes as received.
+    ``content``; the hash is that of the bytes as received, and ``decode_error`` is what the
+    decoder said of a payload it refused.
 
     Payloads are decoded in the tasks that hold them, one at a time.
     """
@@ -123,4 +124,5 @@ def decode_feed_payloads(binary_df: DataFrame) -> DataFrame:
             F.coalesce("reject_reason", F.when(F.col("_d.error").isNotNull(), "not_a_feed")),
         )
     )
+    parsed = parsed.withColumn("decode_error", F.col("_d.error"))
     return parsed.drop("content", "_d").withColumnRenamed("_raw", "content")

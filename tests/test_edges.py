@@ -9,7 +9,7 @@ from datetime import date, datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from stopclock.functions.times import nearest_service_day, utc_day
+from stopclock.functions.times import instant, nearest_service_day, utc_day
 from stopclock.operators import delay, events, merges, names
 from stopclock.plans import tables
 from stopclock.schemas import VEHICLE_POSITIONS
@@ -40,6 +40,28 @@ def row(received, **more):
     return {**base, "latitude": 43.0, "longitude": -79.0, **more}
 
 
+def test_text_without_a_zone_is_utc_in_any_session(spark, abroad):
+    forms = ("2026-04-14T12:00:00", "2026-04-14 12:00:00Z", "2026-04-14T08:00:00-04:00", datetime(2026, 4, 14, 12))
+    for session in (spark, abroad):
+        one = session.range(1)
+        for form in forms:
+            assert one.select(F.unix_seconds(instant(form))).first()[0] == 1776168000
+        assert one.select(F.unix_micros(instant("2026-04-14T12:00:00.123457"))).first()[0] == 1776168000123457
+        assert one.select(F.unix_seconds(instant("2026-04-14"))).first()[0] == 1776124800
+    with pytest.raises(ValueError):
+        instant("noon")
+
+
+def test_an_open_quote_in_a_large_table_is_read_whole(spark, tmp_path):
+    head = "trip_id,stop_sequence,stop_id,arrival_time,departure_time"
+    (tmp_path / "stop_times.txt").write_text(f'{head}\n"T ""1""",1,S1,08:00:00,08:00:00\nT2,2,"S\n2",08:05:00,08:05:00\n')
+    assert gtfs_static.open_quotes(spark, str(tmp_path / "stop_times.txt")) == 2
+    rows = gtfs_static.scan_gtfs(spark, str(tmp_path))["stop_times"].collect()
+    assert [(r.trip_id, r.stop_id) for r in rows] == [('T "1"', "S1"), ("T2", "S\n2")]
+    (tmp_path / "stop_times.txt").write_text(f'{head}\n"T ""1""",1,S1,08:00:00,08:00:00\n')
+    assert gtfs_static.open_quotes(spark, str(tmp_path / "stop_times.txt")) == 0
+
+
 def test_days_are_utc_in_any_session(spark, abroad, tmp_path):
     times = [utc(2026, 4, 14, 1), utc(2026, 4, 14, 23, 59, 59, 999999), utc(2026, 4, 15)]
     for session in (spark, abroad):

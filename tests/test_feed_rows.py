@@ -173,6 +173,7 @@ def test_binary_payloads_give_the_rows_of_their_json(spark):
     )
     decoded = decode_feed_payloads(raw)
     assert sorted(str(r.reject_reason) for r in decoded.collect()) == ["None", "empty", "not_a_feed"]
+    assert {r.reject_reason for r in decoded.collect() if r.decode_error} == {"not_a_feed"}
     (row,) = vehicle_position_rows(decoded.filter("reject_reason is null")).collect()
     assert (row.vehicle_id, row.trip_id, row.direction_id, row.current_status) == ("1234", "T-001", 0, 2)
     assert row.feed_timestamp == datetime(2023, 11, 14, 22, 13, 20)

@@ -121,6 +121,9 @@ def test_vehicles_on_route(spark, routes):
     king = {r.route_text: r for r in capped.collect()}["King"]
     # The count is of all vehicles; only the listed ones are bounded.
     assert (king.vehicle_count, [v.vehicle_id for v in king.vehicles], king.truncated) == (2, ["v1"], True)
+    everything = vehicles_on_route(queries, routes, positions, "2026-04-14T12:00:00Z", limit=None)
+    king = {r.route_text: r for r in everything.collect()}["King"]
+    assert ([v.vehicle_id for v in king.vehicles], king.truncated) == (["v1", "v2"], False)
 
 
 def _similarity(a: str, b: str) -> float:

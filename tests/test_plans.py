@@ -1,13 +1,17 @@
 """What the plans must and must not contain."""
 
 import re
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks import views as V
 from checks.registry import QUERIES
+from stopclock import schemas as S
 from stopclock.operators import events, headway, merges
+from stopclock.plans import tables
+from stopclock.plans.reports import stored_freshness
 
 # Set-up jobs aside, these need a process outside the JVM: the shape text of a poll, and
 # the payload codec.
@@ -17,7 +21,9 @@ WITH_NESTED_LOOP = {"agencies"}
 JOBS = {
     "append_events", "export_days", "verify_export", "drop_days", "stored_freshness", "merge_keyed",
     "load_static", "stream_without_repeats", "stream_rolling_counts", "stream_live_delays",
-    "stream_throttle",
+    "stream_throttle", "scan_feed_snapshots", "ingest_positions", "ingest_trip_updates", "ingest_alerts",
+    "ingest_signatures", "recent_runs_stored", "record_freshness", "merge_keyed_buckets", "stored_delays",
+    "delay_reliability_stored",
 }
 
 
@@ -58,3 +64,21 @@ def test_append_reduces_the_batch_first(spark, small):
     line = V.table(spark, small, "lineitem").select("l_orderkey", "l_linenumber")
     text = plan(merges.append_new(line, line, ["l_orderkey", "l_linenumber"]))
     assert text.count("FileScan") == 2 and "LeftAnti" in text
+
+
+def test_a_silent_feed_reads_no_older_day_than_its_last(spark, tmp_path):
+    days = [datetime(2026, 4, d, 10) for d in range(1, 15)]
+    ddl = "received_at timestamp, feed_timestamp timestamp, agency_id string, vehicle_id string, latitude double, longitude double"
+    rows = [(t, t, "ttc" if t.day <= 11 else "other", "v", 43.0, -79.0) for t in days]
+    batch = spark.createDataFrame(rows, ddl)
+    for c in S.VEHICLE_POSITIONS.schema:
+        if c.name not in batch.columns:
+            batch = batch.withColumn(c.name, F.lit(None).cast(c.dataType))
+    tables.append_events(spark, str(tmp_path), S.VEHICLE_POSITIONS, batch)
+    noon = datetime(2026, 4, 14, 12, tzinfo=timezone.utc)
+    row = stored_freshness(spark, str(tmp_path), S.VEHICLE_POSITIONS, "f", noon)
+    assert row.first()["last_record_at"] == datetime(2026, 4, 11, 10)
+    filters = re.search(r"PartitionFilters: \[(.*?)\], ", plan(row)).group(1)
+    assert ">= 2026-04-08" in filters, filters
+    never = stored_freshness(spark, str(tmp_path), S.VEHICLE_POSITIONS, "f", noon, agency_id="none")
+    assert never.first()["status"] == "down"
