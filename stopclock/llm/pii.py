@@ -51,7 +51,9 @@ GIVEN, DISCLOSED = 0.8, 0.9
 #: Terms whose hashes are broadcast at a time (eight bytes each); more go in further blocks.
 BLOCK = 1 << 20
 
-_WORD = re.compile(r"[^\W\d_]{3,}")
+#: Terms are runs of two or more letters or digits: short names and badge numbers as well.
+_WORD = re.compile(r"[^\W_]{2,}")
+_FIRST_CUT, _LAST_CUT = re.compile(r"^\S*\s?"), re.compile(r"\S*$")
 
 
 def _luhn(digits: str) -> bool:
@@ -114,9 +116,9 @@ def contexts(text: str, spans: list[Span]) -> set[tuple[str, str]]:
         window = "".join(part)
         left, right = window[: a - low], window[b - low :]
         if low:
-            left = left.partition(" ")[2]
+            left = _FIRST_CUT.sub("", left, count=1)  # the word may begin before the window
         if high < len(text):
-            right = right.rpartition(" ")[0]
+            right = right[: _LAST_CUT.search(right).start()]
         entity = f"{kind}:{text[a:b].lower()}"
         near = _WORD.findall(left)[-NEAR_WORDS:] + _WORD.findall(right)[:NEAR_WORDS]
         out.update((entity, w.lower()) for w in near)

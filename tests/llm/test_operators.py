@@ -441,6 +441,14 @@ def test_decontaminate_finds_reordered_parts(spark):
     assert got == {(i, i): (30, pytest.approx(42 / 50 if i == 4 else 0.8)) for i in range(5)} | {(5, 0): (0, 0.8)}
 
 
+def test_contexts_of_lines_short_names_and_numbers():
+    text = "filler\n" * 40 + "badge K7741\nBo\nLi\nann@example.org\nnext\tline\n" + "more\n" * 60
+    near = {term for _, term in pii.contexts(text, pii.base_spans(text))}
+    assert near == {"filler", "badge", "k7741", "bo", "li", "next", "line", "more"}
+    one = "x" * 500 + " ann@example.org " + "y" * 500  # words that the window cuts do not count
+    assert pii.contexts(one, pii.base_spans(one)) == set()
+
+
 def test_window_fingerprints_are_majorities(spark):
     rnd = random.Random(12)
     sets = [[rnd.getrandbits(64) - (1 << 63) for _ in range(k)] for k in (1, 2, 3, 17, 200)]
