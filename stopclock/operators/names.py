@@ -211,30 +211,65 @@ def fuzzy_names(
     """Pairs of distinct query and name whose trigram sets overlap by at least
     ``threshold`` (shared over union).
 
-    Two sets that similar share one of their rarest trigrams: it is enough to join on the
-    first ``size - ceil(threshold * size) + 1`` of them in order of rarity, which leaves
-    the most common trigrams out of the join.  A pair is looked at once, at the first
-    trigram that both lists have.
+    Sets of ``size`` trigrams that similar share ``need = ceil(threshold * size)`` of them, so
+    they share two of the ``size - need + 2`` rarest of each.  Texts meet under pairs of those,
+    which are far rarer than single trigrams, however common these are; a pair of texts is
+    looked at once, under the two rarest that both have.  Texts of so few trigrams that one in
+    common may be enough meet each other under single ones.
     """
-    if not 0 < threshold <= 1:
-        raise ValueError("threshold must be in (0, 1]")
-    q, n = _grams(queries, query_col), _grams(names, name_col)
-    rarity = n.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
-    left = _rare_first(q, rarity, threshold).toDF("query", "q_grams", "q_head")
-    right = _rare_first(n, rarity, threshold).toDF("name", "n_grams", "n_head")
-    met = left.withColumn("gram", F.explode("q_head")).join(
-        right.withColumn("gram", F.explode("n_head")), "gram"
-    )
+    met = name_candidates(queries, names, threshold, query_col, name_col)
     n_q, n_n = F.size("q_grams"), F.size("n_grams")
     shared = F.size(F.array_intersect("q_grams", "n_grams"))
+    both = F.array_intersect("q_head", "n_head")
+    first = F.when(_few("q_need", "n_need"), F.xxhash64(F.get(both, F.lit(0)))).otherwise(
+        F.xxhash64(F.get(both, F.lit(0)), F.get(both, F.lit(1)))
+    )
     return (
         met.filter((n_n >= n_q * threshold) & (n_q >= n_n * threshold))
-        .filter(F.get(F.array_intersect("q_head", "n_head"), F.lit(0)) == F.col("gram"))
+        .filter(first == F.col("key"))
         .select("query", "name", (shared / (n_q + n_n - shared)).alias("similarity"))
         .filter(F.col("similarity") >= threshold)
     )
 
 
+def name_candidates(
+    queries: DataFrame,
+    names: DataFrame,
+    threshold: float,
+    query_col: str = "query",
+    name_col: str = "name",
+) -> DataFrame:
+    """Queries and names that meet under a key, with their trigrams; some more than once."""
+    if not 0 < threshold <= 1:
+        raise ValueError("threshold must be in (0, 1]")
+    q, n = _grams(queries, query_col), _grams(names, name_col)
+    rarity = n.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    left = _rare_first(q, rarity, threshold).toDF("query", "q_grams", "q_need", "q_head")
+    right = _rare_first(n, rarity, threshold).toDF("name", "n_grams", "n_need", "n_head")
+    pairs = left.withColumn("key", F.explode(_pair_keys("q_head"))).join(
+        right.withColumn("key", F.explode(_pair_keys("n_head"))), "key"
+    )
+    single = F.transform("q_head", lambda g: F.xxhash64(g)), F.transform("n_head", lambda g: F.xxhash64(g))
+    few = left.filter("q_need < 2").withColumn("key", F.explode(single[0])).join(
+        right.filter("n_need < 2").withColumn("key", F.explode(single[1])), "key"
+    )
+    return pairs.filter(~_few("q_need", "n_need")).unionByName(few)
+
+
+def _few(*needs: str) -> Column:
+    """Whether one trigram in common may be enough for both texts."""
+    return F.greatest(*needs) < 2
+
+
+def _pair_keys(head: str) -> Column:
+    """A number for each two trigrams of a list, the earlier one first."""
+    later = F.transform(
+        head,
+        lambda g, i: F.transform(F.slice(head, i + 2, F.size(head)), lambda h: F.xxhash64(g, h)),
+    )
+    return F.array_distinct(F.flatten(later))
+
+
 def _grams(df: DataFrame, column: str) -> DataFrame:
     texts = df.select(F.col(column).alias("text")).filter(F.col("text").isNotNull()).distinct()
     return texts.withColumn("grams", trigrams(F.col("text"))).filter(F.size("grams") > 0)
@@ -255,8 +290,9 @@ def _rare_first(texts: DataFrame, rarity: DataFrame, threshold: float) -> DataFr
     )
     size = F.size("grams")
     # A hair below the product, so that rounding never shortens the list.
-    needed = F.ceil(size * threshold - 1e-9).cast("int")
-    return ranked.select("text", "grams", F.slice("grams", F.lit(1), size - needed + 1))
+    need = F.ceil(size * threshold - 1e-9).cast("int")
+    head = F.slice("grams", F.lit(1), F.least(size, size - need + 2))
+    return ranked.select("text", "grams", need.alias("need"), head)
 
 
 def list_routes(routes: DataFrame) -> DataFrame:

@@ -1,11 +1,17 @@
 """Route names to routes."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from stopclock.operators.names import (
+    _grams,
+    _rare_first,
     agencies,
     fuzzy_names,
     list_routes,
+    name_candidates,
     resolve_routes,
     vehicles_on_route,
 )
@@ -151,3 +157,35 @@ def test_fuzzy_names_against_all_pairs(spark, threshold):
         (a, n): _similarity(a, n) for a in asked for n in names if _similarity(a, n) >= threshold
     }
     assert {(r.query, r.name): r.similarity for r in got} == pytest.approx(expected)
+
+
+def test_fuzzy_names_of_few_trigrams(spark):
+    names = ["a", "b", "ab", "abc", "a b", "", "...", None]
+    frames = (spark.createDataFrame([(n,) for n in names], f"{c} string") for c in ("query", "name"))
+    got = fuzzy_names(*frames, threshold=0.2).collect()
+    real = [n for n in names if n and n != "..."]
+    expected = {(a, n): _similarity(a, n) for a in real for n in real if _similarity(a, n) >= 0.2}
+    assert {(r.query, r.name): r.similarity for r in got} == pytest.approx(expected)
+    assert len(got) == len(expected)
+
+
+def test_fuzzy_names_meet_under_rare_pairs(spark):
+    """Fewer than half as many candidates as under single trigrams, and the same pairs."""
+    rnd = random.Random(3)
+    syllables = [a + b + c for a in "bcdfghklmnprstvw" for b in "aeiou" for c in ("", "n", "r", "l", "s")]
+    endings = ["street", "road", "avenue"]
+    names = {f"{rnd.choice(syllables)}{rnd.choice(syllables)} {rnd.choice(endings)}" for _ in range(400)}
+    asked = {n[1:-1] for n in names}
+    left = spark.createDataFrame([(a,) for a in sorted(asked)], "query string")
+    right = spark.createDataFrame([(n,) for n in sorted(names)], "name string")
+    met = name_candidates(left, right, 0.5)
+    grams = _grams(right, "name").select(F.explode("grams").alias("gram"))
+    rarity = grams.groupBy("gram").agg(F.count("*").alias("n"))
+
+    def singles(df, column):
+        rows = _rare_first(_grams(df, column), rarity, 0.5).toDF(column, "grams", "need", "head")
+        return rows.select(column, F.explode(F.slice("head", F.lit(1), F.size("grams") - F.col("need") + 1)).alias("g"))
+
+    assert met.count() * 2 < singles(left, "query").join(singles(right, "name"), "g").count()
+    expected = {(a, n) for a in asked for n in names if _similarity(a, n) >= 0.5}
+    assert {(r.query, r.name) for r in fuzzy_names(left, right, 0.5).collect()} == expected
