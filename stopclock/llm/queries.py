@@ -266,5 +266,5 @@ def _(spark, d):
 @query("op13_whitening")
 def _(spark, d):
     found = whitening.whiten(table(spark, d, "embeddings"))
-    # Beyond about 30 million rows a deviation outgrows a long: null there, whole in the operator.
+    # From some 3 million rows on a deviation may outgrow a long: null there, whole in the operator.
     return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
