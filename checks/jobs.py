@@ -79,6 +79,24 @@ def _(spark, d):
     return export.verify_export(spark, root, "vehicle_positions", date(2024, 1, 15), done["rows"])
 
 
+@query(
+    "export_summary",
+    """WITH days AS (SELECT unnest(['2024-01-10', '2024-01-11', '2024-01-29', '2023-05-01']) AS day),
+      n AS (SELECT day, count(event_id) AS n FROM days LEFT JOIN events ON strftime(ts, '%Y-%m-%d') = day GROUP BY 1)
+    SELECT 'vehicle_positions' AS feed, day, CASE WHEN n > 0 THEN 'ok' ELSE 'skipped_no_data' END AS status,
+      n AS n_rows, n > 0 AS has_bytes FROM n
+    UNION ALL SELECT 'vehicle_positions', '2024-01-10', 'skipped_no_target', 0, false""",
+)
+def _(spark, d):
+    """What the export reports: days with rows, one without, and a run without a target."""
+    root, vp = scratch_path(spark, "archive"), V.vehicle_positions(spark, d)
+    days = (date(2024, 1, 10), date(2024, 1, 11), date(2024, 1, 29), date(2023, 5, 1))
+    done = [export.export_day(vp, root, "vehicle_positions", day) for day in days]
+    done.append(export.export_day(vp, None, "vehicle_positions", days[0]))
+    rows = [(r["feed"], r["day"], r["status"], r["rows"], r["bytes"] > 0) for r in done]
+    return spark.createDataFrame(rows, "feed string, day string, status string, n_rows bigint, has_bytes boolean")
+
+
 @query(
     "drop_days",
     """SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS dt, count(*) AS n_rows FROM events
@@ -155,19 +173,9 @@ def _write_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).option("quoteAll", True).csv(path)
 
 
-@query(
-    "load_static",
-    """SELECT 'stops' AS table_name, count(*) AS n_rows,
-      CAST(sum(length(c_name)) AS BIGINT) AS text_size FROM customer
-    UNION ALL SELECT 'routes', count(*), CAST(sum(length(p_name)) AS BIGINT) FROM part
-    UNION ALL SELECT 'trips', count(*), 0 FROM orders
-    UNION ALL SELECT 'stop_times', count(*), 0 FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
-    UNION ALL SELECT 'agency', count(*), CAST(sum(length(s_name)) AS BIGINT) FROM supplier
-    UNION ALL SELECT 'calendar', 0, 0 UNION ALL SELECT 'calendar_dates', 0, 0""",
-)
-def _(spark, d):
-    """An archive folder of CSV files loaded, checked and read as the current snapshot."""
-    folder, root = scratch_path(spark, "gtfs"), scratch_path(spark, "static")
+def archive_folder(spark: SparkSession, d: str) -> str:
+    """The tables as an archive folder of CSV files."""
+    folder = scratch_path(spark, "gtfs")
     stops = V.stops(spark, d).withColumnsRenamed({"latitude": "stop_lat", "longitude": "stop_lon"})
     _write_csv(stops, f"{folder}/stops.txt")
     parts = V.table(spark, d, "part")
@@ -210,7 +218,23 @@ def _(spark, d):
         ),
         f"{folder}/agency.txt",
     )
-    snapshot.load_static(spark, folder, root, date(2026, 4, 14))
+    return folder
+
+
+@query(
+    "load_static",
+    """SELECT 'stops' AS table_name, count(*) AS n_rows,
+      CAST(sum(length(c_name)) AS BIGINT) AS text_size FROM customer
+    UNION ALL SELECT 'routes', count(*), CAST(sum(length(p_name)) AS BIGINT) FROM part
+    UNION ALL SELECT 'trips', count(*), 0 FROM orders
+    UNION ALL SELECT 'stop_times', count(*), 0 FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
+    UNION ALL SELECT 'agency', count(*), CAST(sum(length(s_name)) AS BIGINT) FROM supplier
+    UNION ALL SELECT 'calendar', 0, 0 UNION ALL SELECT 'calendar_dates', 0, 0""",
+)
+def _(spark, d):
+    """An archive folder of CSV files loaded, checked and read as the current snapshot."""
+    root = scratch_path(spark, "static")
+    snapshot.load_static(spark, archive_folder(spark, d), root, date(2026, 4, 14))
     loaded = snapshot.read_snapshot(spark, root)
     names = {"stops": "stop_name", "routes": "route_long_name", "agency": "agency_name"}
     sizes = None
@@ -223,6 +247,19 @@ def _(spark, d):
     return sizes
 
 
+@query(
+    "load_summary",
+    """SELECT 'stops' AS table_name, count(*) AS n_rows FROM customer UNION ALL SELECT 'routes', count(*) FROM part
+    UNION ALL SELECT 'trips', count(*) FROM orders UNION ALL SELECT 'agency', count(*) FROM supplier
+    UNION ALL SELECT 'stop_times', count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
+    UNION ALL SELECT 'calendar', 0 UNION ALL SELECT 'calendar_dates', 0""",
+)
+def _(spark, d):
+    """What the loader reports of its run."""
+    counts = snapshot.load_static(spark, archive_folder(spark, d), scratch_path(spark, "static"), date(2026, 4, 14))
+    return spark.createDataFrame(sorted(counts.items()), "table_name string, n_rows bigint")
+
+
 # --- streams ----------------------------------------------------------------------------
 
 
