@@ -12,6 +12,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from checks import registry as R
 from checks import views as V
@@ -24,6 +25,7 @@ from stopclock.session import scratch_path
 from stopclock.sources import cold
 from stopclock.sources.payloads import decode_feed_payloads
 from stopclock.streaming import delay_state, freshness, ingest, throttle
+from stopclock.streaming.progress import dropped_rows
 
 query, newest = R.query, R.newest
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -287,6 +289,11 @@ def event_slices(spark: SparkSession, d: str, again: Column | None = None, marks
 
 def run_to_end(df: DataFrame, mode: str) -> DataFrame:
     """All output of a stream over the input there is, with the number of its batch."""
+    return ended(df, mode)[0]
+
+
+def ended(df: DataFrame, mode: str) -> tuple[DataFrame, StreamingQuery]:
+    """The output of a stream over the input there is, and the query that made it."""
     spark = df.sparkSession
     out, state = scratch_path(spark, "out"), scratch_path(spark, "state")
 
@@ -301,7 +308,7 @@ def run_to_end(df: DataFrame, mode: str) -> DataFrame:
         .start()
     )
     started.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out), started
 
 
 @query(
@@ -323,6 +330,19 @@ def _(spark, d):
     return run_to_end(kept, "append").drop("_batch")
 
 
+@query(
+    "stream_late_rows",
+    """SELECT count(*) AS kept, count(*) FILTER (ts < TIMESTAMP '2024-01-08') AS dropped FROM events""",
+)
+def _(spark, d):
+    """Weeks of events and, at the end, the first week again: too late for the watermark, so
+    its rows are dropped and counted."""
+    slices = event_slices(spark, d, again=V.ts("ts") < F.lit("2024-01-08 00:00:00 UTC").cast("timestamp"))
+    rows = slices.select("event_id", V.ts("ts").alias("received_at"))
+    kept, done = ended(ingest.first_per_key(rows, ["event_id"]), "append")
+    return kept.agg(F.count("*").alias("kept")).withColumn("dropped", F.lit(dropped_rows(done)).cast("long"))
+
+
 @query(
     "stream_rolling_counts",
     """WITH w AS (SELECT event_type AS feed_key, ts,

@@ -23,7 +23,7 @@ JOBS = {
     "load_static", "stream_without_repeats", "stream_rolling_counts", "stream_live_delays",
     "stream_throttle", "scan_feed_snapshots", "ingest_positions", "ingest_trip_updates", "ingest_alerts",
     "ingest_signatures", "recent_runs_stored", "record_freshness", "merge_keyed_buckets", "stored_delays",
-    "delay_reliability_stored", "export_summary", "load_summary",
+    "delay_reliability_stored", "export_summary", "load_summary", "stream_late_rows",
 }
 
 
