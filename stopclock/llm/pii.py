@@ -1,17 +1,24 @@
 """Personal data: fixed patterns, and terms that give a protected value away.
 
 The values that the patterns find are the protected entities.  Over the whole corpus the
-operator counts how often each word stands near an entity, and in how many documents the
-word occurs at all.  The share of its documents that have the entity gives P(entity | term);
-compared with P(entity) it tells how many of the entity's bits of surprise the term reveals.
-A term that reveals nearly all of them, and does so in several different texts, is
-generalised wherever it stands, as the entity could be read from it.
+operator counts in how many documents each word stands together with an entity, anywhere in
+the text, and in how many documents it stands at all (words inside the found values do not
+count).  The share of its documents that have the entity gives P(entity | term); compared
+with P(entity) it tells how many of the entity's bits of surprise the term reveals.  A term
+that reveals nearly all of them, and does so in several different texts, is generalised
+wherever it stands, as the entity could be read from it.
+
+Statistics and marks are joined by shuffles.  Only what can matter is counted: entities of
+``SUPPORT`` texts, and words that ``SUPPORT`` of the texts with such an entity share.  What
+is broadcast is a table of slots of fixed size that spares most rows a shuffle; the joins
+behind it are exact.  Within a document a word meets those entities only that are frequent
+enough to be given away by it.
 
 Results in special cases: a null text counts as empty and has no spans; repeated rows and
 null ids are kept row by row and count as documents, but several equal texts support a term
 only once; an empty table gives an empty result; every pattern works in linear time, so very
 long texts are scanned whole.  ``find`` reads ``doc_id`` and ``text`` only; ``sanitise``
-carries all other columns along.
+carries all other columns along, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopclock.llm.common import chunks, cut, texts_of
+from stopclock.llm.common import SLOTS, chunks, cut, split_by, texts_of
 from stopclock.llm.spans import Span, joined
 
 # The patterns and limits of the base kinds.
@@ -42,18 +49,12 @@ CARD_DIGITS, PHONE_DIGITS, IP_MOST = (14, 19), (10, 15), 255
 KINDS = (*BASE_KINDS, "term")
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
-#: Words on each side of an entity that count as standing near it, and how far they may be.
-NEAR_WORDS, NEAR_CHARS = 8, 120
-#: Different texts that must show a term near an entity.
+#: Different texts that must show a term together with an entity.
 SUPPORT = 3
 #: Least P(entity | term), and least share of the entity's surprise that the term reveals.
 GIVEN, DISCLOSED = 0.8, 0.9
-#: Terms whose hashes are broadcast at a time (eight bytes each); more go in further blocks.
-BLOCK = 1 << 20
-
 #: Terms are runs of two or more letters or digits: short names and badge numbers as well.
 _WORD = re.compile(r"[^\W_]{2,}")
-_FIRST_CUT, _LAST_CUT = re.compile(r"^\S*\s?"), re.compile(r"\S*$")
 
 
 def _luhn(digits: str) -> bool:
@@ -103,26 +104,14 @@ def _free(spans: list[Span], size: int) -> Iterator[tuple[int, int]]:
         yield at, size
 
 
-def contexts(text: str, spans: list[Span]) -> set[tuple[str, str]]:
-    """Entity and term for the words near each span; words inside spans do not count."""
-    blank = list(text) if len(text) <= 4096 else None
-    out = set()
-    for a, b, kind in spans:
-        low, high = max(0, a - NEAR_CHARS), min(len(text), b + NEAR_CHARS)
-        part = blank[low:high] if blank else list(text[low:high])
-        for x, y, _ in spans:
-            if x < high and y > low:
-                part[max(x, low) - low : min(y, high) - low] = " " * (min(y, high) - max(x, low))
-        window = "".join(part)
-        left, right = window[: a - low], window[b - low :]
-        if low:
-            left = _FIRST_CUT.sub("", left, count=1)  # the word may begin before the window
-        if high < len(text):
-            right = right[: _LAST_CUT.search(right).start()]
-        entity = f"{kind}:{text[a:b].lower()}"
-        near = _WORD.findall(left)[-NEAR_WORDS:] + _WORD.findall(right)[:NEAR_WORDS]
-        out.update((entity, w.lower()) for w in near)
-    return out
+def entities(text: str, spans: list[Span]) -> set[str]:
+    """The protected values of a text, each with its kind."""
+    return {f"{kind}:{text[a:b].lower()}" for a, b, kind in spans}
+
+
+def terms(text: str, spans: list[Span]) -> set[str]:
+    """The words of a text outside its spans."""
+    return {w.lower() for a, b in _free(spans, len(text)) for w in _WORD.findall(text, a, b)}
 
 
 def _map_texts(docs: DataFrame, fields: str, work: Callable[[list[str]], list[tuple]]) -> DataFrame:
@@ -142,71 +131,111 @@ def _map_texts(docs: DataFrame, fields: str, work: Callable[[list[str]], list[tu
     return docs.select("text").mapInArrow(run, schema)
 
 
-def _near(texts: list[str]) -> list[tuple]:
-    out = []
-    for text in texts:
-        if spans := base_spans(text):
-            key = xxhash.xxh64_intdigest(text.encode(), 42) - (1 << 63)
-            out += [(key, entity, term) for entity, term in contexts(text, spans)]
-            out += [(key, entity, None) for entity in {f"{k}:{text[a:b].lower()}" for a, b, k in spans}]
-    return out
+def _key(text: str) -> int:
+    """What Spark's xxhash64 gives for the text."""
+    n = xxhash.xxh64_intdigest(text.encode(), 42)
+    return n - (1 << 64) if n >> 63 else n
 
 
-def _held(words: set[str], block: np.ndarray) -> set[str]:
-    """The words whose hashes are in the sorted block."""
-    if not len(block) or not words:
-        return set()
-    listed = list(words)
-    hashes = np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in listed], dtype=np.uint64).view(np.int64)
-    at = np.minimum(np.searchsorted(block, hashes), len(block) - 1)
-    return {listed[i] for i in np.flatnonzero(block[at] == hashes).tolist()}
+def _entity_rows(texts: list[str]) -> list[tuple]:
+    found = ((text, base_spans(text)) for text in texts)
+    return [(_key(text), e) for text, spans in found if spans for e in entities(text, spans)]
 
 
-def _blocks(terms: DataFrame) -> list:
-    """Hashes of the terms as sorted broadcast arrays of ``BLOCK`` entries or so each."""
-    spark = terms.sparkSession
-    hashed = terms.select(F.xxhash64("term").alias("h")).distinct()
-    n = max(1, -(-hashed.count() // BLOCK))
-    out = []
-    for i in range(n):
-        block = hashed.filter(F.pmod("h", F.lit(n)) == i).toPandas()["h"].to_numpy(dtype=np.int64)
-        out.append(spark.sparkContext.broadcast(np.sort(block)))
-    return out
+def _term_rows(texts: list[str]) -> list[tuple]:
+    return [(_key(text), w) for text in texts for w in terms(text, base_spans(text))]
+
+
+def _slots(listed: DataFrame):
+    """Broadcast table that tells which of ``SLOTS`` slots the terms fall into."""
+    used = listed.select(F.xxhash64("term").bitwiseAND(SLOTS - 1).alias("slot")).distinct().toArrow()
+    table = np.zeros(SLOTS, dtype=bool)
+    table[used.column("slot").to_numpy()] = True
+    return listed.sparkSession.sparkContext.broadcast(table)
+
+
+def _in_slots(words: set[str], table: np.ndarray) -> list[str]:
+    return [w for w in words if table[xxhash.xxh64_intdigest(w.encode(), 42) & (SLOTS - 1)]]
+
+
+def _documents(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """term, documents: in how many rows of ``docs`` each of the listed terms stands."""
+    slots = _slots(listed)
+
+    def work(texts: list[str]) -> list[tuple]:
+        each = Counter(w for t in texts for w in terms(t, base_spans(t)))
+        return [(w, each[w]) for w in _in_slots(set(each), slots.value)]
+
+    counted = _map_texts(docs, "term string, n bigint", work)
+    return counted.groupBy("term").agg(F.sum("n").alias("documents")).join(listed, "term", "left_semi")
+
+
+def statistics(docs: DataFrame) -> DataFrame:
+    """entity, term, both, texts, of_entity, documents: document counts of every pair that
+    stands together in ``SUPPORT`` different texts and whose term is not too frequent to
+    give the entity away.  ``texts`` counts equal texts once, the others every row."""
+    seen = _map_texts(docs, "key bigint, entity string", _entity_rows)
+    seen = cut(seen.groupBy("entity", "key").agg(F.count("*").alias("n")), "pii-entities")
+    known = seen.groupBy("entity").agg(F.sum("n").alias("of_entity"), F.count("*").alias("texts"))
+    known = known.filter(F.col("texts") >= SUPPORT).drop("texts")
+    held = cut(seen.join(known, "entity"), "pii-held")
+    names = ("entity", "term", "both", "texts", "of_entity", "documents")
+    if held.isEmpty():
+        none = held.withColumn("term", F.lit("")).withColumn("texts", F.lit(0).cast("long"))
+        return none.select("entity", "term", F.col("n").alias("both"), "texts", "of_entity", F.col("n").alias("documents"))
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
+    maybe, _ = split_by(texts, F.col("key"), held, F.col("key"))
+    holders = maybe.join(held.select("key").distinct(), "key", "left_semi")
+    words = cut(_map_texts(holders, "key bigint, term string", _term_rows).distinct(), "pii-words")
+    shared = words.groupBy("term").count().filter(F.col("count") >= SUPPORT).select("term")
+    documents = cut(_documents(docs, cut(shared, "pii-shared")), "pii-documents")
+    # Half a document more than needed, so that rounding drops no pair.
+    likely = F.col("documents") * GIVEN <= F.col("of_entity") + 0.5
+    return (
+        words.join(documents, "term")
+        .join(held, "key")
+        .filter(likely)
+        .groupBy("entity", "term", "of_entity", "documents")
+        .agg(F.sum("n").alias("both"), F.count("*").alias("texts"))
+        .filter(F.col("texts") >= SUPPORT)
+        .select(*names)
+    )
 
 
 def revealing_terms(docs: DataFrame) -> DataFrame:
     """term of every word that gives some entity away."""
-    near = cut(_map_texts(docs, "key bigint, entity string, term string", _near), "pii-near")
-    pairs = near.groupBy("entity", "term", "key").agg(F.count("*").alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count("*").alias("texts"))
-    pairs = cut(pairs.filter((F.col("texts") >= SUPPORT) | F.col("term").isNull()), "pii-pairs")
-    wanted = pairs.filter("term IS NOT NULL")
-    total = docs.count()
-    if not total:
-        return wanted.select("term")
-
-    def counts(block) -> Callable[[list[str]], list[tuple]]:
-        def work(texts: list[str]) -> list[tuple]:
-            each = [{w.lower() for w in _WORD.findall(t)} for t in texts]
-            known = _held(set().union(*each), block.value)
-            return list(Counter(w for words in each for w in words & known).items()) if known else []
-
-        return work
-
-    parts = [_map_texts(docs, "term string, n bigint", counts(b)) for b in _blocks(wanted.select("term"))]
-    frequency = parts[0]
-    for p in parts[1:]:
-        frequency = frequency.union(p)
-    frequency = frequency.groupBy("term").agg(F.sum("n").alias("documents"))
-    entities = pairs.filter("term IS NULL").select("entity", F.col("both").alias("of_entity"))
     given = F.col("both") / F.col("documents")
-    surprise = -F.log2(F.col("of_entity") / F.lit(total))
+    surprise = -F.log2(F.col("of_entity") / F.lit(max(1, docs.count())))
+    found = statistics(docs).filter((given >= GIVEN) & (surprise > 0) & (1 + F.log2(given) / surprise >= DISCLOSED))
+    return found.select("term").distinct()
+
+
+def with_terms(docs: DataFrame) -> DataFrame:
+    """row (all columns of ``docs``), known: the revealing terms that its text may hold, null
+    if none.
+
+    Equal texts hold equal terms, so the terms are kept by the hash of the text, and only
+    texts whose hash may be among them are shuffled.
+    """
+    revealing = cut(revealing_terms(docs), "pii-terms")
+    rows = docs.select(
+        F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"),
+    )
+    if revealing.isEmpty():
+        return rows.select("row", F.lit(None).cast("array<string>").alias("known"))
+    slots = _slots(revealing)
+
+    def work(texts: list[str]) -> list[tuple]:
+        return [(_key(t), w) for t in texts for w in _in_slots(terms(t, base_spans(t)), slots.value)]
+
+    marks = _map_texts(docs, "key bigint, term string", work).join(revealing, "term")
+    marks = cut(marks.groupBy("key").agg(F.collect_set("term").alias("known")), "pii-marks")
+    maybe, others = split_by(rows, F.col("key"), marks, F.col("key"))
     return (
-        wanted.join(frequency, "term")
-        .join(entities, "entity")
-        .filter((given >= GIVEN) & (surprise > 0) & (1 + F.log2(given) / surprise >= DISCLOSED))
-        .select("term")
-        .distinct()
+        maybe.join(marks.hint("merge"), "key", "left")
+        .select("row", "known")
+        .union(others.select("row", F.lit(None).cast("array<string>")))
     )
 
 
@@ -219,13 +248,18 @@ def term_spans(text: str, base: list[Span], known: set[str]) -> list[Span]:
     return out
 
 
-def _spans_of(texts: list[str], blocks: list) -> Iterator[tuple[list[Span], list[Span]]]:
-    each = [{w.lower() for w in _WORD.findall(t)} for t in texts]
-    every = set().union(*each)
-    known = set().union(*(_held(every, b.value) for b in blocks))
-    for text, words in zip(texts, each, strict=True):
+def _spans_of(texts: list[str], known: list[list[str] | None]) -> Iterator[tuple[list[Span], list[Span]]]:
+    for text, listed in zip(texts, known, strict=True):
         base = base_spans(text)
-        yield base, term_spans(text, base, known) if not words.isdisjoint(known) else []
+        yield base, term_spans(text, base, set(listed)) if listed else []
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """The rows of ``with_terms`` in pieces of bounded text, each with its known terms."""
+    for batch in batches:
+        rows, known = batch.column("row").flatten(), batch.column("known")
+        for piece in chunks(pa.RecordBatch.from_arrays([*rows, known], names=[*names, " known"])):
+            yield piece.select(range(len(names))), piece.column(len(names)).to_pylist()
 
 
 FIELDS = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_spans string, spans string"
@@ -234,26 +268,25 @@ FIELDS = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone big
 def find(docs: DataFrame) -> DataFrame:
     """Counts of the base kinds, the base spans and all spans of every text."""
     docs = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
-    blocks = _blocks(cut(revealing_terms(docs), "pii-terms"))
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in chunks(batch):
-                rows = []
-                for base, terms in _spans_of(texts_of(piece), blocks):
-                    n = Counter(k for _, _, k in base)
-                    rows.append((*(n[k] for k in BASE_KINDS), joined(base, KINDS), joined(base + terms, KINDS)))
-                columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        piece.column("doc_id"),
-                        *(pa.array(c, pa.int64()) for c in columns[:4]),
-                        *(pa.array(c, pa.string()) for c in columns[4:]),
-                    ],
-                    names=[f.split()[0] for f in FIELDS.split(", ")],
-                )
-
-    return docs.mapInArrow(run, FIELDS)
+        for piece, known in _pieces(batches, names):
+            rows = []
+            for base, added in _spans_of(texts_of(piece), known):
+                n = Counter(k for _, _, k in base)
+                rows.append((*(n[k] for k in BASE_KINDS), joined(base, KINDS), joined(base + added, KINDS)))
+            columns = list(zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    piece.column("doc_id"),
+                    *(pa.array(c, pa.int64()) for c in columns[:4]),
+                    *(pa.array(c, pa.string()) for c in columns[4:]),
+                ],
+                names=[f.split()[0] for f in FIELDS.split(", ")],
+            )
+
+    return with_terms(docs).mapInArrow(run, FIELDS)
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -270,20 +303,18 @@ def masked(text: str, spans: list[Span]) -> str:
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced by labels in ``text``, and ``n_chars`` set anew
     where there is such a column.  A null text stays null."""
-    blocks = _blocks(cut(revealing_terms(docs), "pii-terms"))
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in chunks(batch):
-                columns = {c: piece.column(c) for c in names}
-                texts = columns["text"].to_pylist()
-                found = _spans_of([t or "" for t in texts], blocks)
-                clean = [None if t is None else masked(t, b + s) for t, (b, s) in zip(texts, found, strict=True)]
-                columns["text"] = pa.array(clean, columns["text"].type)
-                if "n_chars" in columns:
-                    sizes = [None if t is None else len(t) for t in clean]
-                    columns["n_chars"] = pa.array(sizes, pa.int64()).cast(columns["n_chars"].type)
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
-
-    return docs.mapInArrow(run, docs.schema)
+        for piece, known in _pieces(batches, names):
+            columns = {c: piece.column(c) for c in names}
+            texts = columns["text"].to_pylist()
+            found = _spans_of([t or "" for t in texts], known)
+            clean = [None if t is None else masked(t, b + s) for t, (b, s) in zip(texts, found, strict=True)]
+            columns["text"] = pa.array(clean, columns["text"].type)
+            if "n_chars" in columns:
+                sizes = [None if t is None else len(t) for t in clean]
+                columns["n_chars"] = pa.array(sizes, pa.int64()).cast(columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
+
+    return with_terms(docs).mapInArrow(run, docs.schema)

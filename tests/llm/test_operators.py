@@ -441,12 +441,75 @@ def test_decontaminate_finds_reordered_parts(spark):
     assert got == {(i, i): (30, pytest.approx(42 / 50 if i == 4 else 0.8)) for i in range(5)} | {(5, 0): (0, 0.8)}
 
 
-def test_contexts_of_lines_short_names_and_numbers():
-    text = "filler\n" * 40 + "badge K7741\nBo\nLi\nann@example.org\nnext\tline\n" + "more\n" * 60
-    near = {term for _, term in pii.contexts(text, pii.base_spans(text))}
-    assert near == {"filler", "badge", "k7741", "bo", "li", "next", "line", "more"}
-    one = "x" * 500 + " ann@example.org " + "y" * 500  # words that the window cuts do not count
-    assert pii.contexts(one, pii.base_spans(one)) == set()
+def test_terms_of_lines_short_names_and_numbers():
+    text = "filler\n" * 40 + "badge K7741\nBo\nLi\nann@example.org\nnext\tline\n" + "more\n" * 60 + "far\u2028away é x"
+    base = pii.base_spans(text)
+    assert pii.entities(text, base) == {"email:ann@example.org"}
+    words = {"filler", "badge", "k7741", "bo", "li", "next", "line", "more", "far", "away"}
+    assert pii.terms(text, base) == words
+
+
+def plain_statistics(texts):
+    """Counts of all pairs of the corpus, text by text."""
+    texts = [t or "" for t in texts]
+    rows = []
+    for t in texts:
+        base = pii.base_spans(t)
+        gone = "".join("\0" if any(a <= i < b for a, b, _ in base) else c for i, c in enumerate(t))
+        rows.append((t, {f"{k}:{t[a:b].lower()}" for a, b, k in base}, {w.lower() for w in re.findall(r"[^\W_]{2,}", gone)}))
+    out = {}
+    for e in {e for _, es, _ in rows for e in es}:
+        of_entity = sum(e in es for _, es, _ in rows)
+        for w in {w for _, es, ws in rows if e in es for w in ws}:
+            both = [t for t, es, ws in rows if e in es and w in ws]
+            documents = sum(w in ws for _, _, ws in rows)
+            out[e, w] = (len(both), len(set(both)), of_entity, documents)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_term_statistics_equal_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    values = ["ann@example.org", "Bo.Li@example.com", "10.2.3.4", "+44 20 7946 0958"]
+    names = ["Zorvath", "K7741", "li", "ÉMILE", "a", "__x__"]
+    texts = [None, ""]
+    for _ in range(90):
+        i = rnd.randrange(4)
+        parts = [rnd.choice(WORDS) + str(rnd.randrange(9)) for _ in range(rnd.randrange(12))]
+        named = rnd.random() < 0.5
+        parts += [names[i]] * named + [values[i]] * (named or rnd.random() < 0.2)
+        parts += rnd.sample(values + names, rnd.random() < 0.1)
+        rnd.shuffle(parts)
+        texts.append(rnd.choice([" ", "\n", "\t", "\u2028"]).join(parts))
+    texts += texts[:9] * 2
+    docs = frame(spark, texts, [None, *range(len(texts) - 1)])
+    want = plain_statistics(texts)
+    got = {(r["entity"], r["term"]): (r["both"], r["texts"], r["of_entity"], r["documents"]) for r in pii.statistics(docs).collect()}
+    assert got == {k: v for k, v in want.items() if v[1] >= pii.SUPPORT and v[3] * pii.GIVEN <= v[2] + 0.5}
+    revealing = {
+        w
+        for (_, w), (both, n, of_entity, documents) in want.items()
+        if n >= pii.SUPPORT and both / documents >= pii.GIVEN
+        and 1 + np.log2(both / documents) / -np.log2(of_entity / len(texts)) >= pii.DISCLOSED
+    }
+    assert revealing and {r["term"] for r in pii.revealing_terms(docs).collect()} == revealing
+    found = {r["doc_id"]: r["spans"] for r in pii.find(docs).collect()}
+    for i, text in enumerate(texts[1:]):
+        base = pii.base_spans(text or "")
+        assert found[i] == spans.joined(base + pii.term_spans(text or "", base, revealing), pii.KINDS)
+
+
+def test_far_terms_are_marked_and_names_may_clash(spark):
+    """A name far from the address counts; columns named like the operator's own are kept."""
+    rows = [f"Zorvath {prose(300 + i, 60)}\nann@example.org" for i in range(4)] + ["Zorvath alone"]
+    texts = [*rows, *[prose(400 + i, 30) for i in range(40)]]
+    docs = frame(spark, texts).selectExpr("*", "1 AS row", "2 AS known", "3 AS __slot", "4 AS n", "5 AS term", "7L AS n_chars")
+    out = pii.sanitise(docs)
+    assert out.schema == docs.schema
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert all(got[i]["text"].startswith("[TERM] ") for i in range(5)) and got[5]["text"] == texts[5]
+    assert got[4]["text"] == "[TERM] alone" and got[4]["n_chars"] == 12
+    assert {(r["row"], r["known"], r["__slot"], r["n"], r["term"]) for r in got.values()} == {(1, 2, 3, 4, 5)}
 
 
 def test_window_fingerprints_are_majorities(spark):
