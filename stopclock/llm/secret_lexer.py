@@ -1,11 +1,13 @@
 """Secrets in texts: fixed patterns, and literals that reach a name which tells a secret.
 
-The lexer reads source code and configuration as assignments: a name (quoted or bare), one of
-``= : := =>`` and a value, which is a quoted literal, literals joined by ``+``, a bare
-literal, or a reference to another name (bare, ``$NAME`` or ``${NAME}``).  References are
-followed through the text, so a literal that is first stored under a harmless name still
-counts once a sensitive name receives it.  Each literal is scored by the words of its target
-name and by its own make-up.
+The lexer reads source code and configuration as assignments: a name (bare, quoted, in a
+subscript, annotated with a type, one of several before an ``=``, or the tag of an element),
+one of ``= : := =>`` and a value.  A value is made of literals (quoted, triple-quoted or bare)
+and references to other names (bare, ``$NAME`` or ``${NAME}``), joined by ``+``; a call stands
+for each of its arguments.  References are followed through the text, so a literal that is
+first stored under a harmless name still counts once a sensitive name receives it, and joined
+pieces are folded into the one value that they make.  Each literal, and each folded value, is
+scored by the words of its target name and by its own make-up.
 
 Results in special cases: a null text counts as empty and has no spans; repeated rows and
 null ids are kept row by row; an empty table gives an empty result; every pattern works in
@@ -17,8 +19,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,15 +70,38 @@ THRESHOLD = 0.5
 #: Literals that stand for a secret but are none.
 PLACEHOLDERS = {"changeme", "example", "password", "secret", "undefined", "required", "optional", "redacted"}
 
+#: Repeats of a character that are told apart in a folded value; no text has as many.
+MOST_FOLDED = 1 << 40
+
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _HINT = re.compile(r"pass|pwd|secret|token|key|cred|auth|bearer|sign|salt", re.I | re.A)
+_ANY_NAME = r"[A-Za-z_][A-Za-z0-9_.-]*+"
+# A closing bracket may follow a quoted name, a type may stand before the sign.
 _NAME = re.compile(
-    r"""(?<![A-Za-z0-9_.-])(["']?)([A-Za-z_][A-Za-z0-9_.-]*+)\1[ \t]*+(?::=|=>|=(?!=)|:(?!//))[ \t]*+"""
+    rf"""(?<![A-Za-z0-9_.-])(["']?)({_ANY_NAME})\1(?:(?<=["'])[ \t]*+\])?+[ \t]*+"""
+    r"""(?::=|=>|=(?!=)|:[ \t]*+[A-Za-z_][A-Za-z0-9_.]*+[ \t]*+=(?![=>])|:(?!//))[ \t]*+"""
 )
-_QUOTED = re.compile(r""""((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'""")
-_JOIN = re.compile(r"[ \t]*+\+[ \t]*+")
+_NAMES = re.compile(rf"^[ \t]*+({_ANY_NAME}(?:[ \t]*+,[ \t]*+{_ANY_NAME})++)[ \t]*+=(?!=)[ \t]*+", re.M)
+_ELEMENT = re.compile(rf"<({_ANY_NAME})(?:[ \t][^<>\n]*+)?+>\s*+([^<>]*+)</\1>")
+_TRIPLE = re.compile(r'''[A-Za-z]{0,2}(?:"{3}(.*?)"{3}|'{3}(.*?)'{3})''', re.S)
+_QUOTED = re.compile(r"""[A-Za-z]{0,2}(?:"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)')""")
+_CALL = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*+\(")
+_GAP, _BLANK = re.compile(r"\s*+"), re.compile(r"[ \t]*+")
 _REFERENCE = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_.-]*+)\}|\$([A-Za-z_][A-Za-z0-9_]*+)")
-_BARE = re.compile(r"[A-Za-z0-9+/_.=~!@%^&*-]++")
+_BARE = re.compile(r"[A-Za-z0-9+/_.~!@%^&*-]++=*+")
+
+
+class Piece(NamedTuple):
+    """Part of a value: a literal's span, a name that is referred to, or what may be either."""
+
+    span: tuple[int, int] | None
+    name: str | None
+
+
+class Definition(NamedTuple):
+    name: str
+    at: int
+    pieces: list[Piece]
 
 
 def name_weight(name: str) -> float:
@@ -85,14 +113,19 @@ def name_weight(name: str) -> float:
 def strength(literal: str) -> float:
     """0 to 1: how much a literal looks drawn at random.  Entropy of its characters in bits
     over four, cut for few kinds of characters and for short literals."""
-    n = len(literal)
-    if n < 6 or literal.lower() in PLACEHOLDERS:
+    return 0.0 if literal.lower() in PLACEHOLDERS else _make_up(Counter(literal))
+
+
+def _make_up(counts: Counter) -> float:
+    n = sum(counts.values())
+    if n < 6:
         return 0.0
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
-    kinds = sum(bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    if not re.search("[0-9]", literal) and kinds < 3:
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    found = "".join(counts)
+    kinds = [bool(re.search(p, found)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")]
+    if not kinds[2] and sum(kinds) < 3:
         return 0.0  # a word, not a key
-    return min(1.0, entropy / 4) * min(1.0, 0.4 + 0.3 * kinds) * min(1.0, n / 10)
+    return min(1.0, entropy / 4) * min(1.0, 0.4 + 0.3 * sum(kinds)) * min(1.0, n / 10)
 
 
 def base_spans(text: str) -> list[Span]:
@@ -102,61 +135,141 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str]]]:
-    """Name, spans of the literals in its value, and names that the value refers to."""
-    for m in _NAME.finditer(text):
-        at, literals, names = m.end(), [], []
-        while True:
-            if q := _QUOTED.match(text, at):
-                inner = 1 if q[1] is not None else 2
-                literals.append(q.span(inner))
-            elif q := _REFERENCE.match(text, at):
-                names.append(q[1] or q[2])
-            elif q := _BARE.match(text, at):
-                literals.append(q.span())
-                names.append(q[0])
-            else:
-                break
-            plus = _JOIN.match(text, q.end())
-            if not plus:
+def _values(text: str, at: int) -> tuple[list[list[Piece]], int]:
+    """The values that start at ``at`` and where they end; several only for a call."""
+    values: list[list[Piece]] = [[]]
+    depth = 0
+    while True:
+        if q := _CALL.match(text, at):
+            depth += 1
+            at = _GAP.match(text, q.end()).end()
+            continue
+        if q := _TRIPLE.match(text, at) or _QUOTED.match(text, at):
+            values[-1].append(Piece(q.span(1 if q[1] is not None else 2), None))
+        elif q := _REFERENCE.match(text, at):
+            values[-1].append(Piece(None, q[1] or q[2]))
+        elif q := _BARE.match(text, at):
+            values[-1].append(Piece(q.span(), q[0]))
+        else:
+            break
+        at = (_GAP if depth else _BLANK).match(text, q.end()).end()
+        while depth and text.startswith(")", at):
+            depth -= 1
+            at = (_GAP if depth else _BLANK).match(text, at + 1).end()
+        if depth and text.startswith(",", at):
+            values.append([])
+        elif not text.startswith("+", at):
+            break
+        at = _GAP.match(text, at + 1).end() if depth else _BLANK.match(text, at + 1).end()
+    return [v for v in values if v], at
+
+
+def definitions(text: str) -> list[Definition]:
+    """All assignments of a text by place; a name with several values has one for each."""
+    out, taken = [], set()
+    for m in _NAMES.finditer(text):
+        names, each, at = re.split(r"[ \t]*,[ \t]*", m[1]), [], m.end()
+        taken.add(at)
+        for _ in names:
+            values, at = _values(text, at)
+            each.append(values)
+            if not text.startswith(",", at):
                 break
-            at = plus.end()
-        if literals or names:
-            yield m[2], literals, names
+            at = _BLANK.match(text, at + 1).end()
+        if len(each) == 1:  # one value that is taken apart
+            each *= len(names)
+        out += [Definition(n, m.start(), v) for n, values in zip(names, each) for v in values]
+    for m in _NAME.finditer(text):
+        if m.end() not in taken:
+            out += [Definition(m[2], m.start(), v) for v in _values(text, m.end())[0]]
+    for m in _ELEMENT.finditer(text):
+        a, b = m.start(2), m.start(2) + len(m[2].rstrip())
+        if a < b:
+            out.append(Definition(m[1], m.start(), [Piece((a, b), None)]))
+    return sorted(out, key=lambda d: d.at)
+
+
+def _meant(i: int, listed: list[int]) -> int:
+    """Of a name's definitions, the last one before ``i``, or else the first one."""
+    return listed[max(0, bisect_left(listed, i) - 1)]
+
+
+def _folded(text: str, found: list[Definition], held: dict[str, list[int]], roots: list[int]) -> dict[int, Counter]:
+    """Characters of the whole value of each root, with those of the names in it; a name that
+    is defined by itself stands for nothing."""
+    done: dict[int, Counter] = {}
+    for root in roots:
+        path, open_ = [root], set()
+        while path:
+            i = path[-1]
+            if i in done:
+                path.pop()
+                continue
+            open_.add(i)
+            inner = [_meant(i, held[p.name]) for p in found[i].pieces if p.name in held]
+            if waits := [j for j in inner if j not in done and j not in open_]:
+                path += waits
+                continue
+            total: Counter = Counter()
+            for p in found[i].pieces:
+                if p.name in held:
+                    total.update(done.get(_meant(i, held[p.name]), {}))
+                elif p.span:
+                    total.update(text[slice(*p.span)])
+            # Names that double each other make numbers beyond any text; they end here.
+            done[i] = Counter({c: min(k, MOST_FOLDED) for c, k in total.items()})
+            open_.discard(path.pop())
+    return done
 
 
 def literal_spans(text: str) -> list[Span]:
-    """Literals that a sensitive name holds, directly or through other names."""
+    """Literals that a sensitive name holds, directly, through other names or in pieces."""
     if not _HINT.search(text):
         return []
-    held: dict[str, list[tuple[list[tuple[int, int]], list[str]]]] = {}
-    for name, literals, names in assignments(text):
-        held.setdefault(name, []).append((literals, names))
+    found = definitions(text)
+    held: dict[str, list[int]] = {}
+    for i, d in enumerate(found):
+        held.setdefault(d.name, []).append(i)
+    weights = {n: w for n in held if (w := name_weight(n))}
     best: dict[tuple[int, int], float] = {}
-    for weight in sorted({name_weight(n) for n in held} - {0.0}, reverse=True):
+    for weight in sorted(set(weights.values()), reverse=True):
         # One walk for all names of a weight: every name is entered once.
-        open_, seen = [n for n in held if name_weight(n) == weight], set()
+        open_, seen = [n for n, w in weights.items() if w == weight], set()
         while open_:
             name = open_.pop()
             if name in seen:
                 continue
             seen.add(name)
-            for literals, names in held[name]:
-                for span in literals:
-                    if text[slice(*span)] not in held:
-                        best.setdefault(span, weight)
-                open_ += [n for n in names if n in held]
-    return [(a, b, "literal") for (a, b), w in best.items() if w * strength(text[a:b]) >= THRESHOLD]
+            for p in (p for i in held[name] for p in found[i].pieces):
+                if p.name in held:
+                    open_.append(p.name)
+                elif p.span:
+                    best.setdefault(p.span, weight)
+    spans = {s for s, w in best.items() if w * strength(text[slice(*s)]) >= THRESHOLD}
+    roots = [i for n in weights for i in held[n] if len(found[i].pieces) > 1]
+    folded = _folded(text, found, held, roots)
+    open_ = [i for i in roots if weights[found[i].name] * _make_up(folded[i]) >= THRESHOLD]
+    entered = set(open_)
+    while open_:
+        i = open_.pop()
+        for p in found[i].pieces:
+            if p.name not in held:
+                spans.update([p.span] if p.span else [])
+            elif (j := _meant(i, held[p.name])) not in entered:
+                entered.add(j)
+                open_.append(j)
+    return [(a, b, "literal") for a, b in spans]
 
 
 def find_in(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and those that the method adds beyond them."""
     base = base_spans(text)
-    covered = {(a, b) for a, b, _ in base}
     inside = sorted(base)
+    starts, ends = [x for x, _, _ in inside], list(accumulate((y for _, y, _ in inside), max))
     added = []
     for a, b, kind in sorted(literal_spans(text)):
-        if (a, b) not in covered and not any(x <= a and b <= y for x, y, _ in inside):
+        before = bisect_right(starts, a)
+        if not before or ends[before - 1] < b:
             added.append((a, b, kind))
     return base, added
 

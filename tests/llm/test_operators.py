@@ -227,6 +227,42 @@ def test_secrets_follow_names(odd, empty):
     assert secret_lexer.find(empty).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "literals"),
+    [
+        ("token = 'AKx9' + 'Zq8w' + '7tLm'", ["AKx9", "Zq8w", "7tLm"]),
+        ("part = 'AKx9'\nmore = part + 'Zq8w'\nmy_pwd = more + '7tLm'", ["AKx9", "Zq8w", "7tLm"]),
+        ("part = 'AKx9Zq8w7tLm'\nmy_pwd = part + part\npart = 'no'", ["AKx9Zq8w7tLm"]),
+        ("config['password'] = 'h7Kd93jsQ1'", ["h7Kd93jsQ1"]),
+        ("os.environ['DB_PWD'] = 'h7Kd93jsQ1'", ["h7Kd93jsQ1"]),
+        ('db_pwd = """h7Kd93\njsQ1"""', ["h7Kd93\njsQ1"]),
+        ('db_pwd = f("h7Kd93jsQ1")', ["h7Kd93jsQ1"]),
+        ("db_pwd = outer(inner('x', 'h7Kd93jsQ1'), name)", ["h7Kd93jsQ1"]),
+        ("db_pwd,x = 'h7Kd93jsQ1','Tz81qq7LmN0'", ["h7Kd93jsQ1"]),
+        ("x, db_pwd = 'Tz81qq7LmN0', 'h7Kd93jsQ1'", ["h7Kd93jsQ1"]),
+        ("db_pwd, other = load('h7Kd93jsQ1')", ["h7Kd93jsQ1"]),
+        ("<password>h7Kd93jsQ1</password>", ["h7Kd93jsQ1"]),
+        ("<a><db_pwd kind='x'> h7Kd93jsQ1 </db_pwd></a>", ["h7Kd93jsQ1"]),
+        ("db_pwd: str = 'h7Kd93jsQ1'", ["h7Kd93jsQ1"]),
+        ("user = 'bob'\ndb_pwd = getpass('Enter: ')", []),
+        ("a = b\nb = a\nsecret = a + b", []),
+        ("secret = secret + secret", []),
+        ("<b>token</b> of 3 <i>secret</i>", []),
+    ],
+)
+def test_secret_forms(text, literals):
+    base, added = secret_lexer.find_in(text)
+    assert [text[a:b] for a, b, _ in added] == literals and not [s for s in base if s[2] != "assign"]
+
+
+def test_secret_lexer_takes_linear_time_and_big_folds():
+    doubled = "".join(f"p{i} = p{i + 1} + p{i + 1}\n" for i in range(3000)) + "p3000 = 'Zx81qq7L'\npwd = p0 + 'a'"
+    found = [doubled[a:b] for a, b, _ in secret_lexer.find_in(doubled)[1]]
+    assert found == ["Zx81qq7L", "a"]
+    for part in ("pwd=", 'pwd = """\n', "pwd,", "pwd=f(", "pwd=f(a,", "<pwd>", "'pwd'] ", "pwd: x ", "pwd = a + b\n"):
+        secret_lexer.find_in(part * 20_000)
+
+
 def test_revealing_terms_are_generalised(spark, empty):
     filler = [prose(100 + i, 30) for i in range(40)]
     rows = [f"{prose(i, 12)} Zorvath ann@example.org quux {prose(50 + i, 12)}" for i in range(4)]
