@@ -159,7 +159,8 @@ def _in_slots(words: set[str], table: np.ndarray) -> list[str]:
 
 
 def _documents(docs: DataFrame, listed: DataFrame) -> DataFrame:
-    """term, documents: in how many rows of ``docs`` each of the listed terms stands."""
+    """term, documents: in how many rows of ``docs`` each of the listed terms stands, and
+    each other one that falls into a slot of theirs."""
     slots = _slots(listed)
 
     def work(texts: list[str]) -> list[tuple]:
@@ -167,7 +168,7 @@ def _documents(docs: DataFrame, listed: DataFrame) -> DataFrame:
         return [(w, each[w]) for w in _in_slots(set(each), slots.value)]
 
     counted = _map_texts(docs, "term string, n bigint", work)
-    return counted.groupBy("term").agg(F.sum("n").alias("documents")).join(listed, "term", "left_semi")
+    return counted.groupBy("term").agg(F.sum("n").alias("documents"))
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -187,9 +188,12 @@ def statistics(docs: DataFrame) -> DataFrame:
     maybe, _ = split_by(texts, F.col("key"), held, F.col("key"))
     holders = maybe.join(held.select("key").distinct(), "key", "left_semi")
     words = cut(_map_texts(holders, "key bigint, term string", _term_rows).distinct(), "pii-words")
-    shared = words.groupBy("term").count().filter(F.col("count") >= SUPPORT).select("term")
-    documents = cut(_documents(docs, cut(shared, "pii-shared")), "pii-documents")
-    # Half a document more than needed, so that rounding drops no pair.
+    # Half a document more than needed, so that rounding drops no term.  A word that alone the
+    # texts with entities show too often for the most frequent entity beside it goes at once.
+    most = held.groupBy("key").agg(F.max("of_entity").alias("most"))
+    shared = words.join(most, "key").groupBy("term").agg(F.count("*").alias("texts"), F.max("most").alias("most"))
+    shared = shared.filter((F.col("texts") >= SUPPORT) & (F.col("texts") * GIVEN <= F.col("most") + 0.5))
+    documents = cut(_documents(docs, cut(shared.select("term"), "pii-shared")), "pii-documents")
     likely = F.col("documents") * GIVEN <= F.col("of_entity") + 0.5
     return (
         words.join(documents, "term")
