@@ -9,9 +9,9 @@ that reveals nearly all of them, and does so in several different texts, is gene
 wherever it stands, as the entity could be read from it.
 
 Statistics and marks are joined by shuffles.  Only what can matter is counted: entities of
-``SUPPORT`` texts, and words that ``SUPPORT`` of the texts with such an entity share.  What
-is broadcast is a table of slots of fixed size that spares most rows a shuffle; the joins
-behind it are exact.  Within a document a word meets those entities only that are frequent
+``SUPPORT`` texts, and words that ``SUPPORT`` of the texts with such an entity share.  Words
+are counted by chunks of texts before the shuffle.  What is broadcast is a table of slots of
+fixed size that spares most texts a shuffle; the joins behind it are exact.  Within a document a word meets those entities only that are frequent
 enough to be given away by it.
 
 Results in special cases: a null text counts as empty and has no spans; repeated rows and
@@ -158,17 +158,8 @@ def _in_slots(words: set[str], table: np.ndarray) -> list[str]:
     return [w for w in words if table[xxhash.xxh64_intdigest(w.encode(), 42) & (SLOTS - 1)]]
 
 
-def _documents(docs: DataFrame, listed: DataFrame) -> DataFrame:
-    """term, documents: in how many rows of ``docs`` each of the listed terms stands, and
-    each other one that falls into a slot of theirs."""
-    slots = _slots(listed)
-
-    def work(texts: list[str]) -> list[tuple]:
-        each = Counter(w for t in texts for w in terms(t, base_spans(t)))
-        return [(w, each[w]) for w in _in_slots(set(each), slots.value)]
-
-    counted = _map_texts(docs, "term string, n bigint", work)
-    return counted.groupBy("term").agg(F.sum("n").alias("documents"))
+def _chunk_counts(texts: list[str]) -> list[tuple]:
+    return list(Counter(w for t in texts for w in terms(t, base_spans(t))).items())
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -193,7 +184,9 @@ def statistics(docs: DataFrame) -> DataFrame:
     most = held.groupBy("key").agg(F.max("of_entity").alias("most"))
     shared = words.join(most, "key").groupBy("term").agg(F.count("*").alias("texts"), F.max("most").alias("most"))
     shared = shared.filter((F.col("texts") >= SUPPORT) & (F.col("texts") * GIVEN <= F.col("most") + 0.5))
-    documents = cut(_documents(docs, cut(shared.select("term"), "pii-shared")), "pii-documents")
+    shared = cut(shared.select("term"), "pii-shared")
+    counted = _map_texts(docs, "term string, n bigint", _chunk_counts)
+    documents = cut(counted.groupBy("term").agg(F.sum("n").alias("documents")).join(shared, "term"), "pii-documents")
     likely = F.col("documents") * GIVEN <= F.col("of_entity") + 0.5
     return (
         words.join(documents, "term")
