@@ -78,18 +78,39 @@ def _address_sql(source: str, columns: str) -> str:
 
 
 def _url_sql() -> str:
-    quoted = [p.replace("'", "''") for p in url_rules.LINKS]
-    found = " UNION ALL ".join(
-        [f"SELECT host, address, regexp_extract(page_url, '{url_rules.REDIRECT}', 1) AS link FROM p"]
-        + [f"SELECT host, address, regexp_extract(html, '{q}', 1) FROM p" for q in quoted]
-    )
+    def text(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    def value(of: str, pattern: str) -> str:
+        groups = " || ".join(f"regexp_extract({of}, {text(pattern)}, {g})" for g in (1, 2, 3))
+        return f"trim(replace({groups}, '&amp;', '&'))"
+
+    u = url_rules
+    sent_to = f"regexp_extract({value('tag', u.CONTENT)}, {text(u.REFRESH_TO)}, 1)"
+    found = f"""SELECT host, path, address, link FROM (SELECT host, path, address,
+        CASE WHEN regexp_matches(t, {text(u.BAD_ESCAPE)}) THEN t ELSE url_decode(t) END AS link
+        FROM (SELECT host, path, address, unnest(regexp_extract_all(page_url, {text(u.REDIRECT)}, 1)) AS t FROM p))
+      WHERE regexp_matches(link, {text(u.ABSOLUTE)})
+      UNION ALL SELECT host, path, address, {value("tag", u.HREF)} FROM tags WHERE regexp_matches(tag, {text(u.CANONICAL)})
+      UNION ALL SELECT host, path, address, {sent_to} FROM tags WHERE regexp_matches(tag, {text(u.REFRESH)})
+      UNION ALL SELECT host, path, address, {value("tag", u.CONTENT)} FROM tags WHERE regexp_matches(tag, {text(u.OG_URL)})"""
     rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
     return f"""WITH RECURSIVE p AS ({_address_sql("pages", "page_id, html, url AS page_url")}),
+    tags AS (SELECT host, path, address, unnest(regexp_extract_all(html, {text(u.TAG)})) AS tag FROM p),
     links AS ({found}),
-    targets AS (SELECT address AS u, CASE WHEN contains(link, '://') THEN link
+    parts AS (SELECT *, regexp_extract(link, '^[^?#]*') AS file, regexp_extract(link, '^[^?#]*(.*)$', 1) AS rest,
+        CASE WHEN starts_with(link, '/') THEN '' WHEN path = '' THEN '/' ELSE regexp_extract(path, '^(.*/)', 1) END AS folder
+      FROM links),
+    closed AS (SELECT *, string_split(folder || file
+        || CASE WHEN regexp_matches(folder || file, '(^|/)[.][.]?$') THEN '/' ELSE '' END, '/')[2:] AS pieces FROM parts),
+    targets AS (SELECT address AS u, CASE WHEN regexp_matches(link, {text(u.ABSOLUTE)}) THEN link
         WHEN starts_with(link, '//') THEN 'http:' || link
-        WHEN starts_with(link, '/') THEN 'http://' || host || link END AS url
-      FROM links WHERE link <> '' AND address IS NOT NULL),
+        WHEN link = '' OR starts_with(link, '#') OR regexp_matches(link, {text(u.OTHER_SCHEME)}) THEN NULL
+        WHEN file = '' THEN 'http://' || host || path || rest
+        ELSE 'http://' || host || '/' || array_to_string(list_reduce(list_transform(pieces, lambda x: [x]),
+          lambda done, x: CASE WHEN x[1] = '.' THEN done WHEN x[1] = '..' THEN done[:-2] ELSE list_concat(done, x) END,
+          CAST([] AS VARCHAR[])), '/') || rest END AS url
+      FROM closed WHERE address IS NOT NULL),
     edges AS (SELECT u, address AS v FROM ({_address_sql("targets", "u")}) WHERE u <> address),
     both_ways AS (SELECT u, v FROM edges UNION SELECT v, u FROM edges),
     reached AS (SELECT u AS node, u AS other FROM both_ways

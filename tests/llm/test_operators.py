@@ -9,6 +9,7 @@ import struct
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -23,6 +24,7 @@ from stopclock.llm import (
     pii,
     prefix_hash,
     quality_gam,
+    queries,
     secret_lexer,
     simhash,
     spans,
@@ -675,6 +677,53 @@ def test_url_rules_and_classes(spark):
     assert url_rules.judge(pages.limit(0), rules).count() == 0
 
 
+# Pages of one site, each with a link form and the page that it names.
+LINK_FORMS = [
+    ("http://a.io/?next=1&url=https%3A%2F%2Fb.io%2Fx%3Fq%3D1%2B2", "", "b.io/x?q=1+2"),
+    ("http://a.io/?dest=http://b.io/1&target=http%3a%2f%2fb.io%2f2", "", "b.io/1 b.io/2"),
+    ("http://a.io/?url=http://b.io/%zz", "", "b.io/%zz"),
+    ("http://a.io/?url=/own/path", "", ""),
+    ("http://a.io/p", "<LINK href=http://b.io/y rel=canonical>", "b.io/y"),
+    ("http://a.io/p", "<link rel='x canonical' href='//B.io/y?a=1&amp;b=2'/>", "b.io/y?a=1&b=2"),
+    ("http://a.io/p", '<meta content="3; URL=\'http://b.io/z\'" http-equiv="Refresh">', "b.io/z"),
+    ("http://a.io/p", '<meta content="http://b.io/o" property="og:url">', "b.io/o"),
+    ("http://a.io/p", "<link rel=canonical href=http://b.io/1><link href=http://b.io/2 rel=canonical>", "b.io/1 b.io/2"),
+    ("http://a.io/d/e/f.html", '<link rel="canonical" href="g.html">', "a.io/d/e/g.html"),
+    ("http://a.io/d/e/f.html", '<link rel="canonical" href="../g?x#y">', "a.io/d/g?x"),
+    ("http://a.io/d/e/f.html", '<link rel="canonical" href="./../../../h/..">', "a.io/"),
+    ("http://a.io/d/e/f.html?k", '<link rel="canonical" href="?j=2">', "a.io/d/e/f.html?j=2"),
+    ("http://a.io", '<link rel="canonical" href="g">', "a.io/g"),
+    ("http://a.io/d/e", '<link rel="canonical" href="/x/./y/../z">', "a.io/x/z"),
+    ("http://a.io/d/e", '<link rel="canonical" href="#top"><link rel="canonical" href="mailto:a@b.io">', ""),
+    ("http://a.io/d/e", '<link rel="stylesheet" href="/s.css"><meta name="x" content="http://b.io/">', ""),
+    ("http://a.io/d/e", "<link rel=canonical " * 20000, ""),
+    ("http://a.io/d/e", None, ""),
+    (None, "<link rel=canonical href=http://b.io/y>", ""),
+]
+
+
+def test_forms_of_links(spark):
+    pages = spark.createDataFrame([p[:2] for p in LINK_FORMS], "url string, html string")
+    for (url, html, expected), row in zip(LINK_FORMS, pages.collect(), strict=True):
+        assert (row["url"], row["html"]) == (url, html)
+        got = url_rules.links(spark.createDataFrame([row], pages.schema)).collect()
+        assert sorted(r["v"] for r in got) == expected.split(), (url, html and html[:90])
+
+
+def test_classes_of_link_forms_equal_the_sql(spark):
+    pages = [(i, url, html) for i, (url, html, _) in enumerate(LINK_FORMS)]
+    pages += [(100, "http://b.io/x?q=1+2", ""), (101, "http://x.net/d/", ""), (102, "http://c.io/", "<link href=//x.net/d/ rel=canonical>")]
+    pages += [(103, "http://x.net/e/f", '<link rel="canonical" href="../d/">'), (104, "http://d.io/?url=http%3A%2F%2Fc.io%2F", None)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    rules = spark.createDataFrame(queries.URL_RULES, "rule_host string, rule_path string, verdict string")
+    got = sorted(map(tuple, url_rules.judge(df, rules).collect()), key=repr)
+    con = duckdb.connect()
+    con.register("pages", df.toPandas())
+    expected = con.execute(f"SELECT page_id, host, path, rule, verdict, component FROM ({queries._url_sql()})").fetchall()
+    assert got == sorted(expected, key=repr)
+    assert {r[0]: r[4] for r in got}[104] == "block"
+
+
 def test_masking_keeps_what_is_between():
     assert pii.masked("a 1.2.3.4 b", [(2, 9, "ip")]) == "a [IP] b"
     assert hashlib.sha256(pii.masked("abc", []).encode()).hexdigest() == hashlib.sha256(b"abc").hexdigest()
