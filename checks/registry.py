@@ -454,6 +454,32 @@ def _(spark, d):
     return names.resolve_routes(V.route_queries(spark, d), V.routes(spark, d))
 
 
+_LOOSE = (
+    _RESOLVED.replace(
+        "SELECT q, 3, t, s, id FROM distinct_q JOIN named",
+        f"""SELECT q, 3, t, s, id FROM (
+        SELECT DISTINCT q, unnest(regexp_extract_all(q, '[a-z0-9]+')) AS w FROM distinct_q) JOIN (
+        SELECT DISTINCT unnest(regexp_extract_all(name, '[a-z0-9]+')) AS w, t, s, id FROM named) USING (w)
+      WHERE w NOT IN {names.STOP_WORDS}
+    UNION ALL
+    SELECT q, 4, t, s, id FROM distinct_q JOIN named""",
+    ).replace("CAST(tier AS VARCHAR)", "CASE tier WHEN 3 THEN '2b' WHEN 4 THEN '3' ELSE CAST(tier AS VARCHAR) END")
+)
+
+
+@query(
+    "resolve_routes_loose",
+    f"""WITH {V.ROUTES}, {V.ROUTE_QUERIES.replace("asked AS", "said AS")},
+    asked AS (SELECT query_id, CASE query_id % 3 WHEN 0 THEN route_text
+      ELSE 'On the ' || route_text || ' bus' END AS route_text FROM said), {_LOOSE} SELECT * FROM resolved""",
+)
+def _(spark, d):
+    spoken = F.concat(F.lit("On the "), "route_text", F.lit(" bus"))
+    text = F.when(F.col("query_id") % 3 == 0, F.col("route_text")).otherwise(spoken)
+    asked = V.route_queries(spark, d).withColumn("route_text", text)
+    return names.resolve_routes(asked, V.routes(spark, d), loose=True)
+
+
 _EVENT_ROUTES = """routes AS (SELECT DISTINCT event_type AS route_id,
     upper(left(event_type, 2)) AS route_short_name, 'The ' || event_type || ' line' AS route_long_name,
     CAST(length(event_type) % 4 AS INTEGER) AS route_type FROM events),
@@ -541,6 +567,26 @@ def _(spark, d):
     return to_mm(geo_join.nearest_stops(V.stops(spark, d), 43.6532, -79.3832))
 
 
+# The WGS 84 distance from one point: the great circle between reduced latitudes, corrected.
+_WGS84 = """reduced AS (SELECT *, atan((1 - 1 / 298.257223563) * tan(radians(43.6532))) AS b1,
+    atan((1 - 1 / 298.257223563) * tan(radians(latitude))) AS b2 FROM stops),
+  angles AS (SELECT *, (b1 + b2) / 2 AS p, (b2 - b1) / 2 AS q, 2 * asin(sqrt(pow(sin((b2 - b1) / 2), 2)
+    + cos(b1) * cos(b2) * pow(sin(radians(longitude + 79.3832) / 2), 2))) AS w FROM reduced),
+  measured AS (SELECT *, CASE WHEN w = 0 THEN 0 ELSE 6378137.0 * (w - 1 / 298.257223563 / 2 * (
+      (w - sin(w)) * pow(sin(p) * cos(q) / cos(w / 2), 2)
+      + (w + sin(w)) * pow(cos(p) * sin(q) / sin(w / 2), 2))) END AS m FROM angles)"""
+
+
+@query(
+    "nearest_stops_ellipsoidal",
+    f"""WITH {V.STOPS}, {_WGS84} SELECT {_STOP}, round(m, 3) AS distance_m FROM measured
+    ORDER BY {V.haversine_sql('43.6532', '-79.3832', 'latitude', 'longitude')}, stop_id LIMIT 100""",
+)
+def _(spark, d):
+    near = geo_join.nearest_stops(V.stops(spark, d), 43.6532, -79.3832, limit=100, ellipsoidal=True)
+    return to_mm(near)
+
+
 _PAIRS = f"""pairs AS (SELECT point_id, {_STOP.replace(', lat', ', s.lat').replace(', lon', ', s.lon')},
     {V.haversine_sql('p.latitude', 'p.longitude', 's.latitude', 's.longitude')} AS distance_m
   FROM points p, stops s)"""

@@ -74,33 +74,38 @@ def _found(queries: DataFrame, routes: DataFrame, text_col: str, loose: bool) ->
         .filter(F.col("q") != "")
         .distinct()
     )
-    by_short = (
-        catalog.filter(F.col("route_short_name").isNotNull())
-        .groupBy(F.lower("route_short_name").alias("q"))
-        .agg(F.min(_by_catalog_order()).alias("hit_1"))
+    # One table of keys: the route that each short name means, and the one of each word.
+    name = F.lower("route_long_name")
+    of_word = F.coalesce(words(name), F.array().cast("array<string>"))
+    keys = F.concat(
+        F.array(F.struct(F.lower("route_short_name").alias("q"), F.lit(True).alias("short"))),
+        F.transform(of_word, lambda w: F.struct(w.alias("q"), F.lit(False).alias("short"))),
+    )
+    by_key = (
+        catalog.select("*", F.inline(keys))
+        .filter(F.col("q").isNotNull())
+        .groupBy("q")
+        .agg(
+            F.min(F.when(F.col("short"), _by_catalog_order())).alias("hit_1"),
+            F.min(F.when(~F.col("short"), _by_type_then_catalog())).alias("word"),
+        )
     )
     names = (
         catalog.filter(F.col("route_long_name").isNotNull())
-        .groupBy(F.lower("route_long_name").alias("name"))
+        .groupBy(name.alias("name"))
         .agg(F.min(_by_type_then_catalog()).alias("best"))
     )
-    by_word = (
-        names.select(F.explode(words(F.col("name"))).alias("q"), "best")
-        .groupBy("q")
-        .agg(F.min("best").alias("best"))
-    )
-    named = asked.join(by_short, "q", "left").join(
-        by_word.select("q", F.col("best.route").alias("hit_2")), "q", "left"
-    )
+    named = asked.join(by_key, "q", "left").select("q", "hit_1", F.col("word.route").alias("hit_2"))
     open_ = named.filter(F.col("hit_1").isNull() & F.col("hit_2").isNull()).select("q")
     if loose:
-        tokens = open_.select("q", F.explode(words(F.col("q"))).alias("word")).filter(
-            ~F.col("word").isin(*STOP_WORDS)
+        tokens = open_.select("q", F.explode(words(F.col("q"))).alias("token")).filter(
+            ~F.col("token").isin(*STOP_WORDS)
         )
+        of_words = by_key.filter(F.col("word").isNotNull()).select(F.col("q").alias("token"), "word")
         by_token = (
-            tokens.join(by_word.withColumnRenamed("q", "word"), "word")
+            tokens.join(of_words, "token")
             .groupBy("q")
-            .agg(F.min("best")["route"].alias("hit_2b"))
+            .agg(F.min("word")["route"].alias("hit_2b"))
         )
         named = named.join(by_token, "q", "left")
         open_ = open_.join(by_token.select("q"), "q", "left_anti")

@@ -82,3 +82,14 @@ def test_a_silent_feed_reads_no_older_day_than_its_last(spark, tmp_path):
     assert ">= 2026-04-08" in filters, filters
     never = stored_freshness(spark, str(tmp_path), S.VEHICLE_POSITIONS, "f", noon, agency_id="none")
     assert never.first()["status"] == "down"
+
+
+def test_routes_are_resolved_in_few_shuffles(spark, small):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(QUERIES["resolve_routes"](spark, small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # Of these, queries and keys appear twice: once more for the lengths of open queries.
+    assert len(re.findall(r"Exchange hashpartitioning", text)) <= 9
