@@ -306,6 +306,22 @@ def test_pair_tables_help_where_single_ones_cannot():
     assert np.mean((model.score(x[3000:]) >= 0.5) == y[3000:]) > 0.9
 
 
+def test_scores_are_sums_of_looked_up_values():
+    rnd = np.random.default_rng(1)
+    x = np.round(rnd.random((600, len(quality_gam.FEATURES))), 2)  # many values on bin edges
+    model = quality_gam.fit(x[:500], (x[:500, 0] + x[:500, 1] * x[:500, 2] > 0.8).astype(float))
+
+    def place(edges, value):
+        return sum(e <= value for e in edges)
+
+    for row, got in zip(x, model.score(x), strict=True):
+        total = model.base + sum(model.tables[f][place(model.edges[f], v)] for f, v in enumerate(row))
+        for (a, b), cells in zip(model.pairs, model.pair_tables, strict=True):
+            total += cells[place(model.pair_edges[a], row[a])][place(model.pair_edges[b], row[b])]
+        assert got == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-12)
+    assert model.pairs and any(t.any() for t in model.pair_tables)
+
+
 def plain_mark(text):
     words = text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
     words = re.findall(r"[^\x20\x09-\x0D]+", words)
