@@ -7,17 +7,21 @@ time is not allowed and counts for nothing.
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+#: Events of one key that are held in one piece, in whatever slices they are.
+PIECE_ROWS = 4096
+
 _WINDOW = T.StructType().add("start_us", T.LongType()).add("used", T.IntegerType())
 _PIECE_KEY = T.StructType().add("slice", T.LongType()).add("piece", T.StringType())
 _PIECE = T.StructType().add("rows", T.BinaryType())
@@ -43,14 +47,19 @@ def _micros(times: pd.Series) -> pd.Series:
 class FixedWindow(StatefulProcessor):
     """Holds a key's events back until the watermark has passed them, then counts them.
 
-    Events are kept in slices of time; a slice's timer fires when no event of it can come any
-    more.  Timers of a key fire in order of time, so whatever the order in which events come,
-    they are counted in the order in which they happened, one slice in memory at a time.  A
-    further timer ends the window; with nothing held back, the key's state goes with it.
+    Events are kept in pieces, named after the slice of time of their first event; a piece's
+    timer fires when no event of that slice can come any more.  It counts all slices that the
+    watermark has passed, in order of time whatever the order in which events came.  The
+    events of a micro-batch are one piece where they are few and are cut by slices where they
+    are many, so of a busy key one slice is in memory at a time, and of a quiet one neither
+    state calls nor timers grow with the slices.  With nothing held back, the key's state goes
+    with its window.
+
+    A row is (time in microseconds, other columns), a piece a pickled list of rows.
     """
 
-    def __init__(self, ts_col: str, limit: int, window_s: float, slice_s: float):
-        self.ts_col, self.limit = ts_col, limit
+    def __init__(self, limit: int, window_s: float, slice_s: float):
+        self.limit = limit
         self.window_us, self.slice_us = int(window_s * 1_000_000), max(1_000, int(slice_s * 1_000_000))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -58,55 +67,119 @@ class FixedWindow(StatefulProcessor):
         self.window = handle.getValueState("window", _WINDOW)
         self.held = handle.getMapState("held", _PIECE_KEY, _PIECE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        slices = set()
-        for chunk in rows:
-            timeless = chunk[self.ts_col].isna()
-            if timeless.any():
-                yield chunk[timeless].assign(allowed=False)
-                chunk = chunk[~timeless]
-            number = _micros(chunk[self.ts_col]) // self.slice_us
-            for value, part in chunk.groupby(number):
-                self.held.updateValue((int(value), uuid.uuid4().hex), (_packed(part),))
-                slices.add(int(value))
-        for value in slices:
-            self.handle.registerTimer(-(-(value + 1) * self.slice_us // 1000))
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues):
+        first = None
+        chunk = _chunk(rows)
+        whole = len(chunk) < PIECE_ROWS
+        while chunk:
+            timeless = [r for r in chunk if r[0] is None]
+            if timeless:
+                yield _packed(timeless, [False] * len(timeless))
+            timed = [r for r in chunk if r[0] is not None]
+            if timed:
+                number = self._hold(timed, whole)
+                first = number if first is None else min(first, number)
+            chunk = _chunk(rows)
+        if first is not None:
+            self._wake(first)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        now_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        keys = list(self.held.keys())
-        over = [k for k in keys if (k[0] + 1) * self.slice_us <= now_us]
-        start, used = self.window.get() if self.window.exists() else (None, 0)
-        for value in sorted({k[0] for k in over}):
-            pieces = [k for k in over if k[0] == value]
-            rows = pd.concat([_unpacked(self.held.getValue(k)[0]) for k in pieces], ignore_index=True)
-            rows = rows.sort_values(self.ts_col, kind="stable")
-            allowed, start, used = _allowed(
-                _micros(rows[self.ts_col]).tolist(), start, used, self.limit, self.window_us
-            )
+        now_us = timerValues.getCurrentWatermarkInMs() * 1000
+        passed = now_us // self.slice_us  # slices before this one are complete
+        keys = sorted(self.held.keys())
+        due = [k for k in keys if k[0] < passed]
+        start, used = self.window.get() or (None, 0)
+        rows = []
+        for number, pieces in groupby(due, key=lambda k: k[0]):
+            # No event of an earlier slice is in this piece or a later one.
+            ready, rows = _split(rows, number * self.slice_us)
+            if ready:
+                out, start, used = self._counted(ready, start, used)
+                yield out
             for k in pieces:
-                self.held.removeKey(k)
-            yield rows.assign(allowed=allowed)
-        if start is not None and start + self.window_us <= now_us and len(over) == len(keys):
+                rows += pickle.loads(self.held.getValue(k)[0])
+                if len(due) < len(keys):
+                    self.held.removeKey(k)
+        if due and len(due) == len(keys):
+            self.held.clear()
+        ready, rows = _split(rows, passed * self.slice_us)
+        if ready:
+            out, start, used = self._counted(ready, start, used)
+            yield out
+        waiting = [k[0] for k in keys[len(due) :]]
+        if rows:
+            waiting.append(self._hold(rows, len(rows) < PIECE_ROWS))
+        if due and waiting:
+            self._wake(min(waiting))
+        if start is None:
+            return
+        if not waiting and start + self.window_us <= now_us:
             self.window.clear()  # no event of it is held back or can still come
-        elif over:
+        elif due:
             self.window.update((int(start), int(used)))
-            self.handle.registerTimer(-(-(start + self.window_us) // 1000))
+            if not waiting:
+                self.handle.registerTimer(-(-(start + self.window_us) // 1000))
+
+    def _hold(self, rows: list[tuple], whole: bool) -> int:
+        """Keep rows back, as one piece or cut by slices; returns their first slice."""
+        rows.sort(key=_time)
+        first = rows[0][0] // self.slice_us
+        parts = [(first, rows)] if whole else groupby(rows, key=lambda r: r[0] // self.slice_us)
+        for number, part in parts:
+            self.held.updateValue((number, uuid.uuid4().hex), (pickle.dumps(list(part), protocol=5),))
+        return first
+
+    def _wake(self, number: int) -> None:
+        """Set the timer of a slice."""
+        self.handle.registerTimer(-(-(number + 1) * self.slice_us // 1000))
+
+    def _counted(self, rows: list[tuple], start: int | None, used: int) -> tuple[Row, int | None, int]:
+        rows.sort(key=_time)
+        allowed, start, used = _allowed([r[0] for r in rows], start, used, self.limit, self.window_us)
+        return _packed(rows, allowed), start, used
 
     def close(self) -> None:
         pass
 
 
-def _packed(rows: pd.DataFrame) -> bytes:
-    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+def _time(row: tuple) -> int:
+    return row[0]
+
+
+def _chunk(rows: Iterator[Row]) -> list[tuple]:
+    # The last column is the time as a timestamp, which only the watermark needs.
+    return [tuple(r)[:-1] for r in islice(rows, PIECE_ROWS)]
 
 
-def _unpacked(data: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(data).read_pandas()
+def _split(rows: list[tuple], end_us: int) -> tuple[list[tuple], list[tuple]]:
+    """Rows before a time and the others."""
+    return [r for r in rows if r[0] < end_us], [r for r in rows if r[0] >= end_us]
+
+
+def _packed(rows: list[tuple], allowed: list[bool]) -> Row:
+    return Row(rows=pickle.dumps([(*r, a) for r, a in zip(rows, allowed, strict=True)], protocol=5))
+
+
+def _unpacked(arrow: pa.Schema):
+    """Packed rows to rows of the schema."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for packed in batch.column("rows"):
+                rows += pickle.loads(packed.as_py())
+                if len(rows) >= PIECE_ROWS:
+                    yield _record(rows, arrow)
+                    rows = []
+            if rows:
+                yield _record(rows, arrow)
+
+    return run
+
+
+def _record(rows: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
 
 def throttle(
@@ -125,17 +198,24 @@ def throttle(
     Events may come in any order within the lateness; later ones fall out of the stream and
     are counted by ``dropped_rows``.  Needs the RocksDB state store.
     """
-    schema = T.StructType([*events.schema.fields, T.StructField("allowed", T.BooleanType())])
-    return (
-        events.withWatermark(ts_col, lateness)
-        .groupBy(key)
-        .transformWithStateInPandas(
-            statefulProcessor=FixedWindow(ts_col, limit, window_s, slice_s or window_s),
-            outputStructType=schema,
-            outputMode="Append",
-            timeMode="EventTime",
-        )
+    names = events.columns
+    others = [c for c in names if c != ts_col]
+    timed = events.withWatermark(ts_col, lateness)
+    timed = timed.select(F.unix_micros(ts_col).alias("_us"), *others, ts_col)
+    kinds = {f.name: f.dataType for f in events.schema}
+    fields = [T.StructField(c, kinds[c]) for c in others]
+    out = T.StructType(
+        [T.StructField("_us", T.LongType()), *fields, T.StructField("allowed", T.BooleanType())]
+    )
+    packed = timed.groupBy(key).transformWithState(
+        statefulProcessor=FixedWindow(limit, window_s, slice_s or window_s),
+        outputStructType=T.StructType().add("rows", T.BinaryType()),
+        outputMode="Append",
+        timeMode="EventTime",
     )
+    arrow = events.sparkSession.createDataFrame([], out).toArrow().schema
+    rows = packed.mapInArrow(_unpacked(arrow), out).withColumn(ts_col, F.timestamp_micros("_us"))
+    return rows.select(*names, "allowed")
 
 
 def throttle_batch(

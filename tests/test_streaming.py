@@ -187,6 +187,24 @@ def test_a_hot_key_in_any_order_is_as_in_batch(spark, tmp_path):
         assert [r.key.key for r in reader.load().select("key").collect()] == ["mark"]
 
 
+def test_a_quiet_key_is_held_in_one_piece_whatever_the_slices(spark, tmp_path):
+    start = datetime(2026, 4, 14, tzinfo=timezone.utc)
+    rows = [("a", start + timedelta(seconds=10 * s), s) for s in range(50)]
+    got, state, _ = throttled(spark, tmp_path, [rows], 3, 60, lateness="1 hour", slice_s=1)
+    assert got == []
+    held = spark.read.format("statestore").option("path", state).option("stateVarName", "held").load()
+    assert held.count() == 1  # one state call and one timer, not one for each slice
+
+
+def test_a_busy_key_is_cut_by_slices_and_counted_once(spark, tmp_path):
+    start = datetime(2026, 4, 14, tzinfo=timezone.utc)
+    rows = [("hot", start + timedelta(milliseconds=100 * (i * 7919 % 9000)), i) for i in range(9000)]
+    got, _, _ = throttled(spark, tmp_path, [rows, *MARKS], 5, 20, slice_s=60)
+    at_rest = spark.createDataFrame(rows, "key string, ts timestamp, n int")
+    want = throttle_batch(at_rest, "key", "ts", 5, 20).collect()
+    assert sorted((r.n, r.allowed) for r in got) == sorted((r.n, r.allowed) for r in want)
+
+
 def test_dropped_rows_are_counted(spark, tmp_path):
     start = datetime(2026, 4, 14, tzinfo=timezone.utc)
     late = [("a", start - timedelta(hours=1), 1)]
