@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -21,20 +21,11 @@ REPORT_DDL = (
     "stop_sequence int, route_id string, stop_id string, scheduled_at timestamp, "
     "arrival_at timestamp, delay_s int, current_status int"
 )
-# The workers that use these have no session to read type text with.
-_STOP_KEY = T.StructType().add("stop_sequence", T.IntegerType())
-_VISIT_STATE = (
-    T.StructType()
-    .add("route_id", T.StringType())
-    .add("stop_id", T.StringType())
-    .add("scheduled_us", T.LongType())
-    .add("arrival_us", T.LongType())
-    .add("delay_s", T.IntegerType())
-    .add("status", T.StringType())
-    .add("updated_us", T.LongType())
-)
-_SEEN_STATE = T.StructType().add("seen_us", T.LongType()).add("stopped_us", T.LongType())
-_HEARD_STATE = T.StructType().add("heard_us", T.LongType())
+# The workers that use this have no session to read type text with.
+_TRIP_STATE = T.StructType().add("state", T.BinaryType())
+_TIMES = ("scheduled_at", "arrival_at", "updated_at")
+#: The time of a report without one.
+_NEVER = -9223372036854776
 
 
 def delay_reports(
@@ -83,7 +74,11 @@ class DelayState(StatefulProcessor):
     """State of one trip on one service day.
 
     A trip has few stops, so its state and the reports of a micro-batch are small.  The
-    timer runs out ``sweep_minutes`` of event time after the last report.
+    timer runs out ``sweep_minutes`` of event time after the last report.  The state is one
+    value, read once and written once a micro-batch: when the trip was last heard of, which
+    names its timer, the visits by stop (route, stop, scheduled, arrival, delay, status,
+    updated) and the sightings by stop (first seen, first stopped).  Reports carry their times
+    in microseconds as well.
     """
 
     def __init__(self, sweep_minutes: float = 30):
@@ -91,83 +86,76 @@ class DelayState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.visits = handle.getMapState("visits", _STOP_KEY, _VISIT_STATE)
-        self.seen = handle.getMapState("seen", _STOP_KEY, _SEEN_STATE)
-        self.heard = handle.getValueState("heard", _HEARD_STATE)
+        self.trip = handle.getValueState("trip", _TRIP_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        reports = _distinct(rows)
         # Predictions before positions of the same moment: they were still in time.
-        reports = reports.sort_values(
-            ["received_at", "kind", "stop_sequence"], ascending=[True, False, True]
-        )
-        visits = {k[0]: list(v) for k, v in self.visits.iterator()}
-        seen = {k[0]: list(v) for k, v in self.seen.iterator()}
-        heard = self.heard.get()[0] if self.heard.exists() else 0
-        changed_visits, changed_seen = set(), set()
-        for r in reports.itertuples(index=False):
-            now, stop = _us(r.received_at), int(r.stop_sequence)
+        reports = sorted(_distinct(rows), key=_turn)
+        before, visits, seen = self._state()
+        heard = before or 0
+        changed = set()
+        for r in reports:
+            now, stop = _NEVER if r.received_us is None else r.received_us, r.stop_sequence
             heard = max(heard, now)
             if r.kind == POSITION:
                 first = seen.setdefault(stop, [now, None])
                 first[0] = min(first[0], now)
                 if r.current_status == STOPPED_AT:
                     first[1] = now if first[1] is None else min(first[1], now)
-                changed_seen.add(stop)
                 for s, v in visits.items():
                     over = s < stop or (s == stop and r.current_status == STOPPED_AT)
                     if over and v[5] != "final":
                         v[5], v[6] = "final", now
-                        changed_visits.add(s)
+                        changed.add(s)
                 continue
             over_at = _over_at(stop, seen)
             if over_at is not None and over_at < now:
                 continue  # late: the vehicle has been there
             visits[stop] = [
-                _none(r.route_id),
-                _none(r.stop_id),
-                _us(r.scheduled_at),
-                _us(r.arrival_at),
-                int(r.delay_s),
+                r.route_id,
+                r.stop_id,
+                r.scheduled_us,
+                r.arrival_us,
+                r.delay_s,
                 "predicted" if over_at is None else "final",
                 now,
             ]
-            changed_visits.add(stop)
-        for s in changed_visits:
-            self.visits.updateValue((s,), tuple(visits[s]))
-        for s in changed_seen:
-            self.seen.updateValue((s,), tuple(seen[s]))
-        self.heard.update((heard,))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer((heard + self.sweep_us) // 1000)
-        if changed_visits:
-            yield _out(key, {s: visits[s] for s in sorted(changed_visits)})
+            changed.add(stop)
+        self.trip.update((pickle.dumps((heard, visits, seen), protocol=5),))
+        if heard != before:
+            if before is not None:
+                self.handle.deleteTimer((before + self.sweep_us) // 1000)
+            self.handle.registerTimer((heard + self.sweep_us) // 1000)
+        yield from _out(key, {s: visits[s] for s in sorted(changed)})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        open_ = {k[0]: list(v) for k, v in self.visits.iterator() if v[5] == "predicted"}
-        for v in open_.values():
-            v[5] = "abandoned"
-        self.visits.clear()
-        self.seen.clear()
-        self.heard.clear()
-        if open_:
-            yield _out(key, open_)
+        _, visits, _ = self._state()
+        self.trip.clear()
+        yield from _out(key, {s: [*v[:5], "abandoned", v[6]] for s, v in visits.items() if v[5] == "predicted"})
+
+    def _state(self) -> tuple[int | None, dict[int, list], dict[int, list]]:
+        held = self.trip.get()
+        return pickle.loads(held[0]) if held else (None, {}, {})
 
     def close(self) -> None:
         pass
 
 
-def _distinct(chunks: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    """One report per kind, stop, time and status, chunk by chunk, so that what is held
-    grows with the polls of a micro-batch and not with repeated rows."""
-    kept = None
-    for chunk in chunks:
-        kept = chunk if kept is None else pd.concat([kept, chunk], ignore_index=True)
-        kept = kept.sort_values("arrival_at", na_position="first").drop_duplicates(
-            ["kind", "stop_sequence", "received_at", "current_status"], keep="last"
-        )
-    return kept
+def _turn(report: Row) -> tuple:
+    at = report.received_us
+    return at is None, at or 0, report.kind == POSITION, report.stop_sequence
+
+
+def _distinct(rows: Iterator[Row]) -> list[Row]:
+    """One report per kind, stop, time and status, that of the latest arrival, so that what is
+    held grows with the polls of a micro-batch and not with repeated rows."""
+    kept: dict[tuple, tuple[tuple, Row]] = {}
+    for r in rows:
+        one = r.kind, r.stop_sequence, r.received_us, r.current_status
+        rank = r.arrival_us is not None, r.arrival_us or 0, r.route_id or "", r.stop_id or ""
+        if one not in kept or kept[one][0] < rank:
+            kept[one] = rank, r
+    return [r for _, r in kept.values()]
 
 
 def _over_at(stop: int, seen: dict[int, list]) -> int | None:
@@ -178,37 +166,20 @@ def _over_at(stop: int, seen: dict[int, list]) -> int | None:
     return min(times, default=None)
 
 
-def _us(ts) -> int:
-    stamp = pd.Timestamp(ts)
-    if stamp.tzinfo is not None:
-        stamp = stamp.tz_convert("UTC").tz_localize(None)
-    return stamp.value // 1000
-
-
-def _none(value):
-    return None if value is None or value is pd.NA or value != value else value
-
-
-def _ts(us: list) -> pd.Series:
-    return pd.to_datetime(pd.Series(us, dtype="int64"), unit="us")
-
-
-def _out(key, visits: dict[int, list]) -> pd.DataFrame:
-    values = list(visits.values())
-    return pd.DataFrame(
-        {
-            "start_date": [key[0]] * len(values),
-            "trip_id": [key[1]] * len(values),
-            "stop_sequence": pd.Series(list(visits), dtype="int32"),
-            "route_id": [v[0] for v in values],
-            "stop_id": [v[1] for v in values],
-            "scheduled_at": _ts([v[2] for v in values]),
-            "arrival_at": _ts([v[3] for v in values]),
-            "delay_s": pd.Series([v[4] for v in values], dtype="int32"),
-            "status": [v[5] for v in values],
-            "updated_at": _ts([v[6] for v in values]),
-        }
-    )
+def _out(key, visits: dict[int, list]) -> Iterator[Row]:
+    for stop, v in visits.items():
+        yield Row(
+            start_date=key[0],
+            trip_id=key[1],
+            stop_sequence=stop,
+            route_id=v[0],
+            stop_id=v[1],
+            scheduled_at=v[2],
+            arrival_at=v[3],
+            delay_s=v[4],
+            status=v[5],
+            updated_at=v[6],
+        )
 
 
 def live_delays(
@@ -216,13 +187,27 @@ def live_delays(
 ) -> DataFrame:
     """Stream of changed stop delays out of a stream of reports; needs the RocksDB state
     store and update output mode."""
-    return (
-        reports.withWatermark("received_at", lateness)
-        .groupBy("start_date", "trip_id")
-        .transformWithStateInPandas(
-            statefulProcessor=DelayState(sweep_minutes),
-            outputStructType=STOP_DELAY.schema,
-            outputMode="Update",
-            timeMode="EventTime",
-        )
+    timed = reports.withWatermark("received_at", lateness).select(
+        "start_date",
+        "trip_id",
+        "kind",
+        "stop_sequence",
+        "route_id",
+        "stop_id",
+        "delay_s",
+        "current_status",
+        F.unix_micros("received_at").alias("received_us"),
+        F.unix_micros("scheduled_at").alias("scheduled_us"),
+        F.unix_micros("arrival_at").alias("arrival_us"),
+        "received_at",
+    )
+    in_us = T.StructType(
+        [T.StructField(f.name, T.LongType()) if f.name in _TIMES else f for f in STOP_DELAY.schema]
+    )
+    changes = timed.groupBy("start_date", "trip_id").transformWithState(
+        statefulProcessor=DelayState(sweep_minutes),
+        outputStructType=in_us,
+        outputMode="Update",
+        timeMode="EventTime",
     )
+    return changes.withColumns({c: F.timestamp_micros(c) for c in _TIMES}).select(*STOP_DELAY.columns)

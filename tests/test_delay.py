@@ -3,11 +3,12 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from stopclock.operators import delay
 from stopclock.session import scratch_path
-from stopclock.streaming.delay_state import REPORT_DDL, delay_reports, live_delays
+from stopclock.streaming.delay_state import REPORT_DDL, DelayState, delay_reports, live_delays
 
 ZONE = "America/Toronto"
 # A loop: stop A is served first and last; the last visit is after midnight.
@@ -153,3 +154,45 @@ def test_delay_reliability(spark):
     df = df.withColumn("scheduled_at", F.col("t").cast("timestamp"))
     (row,) = delay.delay_reliability(df, zone=ZONE).collect()
     assert (row.hour, row.n_visits, row.avg_delay_s, row.median_delay_s, row.on_time_share) == (12, 5, 96.0, 0.0, 0.6)
+
+
+class CountedState:
+    """A handle and its one value, with the number of calls."""
+
+    def __init__(self):
+        self.calls, self.value, self.timers = 0, None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+
+def test_state_calls_of_a_trip_do_not_grow_with_its_stops():
+    def report(kind, us, stop, status=None):
+        return Row(
+            kind=kind, stop_sequence=stop, route_id="r", stop_id="s", delay_s=60, current_status=status,
+            received_us=us, scheduled_us=5, arrival_us=None if status else us,
+        )
+
+    state = CountedState()
+    trip = DelayState(sweep_minutes=1)
+    trip.init(state)
+    out = list(trip.handleInputRows(("d", "t"), iter([report("prediction", 10, s) for s in range(40)]), None))
+    assert len(out) == 40 and {r.status for r in out} == {"predicted"} and state.calls == 3
+    out = list(trip.handleInputRows(("d", "t"), iter([report("position", 20_000, 20, 1)]), None))
+    assert [(r.stop_sequence, r.status) for r in out] == [(s, "final") for s in range(21)]
+    assert state.calls == 7 and len(state.timers) == 1
