@@ -12,12 +12,12 @@ few leave the block.  Rotations are the same everywhere, so the result does not
 blocks.  Inside a block equal vectors are one candidate with their smallest ids, which is
 exact.
 
-How many buckets a query looks into, over all tables, falls with the fifth root of the number
-of rows, as neighbours get nearer: ``LOOKUPS`` among 500 rows, 63 for 50,000, 35 for a
-million.  They are dealt evenly over ``TABLES`` tables, the nearest axis of each first; tables
-without any are not built.  Each bucket has about 1/128 of the rows in 64 dimensions.  Even
-without any structure in 64 dimensions, the hardest case, well over 0.9 of the 10 nearest are
-found at every size tried.
+A query looks into ``LOOKUPS`` buckets over all tables, however many rows there are, so what
+it finds among its candidates does not change with the number of other rows.  They are dealt
+evenly over ``TABLES`` tables, the nearest axis of each first; tables without any are not
+built.  Each bucket has about 1/128 of the rows in 64 dimensions.  Neighbours get nearer with
+more rows, so the recall only rises with them: ``LOOKUPS`` is what 500 rows without any
+structure in 64 dimensions, the hardest case, need for well over 0.9 of the 10 nearest.
 
 Results in special cases: vectors that are null, zero or empty, or hold a null or non-finite
 component, and rows without an id take no part; only vectors of one length meet; equal rows
@@ -40,6 +40,8 @@ from stopclock.llm.common import shuffle_count
 from stopclock.llm.vectors import clean_matrices
 
 NEAREST, TABLES, LOOKUPS, SEED, TURNS = 10, 32, 160, 7, 3
+#: The number of rows that ``LOOKUPS`` is made for, the least favourable.
+LOOKUP_ROWS = 500
 #: Components that one block of rows holds at most, give or take the hash.
 BLOCK_VALUES = 1 << 24
 #: Queries that pass a block together, and vectors rotated together.
@@ -102,8 +104,9 @@ def probes_of(matrix: np.ndarray, count: int, tables: int = TABLES, seed: int =
 
 
 def probe_counts(rows: int, tables: int = TABLES, lookups: int = LOOKUPS) -> list[int]:
-    """Buckets that a query looks into in each table that is built, for so many rows."""
-    wanted = max(1, round(lookups * (500 / max(1, rows)) ** 0.2))
+    """Buckets to look into in each table that is built, for a recall that stays the same with so
+    many rows.  ``search`` always takes those for ``LOOKUP_ROWS``."""
+    wanted = max(1, round(lookups * (LOOKUP_ROWS / max(1, rows)) ** 0.2))
     return [wanted // tables + (t < wanted % tables) for t in range(min(tables, wanted))]
 
 
@@ -246,14 +249,14 @@ def search(
     """query_id, rank, vec_id, score (Euclidean distance) of the ``nearest`` rows found for
     each query; ``rows`` and ``queries`` have an id and a vector column of the same names."""
     points, asked = _named(rows, number, vector), _named(queries, number, vector)
-    count, values = points.agg(F.count("*"), F.coalesce(F.sum(F.size("vector")), F.lit(0))).first()
+    values = points.agg(F.coalesce(F.sum(F.size("vector")), F.lit(0))).first()[0]
     blocks = max(shuffle_count(rows.sparkSession), -(-values // block_values))
     dealt = points.select(F.pmod("key", F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asked"), "*")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     passed = asked.select(every.alias("block"), F.lit(True).alias("asked"), "*")
     met = dealt.unionByName(passed).repartitionById(blocks, F.col("block"))
     met = met.sortWithinPartitions("asked").select("asked", "id", "key", "vector")
-    found = met.mapInArrow(_searcher(nearest, probe_counts(count, tables, lookups), seed), FOUND).distinct()
+    found = met.mapInArrow(_searcher(nearest, probe_counts(LOOKUP_ROWS, tables, lookups), seed), FOUND).distinct()
     order = Window.partitionBy("query_id", "query_key").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= nearest)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -144,6 +144,15 @@ def test_recall_of_vectors_without_structure(spark, n):
             assert score == pytest.approx(float(np.linalg.norm(exact[q] - exact[i])), abs=1e-12)
 
 
+def test_unrelated_rows_do_not_change_what_is_found(spark):
+    rows = list(enumerate(listed(unit(4, 300))))
+    others = [(10_000 + i, [float(i), 1.0]) for i in range(20_000)]  # of another length: they never meet
+    alone, among = (
+        found(cross_polytope.search(frame(spark, r), frame(spark, rows[::10]), lookups=32)) for r in (rows, rows + others)
+    )
+    assert alone == among
+
+
 def test_every_bucket_probed_is_brute_force_whatever_the_blocks(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [float(c) for c in v]) for i, v in enumerate(rng.integers(-2, 3, (400, 8)))]  # many ties
