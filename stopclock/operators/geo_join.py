@@ -243,6 +243,9 @@ def _descend(
 
 # --- within a distance ---------------------------------------------------------------
 
+#: Pairs to compare that a piece of a cell and a task hold at most, and rows of a task.
+PIECE_PAIRS, TASK_PAIRS, TASK_ROWS = 2_000_000, 20_000_000, 1_000_000
+
 
 def stops_within(
     points: DataFrame, stops: DataFrame, radius_m: float, point_id: str = "point_id"
@@ -250,7 +253,10 @@ def stops_within(
     """All (point, stop) pairs at most ``radius_m`` apart.
 
     Rows of the grid are as tall as the radius, and its columns in each row as wide as the
-    radius can reach there, so a partner is in the same or an adjacent row and column.
+    radius can reach there, so a partner is in the same or an adjacent row and column.  The
+    stops of a crowded cell are dealt over pieces that each meet its points, and the pieces
+    over tasks by the pairs to compare, whose number grows with both tables.  Runs one small
+    job at once: the counts of the cells.
     """
     if radius_m <= 0:
         raise ValueError("radius_m must be positive")
@@ -291,9 +297,27 @@ def stops_within(
         F.col(point_id), lat.alias("p_lat"), lon.alias("p_lon")
     )
     distance = haversine_m(F.col("p_lat"), F.col("p_lon"), lat, lon)
+    opened = asked.select(point_id, "p_lat", "p_lon", F.inline(around))
+    cell = ["row", "col"]
+    of_points = opened.groupBy(*cell).agg(F.count("*").alias("n_points"))
+    of_stops = placed.groupBy(*cell).agg(F.count("*").alias("n_stops"))
+    sizes = of_points.join(of_stops, cell).withColumn("pairs", F.col("n_points") * F.col("n_stops"))
+    pairs, rows = sizes.agg(
+        F.coalesce(F.sum("pairs"), F.lit(0)),
+        F.coalesce(F.sum(F.col("n_points") + F.col("n_stops")), F.lit(0)),
+    ).first()
+    tasks = 1 + pairs // TASK_PAIRS + rows // TASK_ROWS
+    if tasks > 1:
+        # Both tables are small beside their pairs, so tasks by the size of tables would be few.
+        tasks = max(tasks, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        pieces = sizes.select(*cell, F.ceil(F.col("pairs") / PIECE_PAIRS).cast("int").alias("pieces"))
+        number = F.pmod(F.xxhash64(*STOP_COLUMNS), F.col("pieces")).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
+        cell = [*cell, "piece"]
+        placed = placed.join(pieces, ["row", "col"]).withColumn("piece", number).repartition(tasks, *cell)
+        opened = opened.join(pieces, ["row", "col"]).withColumn("piece", every).repartition(tasks, *cell)
     return (
-        asked.select(point_id, "p_lat", "p_lon", F.inline(around))
-        .join(placed, ["row", "col"])
+        opened.join(placed, cell)
         .select(point_id, *STOP_COLUMNS, distance.alias("distance_m"))
         .filter(F.col("distance_m") <= radius_m)
     )

@@ -103,3 +103,16 @@ def test_box_across_the_date_line(spark):
     rows = spark.createDataFrame([(0.0, 179.5), (0.0, -179.5), (0.0, 0.0)], "latitude double, longitude double")
     assert vehicles_in_box(rows, -1, 179, 1, -179).count() == 2
     assert vehicles_in_box(rows, -1, -1, 1, 1).agg(F.sum("longitude")).first()[0] == 0.0
+
+
+def test_crowded_cells_are_dealt_over_pieces(spark, monkeypatch):
+    ddl = "stop_id string, stop_code string, stop_name string, latitude double, longitude double"
+    near = [(43.5 + i * 1e-5, -79.5) for i in range(60)]
+    stops = spark.createDataFrame([(str(i), None, None, *p) for i, p in enumerate(near)], ddl).coalesce(1)
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(near)], "point_id int, latitude double, longitude double").coalesce(1)
+    whole = sorted((r.point_id, r.stop_id) for r in geo_join.stops_within(points, stops, 20).collect())
+    monkeypatch.setattr(geo_join, "PIECE_PAIRS", 100)
+    monkeypatch.setattr(geo_join, "TASK_PAIRS", 500)
+    dealt = geo_join.stops_within(points, stops, 20)
+    assert sorted((r.point_id, r.stop_id) for r in dealt.collect()) == whole and len(whole) > 60
+    assert dealt.select(F.spark_partition_id()).distinct().count() > 1
