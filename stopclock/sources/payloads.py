@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -51,8 +52,10 @@ MESSAGES = {
 }
 
 
+@cache
 def message_class():
-    """The feed message class, built from the table above."""
+    """The feed message class, built from the table above, once in a process: workers serve
+    many tasks, and the runtime keeps what it has built."""
     from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
 
     field = descriptor_pb2.FieldDescriptorProto
