@@ -236,11 +236,11 @@ class TokenTable:
     so a hit is exact; every other pre-token goes through the cache and takes over its slot.
     """
 
-    BYTES, IDS, BITS = 24, 6, 19
+    BYTES, IDS = 24, 6
 
-    def __init__(self, cache: Cache):
-        self.cache = cache
-        slots = 1 << self.BITS
+    def __init__(self, cache: Cache, bits: int = 19):
+        self.cache, self.bits = cache, bits
+        slots = 1 << bits
         self.keys = np.zeros((slots, 3), dtype=np.uint64)
         self.sizes = np.zeros(slots, dtype=np.uint8)
         self.ids = np.zeros((slots, self.IDS), dtype=np.int32)
@@ -253,7 +253,7 @@ class TokenTable:
         h = keys[:, 0] * odd[0] + keys[:, 1] * odd[1] + keys[:, 2] * odd[2] + sizes.astype(np.uint64)
         h ^= h >> np.uint64(29)
         h *= odd[1]
-        return (h >> np.uint64(64 - self.BITS)).astype(np.int64)
+        return (h >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def look_up(self, joined: str, begin: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each start in ``begin`` has (separators: none)."""
@@ -274,7 +274,9 @@ class TokenTable:
             keys[:, i] &= words[places + 8 * i]
         slots = self._slots(keys, sizes)
         hit = (self.sizes[slots] == sizes) & (spans <= self.BYTES)
-        hit &= (self.keys[slots] == keys).all(axis=1)
+        known = self.keys[slots]
+        for i in range(3):
+            hit &= known[:, i] == keys[:, i]
         counts = self.counts[slots].astype(np.int64)
         own = hit.copy()
         own[ends] = False
@@ -286,12 +288,15 @@ class TokenTable:
         found = self.cache.look_up([joined[a:b] for a, b in zip(begin[slow].tolist(), stop[slow].tolist(), strict=True)])
         counts[slow] = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
         out = np.empty(int(counts.sum()), dtype=np.int32)
-        from_table = np.repeat(own, counts)
         steps = np.arange(self.IDS)
-        fast = np.flatnonzero(own)
-        out[from_table] = self.ids[slots[fast]][steps < counts[fast, None]]
+        out_of_cache = ~np.repeat(own, counts)
+        at, left = (np.cumsum(counts) - counts)[own], counts[own]
+        from_table = self.ids[slots[own]]
+        for i in steps:
+            more = np.flatnonzero(left > i)
+            out[at[more] + i] = from_table[more, i]
         flat = np.frombuffer(b"".join(found), dtype="<i4")
-        out[~from_table] = flat
+        out[out_of_cache] = flat
         lengths = counts[slow]
         from_ = np.cumsum(lengths) - lengths
         fits = np.flatnonzero((lengths <= self.IDS) & (spans[slow] <= self.BYTES))

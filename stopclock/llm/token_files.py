@@ -12,6 +12,7 @@ the same schema.  Input columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from stopclock.llm.bpe import Cache, TokenTable, encode_texts
 from stopclock.llm.common import chunks, cut, in_id_order, shuffle_count, texts_of
 
+#: Pre-tokens that one call of the library encodes, and the table's size (2^20 slots, 52 MB).
+LINES, BITS = 128, 20
 COLUMNS = "part int, place bigint, doc_id bigint, ids array<int>"
 
 
@@ -35,6 +38,8 @@ def _library_table(path: str) -> tuple[TokenTable, re.Pattern | None, dict[str,
 
     Pre-tokens are independent of each other in this vocabulary's model, so the library
     encodes each frequent one once."""
+    # A task has one core: threads of the library would only add to its CPU time.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -45,12 +50,27 @@ def _library_table(path: str) -> tuple[TokenTable, re.Pattern | None, dict[str,
     number = {t.content: i for i, t in added.items() if t.content}
     literal = "|".join(map(re.escape, sorted(number, key=len, reverse=True)))
 
-    def solve(tokens: list[str]):
-        for i in range(0, len(tokens), 4096):
-            for e in tokenizer.encode_batch_fast(tokens[i : i + 4096], add_special_tokens=False):
-                yield e.ids
-
-    return TokenTable(Cache(solve)), re.compile(f"({literal})") if number else None, number
+    line_end = tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def solve(tokens: list[str]) -> Iterator[np.ndarray | list[int]]:
+        # Beside a pre-token that is not white space a line end is a pre-token of its own, so
+        # one call encodes many, a line each.
+        lines = [t for t in tokens if not t.isspace()] if len(line_end) == 1 else []
+        of_lines = in_lines(lines)
+        for t in tokens:
+            yield tokenizer.encode(t, add_special_tokens=False).ids if t.isspace() or not lines else next(of_lines)
+
+    def in_lines(tokens: list[str]) -> Iterator[np.ndarray]:
+        for i in range(0, len(tokens), LINES):
+            some = tokens[i : i + LINES]
+            (encoded,) = tokenizer.encode_batch_fast(["\n".join([*some, ""])], add_special_tokens=False)
+            ids = np.array(encoded.ids, dtype=np.int32)
+            ends = np.flatnonzero(ids == line_end[0]).tolist()
+            if len(ends) != len(some):
+                raise ValueError(f"{path}: line ends are not tokens of their own")
+            yield from (ids[a:b] for a, b in zip([0, *(e + 1 for e in ends[:-1])], ends, strict=True))
+
+    return TokenTable(Cache(solve), BITS), re.compile(f"({literal})") if number else None, number
 
 
 def _encode(texts: list[str], path: str) -> pa.ListArray:

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 import struct
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -35,6 +39,7 @@ from stopclock.llm import (
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 LIBRARY = public_tokenizers.path("byte_bpe_50k.json")
+ROOT = Path(__file__).parents[2]
 SCHEMA = "doc_id bigint, text string, key string, ids string, part int"
 WORDS = "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november".split()
 
@@ -136,6 +141,29 @@ def test_token_files_know_the_added_tokens():
         assert token_files._encode(some, LIBRARY).to_pylist() == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
 
 
+def test_token_files_solve_many_pretokens_at_once():
+    tokenizer = Tokenizer.from_file(LIBRARY)
+    rnd = random.Random(9)
+    alphabet = "abstmdrvel'' \n\t  !1.é　 ²Ⅷ中😀́\r\x1c\x85\u2028\xa0\0"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(40))) for _ in range(3000)]
+    texts += ["'s", " 's", " ", "\n", " \n a", "a" * 5000, " " * 300 + "x", ""]
+    got = token_files._encode(texts, LIBRARY).to_pylist()
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_token_files_start_no_threads_in_a_task():
+    code = """
+import os, sys
+from stopclock.llm import token_files
+token_files._library_table(sys.argv[1])
+before = len(os.listdir("/proc/self/task"))
+token_files._encode([f"word{i} and{i}" for i in range(9000)], sys.argv[1])
+assert len(os.listdir("/proc/self/task")) == before
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("TOKENIZERS_PARALLELISM", "RAYON_NUM_THREADS")}
+    subprocess.run([sys.executable, "-c", code, LIBRARY], env=env, cwd=ROOT, check=True, timeout=120)
+
+
 def test_token_files_write_added_tokens(spark, tmp_path):
     path, texts = str(tmp_path / "ids"), ["a <|endoftext|> b", "c", None]
     token_files.write(frame(spark, texts), path, LIBRARY, end_id=2, parts=2)
