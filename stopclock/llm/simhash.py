@@ -20,6 +20,7 @@ empty table gives an empty result.  Columns other than ``doc_id`` and ``text`` a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -119,6 +120,34 @@ def longer_masks(masks: list[int], radius: int) -> list[int]:
     return out
 
 
+@lru_cache(1 << 16)
+def mask_of(j: int, longer: int, radius: int) -> int:
+    """Mask ``j`` of those that ``longer`` rounds of ``longer_masks`` make of the first ones."""
+    if not longer:
+        return key_masks(radius)[j]
+    return longer_masks([mask_of(j // (radius + 1), longer - 1, radius)], radius)[j % (radius + 1)]
+
+
+def _longer_keys(longer: int, radius: int):
+    """Rows (f, j) of the round before, to (j, f, part) of their masks of this round.  A task
+    makes the masks of its own rows: their number grows with each round, the plan does not."""
+    fan = radius + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            f, j = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("f", "j"))
+            js, which = np.unique(j, return_inverse=True)
+            before = [mask_of(i, longer - 1, radius) for i in js.tolist()]
+            masks = np.array(longer_masks(before, radius), dtype=np.uint64).reshape(-1, fan)
+            for k in range(fan):
+                part = f.view(np.uint64) & masks[which, k]
+                own = pa.array(j.astype(np.int64) * fan + k, pa.int32())  # an error beyond 32 bits
+                columns = [own, pa.array(f), pa.array(part.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["j", "f", "part"])
+
+    return run
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -216,8 +245,8 @@ def links(distinct: DataFrame, radius: int = 3, most: int = MOST) -> DataFrame:
     """Edges u, v that connect all fingerprints (column ``fp``, distinct) within ``radius``
     bits of each other; of a group that meets under one key only a spanning forest."""
     spark = distinct.sparkSession
-    masks, fan, found = key_masks(radius), 2, None
-    parts = F.array(*(F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks))
+    longer, fan, found = 0, 2, None
+    parts = F.array(*(F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in key_masks(radius)))
     keyed = distinct.select(F.col("fp").alias("f"), F.posexplode(parts).alias("j", "part"))
     while True:
         keyed = keyed.select(F.xxhash64("j", "part").alias("key"), "j", "f")
@@ -228,11 +257,8 @@ def links(distinct: DataFrame, radius: int = 3, most: int = MOST) -> DataFrame:
         again = result.filter("v IS NULL").select(F.col("u").alias("f"), "j").distinct()
         if again.isEmpty():
             return found
-        masks, fan = longer_masks(masks, radius), fan * (radius + 1)
-        children = F.transform(F.sequence(F.lit(0), F.lit(radius)), lambda k: F.col("j") * (radius + 1) + k)
-        every = F.array(*(F.lit(_signed(m)) for m in masks))
-        keyed = again.select("f", F.explode(children).alias("j"))
-        keyed = keyed.withColumn("part", F.col("f").bitwiseAND(F.element_at(every, F.col("j") + 1)))
+        longer, fan = longer + 1, fan * (radius + 1)
+        keyed = again.mapInArrow(_longer_keys(longer, radius), "j int, f bigint, part bigint")
 
 
 def connected(marks: DataFrame, radius: int = 3) -> DataFrame:

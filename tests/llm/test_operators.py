@@ -358,6 +358,10 @@ def plain_mark(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def _signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
 def groups_of(pairs, nodes):
     parent = {n: n for n in nodes}
 
@@ -392,6 +396,18 @@ def test_links_connect_all_within_the_radius(spark, most):
     assert groups_of(edges, marks) == groups_of(near, marks)
 
 
+def test_longer_keys_are_made_in_the_tasks(spark):
+    rnd = random.Random(3)
+    masks = simhash.key_masks(3)
+    for longer in (1, 2, 3):
+        masks = simhash.longer_masks(masks, 3)
+        rows = [(_signed(rnd.getrandbits(64)), rnd.randrange(len(masks) // 4)) for _ in range(50)]
+        df = spark.createDataFrame(rows, "f bigint, j int")
+        got = df.mapInArrow(simhash._longer_keys(longer, 3), "j int, f bigint, part bigint").collect()
+        want = [(4 * j + k, f, _signed(f % (1 << 64) & masks[4 * j + k])) for f, j in rows for k in range(4)]
+        assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_components(spark):
     rnd = random.Random(9)
     pairs = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(120)] + [(500 + i, 501 + i) for i in range(40)] + [(7, 7)]
