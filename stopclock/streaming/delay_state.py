@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import pickle
+from collections import namedtuple
 from collections.abc import Iterator
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -21,9 +24,17 @@ REPORT_DDL = (
     "stop_sequence int, route_id string, stop_id string, scheduled_at timestamp, "
     "arrival_at timestamp, delay_s int, current_status int"
 )
+#: Groups that the trips are dealt over; each has one value of state.
+GROUPS = 2048
 # The workers that use this have no session to read type text with.
 _TRIP_STATE = T.StructType().add("state", T.BinaryType())
 _TIMES = ("scheduled_at", "arrival_at", "updated_at")
+#: What a report is packed with.
+_REPORT = (
+    "start_date", "trip_id", "kind", "stop_sequence", "route_id", "stop_id", "delay_s", "current_status",
+    "received_us", "scheduled_us", "arrival_us",
+)
+Report = namedtuple("Report", _REPORT)
 #: The time of a report without one.
 _NEVER = -9223372036854776
 
@@ -88,50 +99,23 @@ class DelayState(StatefulProcessor):
         self.handle = handle
         self.trip = handle.getValueState("trip", _TRIP_STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        # Predictions before positions of the same moment: they were still in time.
-        reports = sorted(_distinct(rows), key=_turn)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues):
+        kept: dict[tuple, tuple[tuple, Row]] = {}
+        for r in rows:
+            _keep(kept, r)
         before, visits, seen = self._state()
-        heard = before or 0
-        changed = set()
-        for r in reports:
-            now, stop = _NEVER if r.received_us is None else r.received_us, r.stop_sequence
-            heard = max(heard, now)
-            if r.kind == POSITION:
-                first = seen.setdefault(stop, [now, None])
-                first[0] = min(first[0], now)
-                if r.current_status == STOPPED_AT:
-                    first[1] = now if first[1] is None else min(first[1], now)
-                for s, v in visits.items():
-                    over = s < stop or (s == stop and r.current_status == STOPPED_AT)
-                    if over and v[5] != "final":
-                        v[5], v[6] = "final", now
-                        changed.add(s)
-                continue
-            over_at = _over_at(stop, seen)
-            if over_at is not None and over_at < now:
-                continue  # late: the vehicle has been there
-            visits[stop] = [
-                r.route_id,
-                r.stop_id,
-                r.scheduled_us,
-                r.arrival_us,
-                r.delay_s,
-                "predicted" if over_at is None else "final",
-                now,
-            ]
-            changed.add(stop)
+        heard, changed = _advance(before, visits, seen, kept)
         self.trip.update((pickle.dumps((heard, visits, seen), protocol=5),))
         if heard != before:
             if before is not None:
                 self.handle.deleteTimer((before + self.sweep_us) // 1000)
             self.handle.registerTimer((heard + self.sweep_us) // 1000)
-        yield from _out(key, {s: visits[s] for s in sorted(changed)})
+        yield from _out(key, {s: visits[s] for s in changed})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         _, visits, _ = self._state()
         self.trip.clear()
-        yield from _out(key, {s: [*v[:5], "abandoned", v[6]] for s, v in visits.items() if v[5] == "predicted"})
+        yield from _out(key, _abandoned(visits))
 
     def _state(self) -> tuple[int | None, dict[int, list], dict[int, list]]:
         held = self.trip.get()
@@ -141,21 +125,132 @@ class DelayState(StatefulProcessor):
         pass
 
 
-def _turn(report: Row) -> tuple:
+class GroupedDelayState(StatefulProcessor):
+    """State of a group of trips, the form that ``live_delays`` uses.
+
+    A call to the state costs far more than a report does, so all trips of a group share one
+    value and one timer, that of the trip which runs out first.  A trip has the same state as
+    in ``DelayState``, and is unpacked only when it is reported or runs out.  A row has its
+    report packed in one text, since Spark hands rows over cell by cell.
+    """
+
+    def __init__(self, sweep_minutes: float = 30):
+        self.sweep_us = int(sweep_minutes * 60_000_000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.trips = handle.getValueState("trips", _TRIP_STATE)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues):
+        reported: dict[tuple, dict] = {}
+        for row in rows:
+            r = _unpacked(row.report)
+            _keep(reported.setdefault((r.start_date, r.trip_id), {}), r)
+        timer, held = self._state()
+        out = []
+        for trip, kept in reported.items():
+            before, packed = held.get(trip, (None, None))
+            visits, seen = pickle.loads(packed) if packed else ({}, {})
+            heard, changed = _advance(before, visits, seen, kept)
+            held[trip] = heard, pickle.dumps((visits, seen), protocol=5)
+            out += _out(trip, {s: visits[s] for s in changed})
+        self._hold(held, timer)
+        yield from out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        # Timers before the watermark have run out, and the one that fired.
+        end = max(timerValues.getCurrentWatermarkInMs() - 1, expiredTimerInfo.getExpiryTimeInMs())
+        _, held = self._state()
+        out = []
+        for trip in [t for t, (heard, _) in held.items() if self._ends(heard) <= end]:
+            visits, _ = pickle.loads(held.pop(trip)[1])
+            out += _out(trip, _abandoned(visits))
+        self._hold(held, None)  # Spark removes the timer that fired
+        yield from out
+
+    def _ends(self, heard: int) -> int:
+        return (heard + self.sweep_us) // 1000
+
+    def _state(self) -> tuple[int | None, dict[tuple, tuple[int, bytes]]]:
+        held = self.trips.get()
+        return pickle.loads(held[0]) if held else (None, {})
+
+    def _hold(self, held: dict[tuple, tuple[int, bytes]], timer: int | None) -> None:
+        """Keep the trips, and move the timer, where one is set, to the first that runs out."""
+        if not held:
+            self.trips.clear()
+            return
+        first = self._ends(min(heard for heard, _ in held.values()))
+        self.trips.update((pickle.dumps((first, held), protocol=5),))
+        if first != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(first)
+
+    def close(self) -> None:
+        pass
+
+
+def _unpacked(packed: str) -> Report:
+    values = json.loads(packed)
+    r = Report(*map(values.get, _REPORT))
+    return r._replace(start_date=date.fromisoformat(r.start_date)) if r.start_date else r
+
+
+def _turn(report: Row | Report) -> tuple:
     at = report.received_us
     return at is None, at or 0, report.kind == POSITION, report.stop_sequence
 
 
-def _distinct(rows: Iterator[Row]) -> list[Row]:
-    """One report per kind, stop, time and status, that of the latest arrival, so that what is
-    held grows with the polls of a micro-batch and not with repeated rows."""
-    kept: dict[tuple, tuple[tuple, Row]] = {}
-    for r in rows:
-        one = r.kind, r.stop_sequence, r.received_us, r.current_status
-        rank = r.arrival_us is not None, r.arrival_us or 0, r.route_id or "", r.stop_id or ""
-        if one not in kept or kept[one][0] < rank:
-            kept[one] = rank, r
-    return [r for _, r in kept.values()]
+def _keep(kept: dict[tuple, tuple[tuple, Row]], r: Row) -> None:
+    """One report of a trip per kind, stop, time and status, that of the latest arrival, so that
+    what is held grows with the polls of a micro-batch and not with repeated rows."""
+    one = r.kind, r.stop_sequence, r.received_us, r.current_status
+    rank = r.arrival_us is not None, r.arrival_us or 0, r.route_id or "", r.stop_id or ""
+    if one not in kept or kept[one][0] < rank:
+        kept[one] = rank, r
+
+
+def _advance(
+    before: int | None, visits: dict[int, list], seen: dict[int, list], kept: dict[tuple, tuple[tuple, Row]]
+) -> tuple[int, list[int]]:
+    """Apply a trip's reports to its visits and sightings; returns when it was last heard of and
+    the stops that changed."""
+    heard = before or 0
+    changed = set()
+    # Predictions before positions of the same moment: they were still in time.
+    for r in sorted((r for _, r in kept.values()), key=_turn):
+        now, stop = _NEVER if r.received_us is None else r.received_us, r.stop_sequence
+        heard = max(heard, now)
+        if r.kind == POSITION:
+            first = seen.setdefault(stop, [now, None])
+            first[0] = min(first[0], now)
+            if r.current_status == STOPPED_AT:
+                first[1] = now if first[1] is None else min(first[1], now)
+            for s, v in visits.items():
+                over = s < stop or (s == stop and r.current_status == STOPPED_AT)
+                if over and v[5] != "final":
+                    v[5], v[6] = "final", now
+                    changed.add(s)
+            continue
+        over_at = _over_at(stop, seen)
+        if over_at is not None and over_at < now:
+            continue  # late: the vehicle has been there
+        visits[stop] = [
+            r.route_id,
+            r.stop_id,
+            r.scheduled_us,
+            r.arrival_us,
+            r.delay_s,
+            "predicted" if over_at is None else "final",
+            now,
+        ]
+        changed.add(stop)
+    return heard, sorted(changed)
+
+
+def _abandoned(visits: dict[int, list]) -> dict[int, list]:
+    return {s: [*v[:5], "abandoned", v[6]] for s, v in visits.items() if v[5] == "predicted"}
 
 
 def _over_at(stop: int, seen: dict[int, list]) -> int | None:
@@ -187,25 +282,17 @@ def live_delays(
 ) -> DataFrame:
     """Stream of changed stop delays out of a stream of reports; needs the RocksDB state
     store and update output mode."""
-    timed = reports.withWatermark("received_at", lateness).select(
-        "start_date",
-        "trip_id",
-        "kind",
-        "stop_sequence",
-        "route_id",
-        "stop_id",
-        "delay_s",
-        "current_status",
-        F.unix_micros("received_at").alias("received_us"),
-        F.unix_micros("scheduled_at").alias("scheduled_us"),
-        F.unix_micros("arrival_at").alias("arrival_us"),
-        "received_at",
+    group = F.pmod(F.xxhash64("start_date", "trip_id"), F.lit(GROUPS)).cast("int")
+    timed = reports.withWatermark("received_at", lateness).withColumns(
+        {f"{c}_us": F.unix_micros(f"{c}_at") for c in ("received", "scheduled", "arrival")}
     )
+    packed = F.to_json(F.struct(*_REPORT), {"dateFormat": "yyyy-MM-dd"})
+    timed = timed.select(group.alias("trips"), packed.alias("report"), "received_at")
     in_us = T.StructType(
         [T.StructField(f.name, T.LongType()) if f.name in _TIMES else f for f in STOP_DELAY.schema]
     )
-    changes = timed.groupBy("start_date", "trip_id").transformWithState(
-        statefulProcessor=DelayState(sweep_minutes),
+    changes = timed.groupBy("trips").transformWithState(
+        statefulProcessor=GroupedDelayState(sweep_minutes),
         outputStructType=in_us,
         outputMode="Update",
         timeMode="EventTime",

@@ -1,5 +1,6 @@
 """Schedule delay in batch and as a stream."""
 
+import json
 from datetime import datetime
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stopclock.operators import delay
 from stopclock.session import scratch_path
-from stopclock.streaming.delay_state import REPORT_DDL, DelayState, delay_reports, live_delays
+from stopclock.streaming.delay_state import REPORT_DDL, DelayState, GroupedDelayState, delay_reports, live_delays
 
 ZONE = "America/Toronto"
 # A loop: stop A is served first and last; the last visit is after midnight.
@@ -196,3 +197,43 @@ def test_state_calls_of_a_trip_do_not_grow_with_its_stops():
     out = list(trip.handleInputRows(("d", "t"), iter([report("position", 20_000, 20, 1)]), None))
     assert [(r.stop_sequence, r.status) for r in out] == [(s, "final") for s in range(21)]
     assert state.calls == 7 and len(state.timers) == 1
+
+
+def test_state_calls_of_a_group_do_not_grow_with_its_trips():
+    def report(trip, us, kind="prediction", status=None):
+        packed = dict(
+            start_date="2026-04-14", trip_id=trip, kind=kind, stop_sequence=1, route_id="r", stop_id="s", delay_s=60,
+            current_status=status, received_us=us, scheduled_us=5, arrival_us=us,
+        )
+        return Row(report=json.dumps(packed))
+
+    class Clearable(CountedState):
+        def clear(self):
+            self.calls, self.value = self.calls + 1, None
+
+    class Now:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentWatermarkInMs(self):
+            return self.ms
+
+        getExpiryTimeInMs = getCurrentWatermarkInMs
+
+    state = Clearable()
+    trips = GroupedDelayState(sweep_minutes=1)
+    trips.init(state)
+    reports = [report(f"t{n}", n * 1_000_000) for n in range(100)]
+    out = list(trips.handleInputRows((0,), iter(reports), None))
+    assert sorted(r.trip_id for r in out) == sorted(f"t{n}" for n in range(100))
+    assert state.calls == 3 and state.timers == {60_000}
+    out = list(trips.handleInputRows((0,), iter([report("t0", 50_000_000, "position", 1)]), None))
+    assert [(r.trip_id, r.status) for r in out] == [("t0", "final")] and state.timers == {61_000}
+    state.timers.remove(61_000)  # as Spark does with the one that fired
+    out = list(trips.handleExpiredTimer((0,), Now(70_000), Now(61_000)))
+    # The timer of second 70 has not run out before the watermark has passed it.
+    assert sorted(r.trip_id for r in out) == sorted(f"t{n}" for n in range(1, 10))
+    assert {r.status for r in out} == {"abandoned"} and state.timers == {70_000}
+    state.timers.clear()
+    out = list(trips.handleExpiredTimer((0,), Now(10_000_000), Now(70_000)))
+    assert len(out) == 90 and state.value is None and not state.timers  # of t0 nothing was open
