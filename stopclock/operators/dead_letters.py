@@ -17,11 +17,13 @@ def dead_letter(
     payload: Column,
     occurred_at: Column,
     whole: bool = False,
+    digest: Column | None = None,
 ) -> DataFrame:
     """Failure rows with a shortened message and the head of the payload.
 
     The id is a hash of the content, so a repeated run gives the same rows; the payload
     enters it whole.  ``whole`` stores all of the payload: for rows that exist nowhere else.
+    ``digest`` is the hash of the whole payload where ``payload`` is only its beginning.
     """
     feed = F.lit(feed_key) if isinstance(feed_key, str) else feed_key
     body = payload.cast("binary")
@@ -31,7 +33,7 @@ def dead_letter(
         error_class,
         F.unix_micros(occurred_at).cast("string"),
         F.coalesce(error_message, F.lit("")),
-        sha256(F.coalesce(body, F.lit("").cast("binary"))),
+        sha256(F.coalesce(body, F.lit("").cast("binary"))) if digest is None else digest,
     )
     return bad.select(
         sha256(identity).alias("failure_id"),

@@ -34,12 +34,18 @@ def _feed_time() -> Column:
 def _entities(feed_df: DataFrame, part: str, with_position: bool = False) -> DataFrame:
     explode = F.posexplode("entity") if with_position else F.explode("entity")
     names = ("position", "e") if with_position else ("e",)
-    return feed_df.select(
+    # An entity of a later piece of a large message stands behind those of the earlier.
+    piece = ["piece"] if with_position and "piece" in feed_df.columns else []
+    rows = feed_df.select(
+        *piece,
         "received_at",
         _feed_time().alias("feed_timestamp"),
         F.col("payload_hash").alias("raw_payload_hash"),
         explode.alias(*names),
     ).filter(F.col(f"e.{part}").isNotNull())
+    if piece:
+        rows = rows.withColumn("position", F.col("piece").cast("long") * 2**31 + F.col("position"))
+    return rows
 
 
 def vehicle_position_rows(
